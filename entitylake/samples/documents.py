@@ -11,36 +11,67 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 BLOCK = 65_536
 
-_TEXT = "struct<ov:boolean,uri:string,value:string>"
-_CODED = "struct<lookupCode:string,ov:boolean,uri:string,value:string>"
-_PLAIN = "struct<uri:string,value:string>"
-ADDRESS_TYPE = (
-    "struct<ov:boolean,"
-    "refRelation:struct<crosswalks:array<struct<attributeURIs:array<string>,value:string>>>,"
-    "uri:string,"
-    "value:struct<"
-    f"BRICK:array<struct<uri:string,value:struct<ID:array<{_TEXT}>,Type:array<{_TEXT}>>>>,"
-    f"City:array<{_TEXT}>,"
-    f"Country:array<{_CODED}>,"
-    f"OriginalZip:array<struct<uri:string,value:struct<Zip5:array<{_TEXT}>>>>,"
-    f"Rank:array<{_PLAIN}>,"
-    f"Zip:array<struct<uri:string,value:struct<Zip4:array<{_TEXT}>,Zip5:array<{_TEXT}>>>>>>"
+
+
+def _struct(**fields: DataType) -> StructType:
+    return StructType([StructField(n, t) for n, t in fields.items()])
+
+
+_S, _B = StringType(), BooleanType()
+_TEXTS = ArrayType(_struct(ov=_B, uri=_S, value=_S))
+_CODED = ArrayType(_struct(lookupCode=_S, ov=_B, uri=_S, value=_S))
+
+
+def _holding(**fields: DataType) -> ArrayType:
+    """An attribute whose value is again a struct of attributes."""
+    return ArrayType(_struct(uri=_S, value=_struct(**fields)))
+
+
+ADDRESS_TYPE = _struct(
+    ov=_B,
+    refRelation=_struct(
+        crosswalks=ArrayType(_struct(attributeURIs=ArrayType(_S), value=_S))
+    ),
+    uri=_S,
+    value=_struct(
+        BRICK=_holding(ID=_TEXTS, Type=_TEXTS),
+        City=_TEXTS,
+        Country=_CODED,
+        OriginalZip=_holding(Zip5=_TEXTS),
+        Rank=ArrayType(_struct(uri=_S, value=_S)),
+        Zip=_holding(Zip4=_TEXTS, Zip5=_TEXTS),
+    ),
 )
-ATTRIBUTES_TYPE = (
-    f"struct<Address:array<{ADDRESS_TYPE}>,Name:array<{_TEXT}>,ReferenceId:array<{_TEXT}>,"
-    f"Segment:array<{_CODED}>,UniqueId:array<{_TEXT}>>"
+ATTRIBUTES_TYPE = _struct(
+    Address=ArrayType(ADDRESS_TYPE),
+    Name=_TEXTS,
+    ReferenceId=_TEXTS,
+    Segment=_CODED,
+    UniqueId=_TEXTS,
 )
-CROSSWALK_TYPE = (
-    "struct<attributes:array<string>,createDate:string,loadDate:string,"
-    "singleAttributeUpdateDates:struct<Name:string>,sourceTable:string,type:string,"
-    "uri:string,value:string>"
+CROSSWALK_TYPE = _struct(
+    attributes=ArrayType(_S),
+    createDate=_S,
+    loadDate=_S,
+    singleAttributeUpdateDates=_struct(Name=_S),
+    sourceTable=_S,
+    type=_S,
+    uri=_S,
+    value=_S,
 )
-DOCUMENT_SCHEMA = StructType.fromDDL(
-    f"attributes {ATTRIBUTES_TYPE}, crosswalks array<{CROSSWALK_TYPE}>, uri string"
+DOCUMENT_SCHEMA = _struct(
+    attributes=ATTRIBUTES_TYPE, crosswalks=ArrayType(CROSSWALK_TYPE), uri=_S
 )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from entitylake.functions.paths import find_field
+from entitylake.sources.scratch import staged
 
 CORRUPT = "_corrupt_record"
 _MODES = {"fail": "FAILFAST", "drop": "DROPMALFORMED", "quarantine": "PERMISSIVE"}
@@ -87,9 +88,12 @@ def read_documents(
 
 
 def split_quarantine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good documents, and the texts of the broken ones."""
+    """Good documents, and the broken ones with their text.
+
+    The parsed input is written to the shared folder first: Spark does not read the corrupt text of
+    raw files alone, and so both halves come from one parse.
+    """
     if find_field(docs.schema, CORRUPT) is None:
         return docs, docs.sparkSession.createDataFrame([], f"{CORRUPT} string")
-    broken = F.col(CORRUPT).isNotNull()
-    # all columns stay in the projection: Spark refuses to read the corrupt text alone
-    return docs.where(~broken).drop(CORRUPT), docs.where(broken)
+    parsed, broken = staged(docs, "parsed"), F.col(CORRUPT).isNotNull()
+    return parsed.where(~broken).drop(CORRUPT), parsed.where(broken)

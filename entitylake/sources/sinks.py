@@ -33,16 +33,19 @@ def write_parquet(
 
 
 def write_csv(
-    df: DataFrame, path: str, mode: str = "overwrite", target_files: int | None = None
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    target_files: int | None = None,
+    null_value: str = "",
 ) -> None:
     """CSV with header, written by the executors, without an index column.
 
-    NULL and empty string differ in the files (nothing against ``""``) and come back so.
+    NULL is written as ``null_value``.  Spark's reader takes blank and empty text both for NULL, so
+    another marker, given to the reader as well, is needed where the two have to differ.
     """
-    writer = sized(df, target_files).write.mode(mode)
-    writer.option("header", True).option("escape", '"').option("nullValue", "").option(
-        "emptyValue", '""'
-    ).csv(path)
+    writer = sized(df, target_files).write.mode(mode).option("header", True)
+    writer.option("escape", '"').option("nullValue", null_value).csv(path)
 
 
 def write_groups(
