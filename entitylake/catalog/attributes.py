@@ -29,6 +29,7 @@ from entitylake.samples.documents import (
     entity_documents,
     linked_address_documents,
 )
+from entitylake.sources.scratch import staged
 
 SINGLE_PATHS = ["attributes.Name", "attributes.segment", "attributes.UniqueId", "attributes.Fax"]
 CITY, RANK = "attributes.Address.value.City", "attributes.address.value.Rank"
@@ -99,10 +100,13 @@ UNION ALL SELECT uri, code, split_part(uri, '/', 6) || 'lookupCode', split_part(
 FROM country_attr"""
 
 
+def _records(docs: DataFrame) -> DataFrame:
+    return staged(crosswalk_table(docs, keep_empty=False), "crosswalks")
+
+
 def address(spark: SparkSession, sf: str) -> DataFrame:
     docs = linked_address_documents(spark, sf)
-    records = crosswalk_table(docs, keep_empty=False)
-    return melt_address(records, docs, [CITY, RANK, ZIP4, ZIP5]).withColumnRenamed(
+    return melt_address(_records(docs), docs, [CITY, RANK, ZIP4, ZIP5]).withColumnRenamed(
         "EntityID", "entityid"
     )
 
@@ -115,9 +119,7 @@ FROM long WHERE part IN ('City', 'Rank', 'Zip_Zip4', 'Zip_Zip5')"""
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     docs = linked_address_documents(spark, sf)
-    return melt_address(
-        crosswalk_table(docs, keep_empty=False), docs, [CITY, ZIP5, OLD_ZIP5], label="labelled"
-    )
+    return melt_address(_records(docs), docs, [CITY, ZIP5, OLD_ZIP5], label="labelled")
 
 
 def address_labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,7 +162,7 @@ UNION ALL SELECT 'Zip', 'Zip4', uri || '/Zip/z1/Zip4/f1',
 def conditional(spark: SparkSession, sf: str) -> DataFrame:
     """Names with other case and blanks still match; a record with no surviving value is absent."""
     docs = linked_address_documents(spark, sf)
-    rows = melt_address(crosswalk_table(docs, keep_empty=False), docs, [CITY, ZIP4])
+    rows = melt_address(_records(docs), docs, [CITY, ZIP4])
     blurred = rows.withColumn("joined_column", F.concat(F.lit(" "), F.upper("joined_column")))
     wide = pivot_conditional(blurred, ["City", "Zip_Zip4", "County"])
     return wide

@@ -23,6 +23,8 @@ def _exploded(docs: DataFrame, fields: list[str], keep_empty: bool) -> DataFrame
     present = {f: find_field(element, f) for f in fields}
     # zipping single fields, rather than exploding whole structs, lets the scan prune the others
     zipped = F.arrays_zip(*[column.getField(f.name).alias(k) for k, f in present.items() if f])
+    if not keep_empty:
+        docs = docs.where(column.isNotNull())  # reaches the scan, unlike a condition on the zip
     generator = F.explode_outer if keep_empty else F.explode
     rows = docs.select(generator(zipped).alias("c"))
     names = [k for k, f in present.items() if f]

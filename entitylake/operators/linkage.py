@@ -18,6 +18,7 @@ from entitylake.functions.paths import require_unique
 from entitylake.operators.columns import conform_columns, stamp_columns
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+PIECE = 512  # positions per piece of a long haystack
 ROW_OVERHEAD = 64  # assumed bytes per row of a broadcast hash table, beside the text itself
 
 
@@ -127,30 +128,38 @@ def needle_stats(needles: DataFrame, column: str) -> NeedleStats:
     return NeedleStats(row["rows"], row["bytes"], tuple(sorted(row["lengths"])))
 
 
-def _grams(text: Column, size: Column) -> Column:
-    """Distinct substrings of one length.
-
-    Position lookups in a string count characters from its start, so long texts are taken apart into
-    characters first; the work then grows with the text and not with its square.
-    """
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
-    short = F.transform(starts, lambda i: F.substring(text, i, size))
-    characters = F.split(text, "")
-    long = F.transform(starts, lambda i: F.array_join(F.slice(characters, i, size), ""))
-    return F.array_distinct(F.when(F.length(text) <= 256, short).otherwise(long))
-
-
 def with_grams(
     rows: DataFrame, haystack: str, lengths: Iterable[int], gram: str = "gram"
 ) -> DataFrame:
-    """A row per distinct substring of ``haystack`` that has one of ``lengths``."""
+    """A row per position of ``haystack`` and per length: the substring of that length found there.
+
+    A position in a string is found by counting characters from its start.  Long texts are therefore
+    cut into overlapping pieces first, so that the count starts near the substring.
+    """
     sizes = sorted(set(lengths))
     if not sizes:
         return rows.withColumn(gram, F.lit(None).cast("string")).where(F.lit(False))
     text = F.col(haystack)
+
+    def pieces(size: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - size + 1, F.lit(PIECE))
+        return F.transform(
+            starts,
+            lambda start: F.struct(
+                size.alias("size"), F.substring(text, start, size + (PIECE - 1)).alias("text")
+            ),
+        )
+
     fitting = F.filter(F.array(*[F.lit(n) for n in sizes]), lambda n: n <= F.length(text))
-    sized = rows.where(text.isNotNull()).withColumn("_size", F.explode(fitting))
-    return sized.withColumn(gram, F.explode(_grams(text, F.col("_size")))).drop("_size")
+    cut = rows.where(text.isNotNull()).withColumn(
+        "_piece", F.explode(F.flatten(F.transform(fitting, pieces)))
+    )
+    piece, size = F.col("_piece.text"), F.col("_piece.size")
+    last = F.greatest(F.length(piece) - size + 1, F.lit(1))
+    placed = cut.withColumn("_start", F.explode(F.sequence(F.lit(1), last)))
+    return placed.withColumn(gram, F.substring(piece, F.col("_start"), size)).drop(
+        "_piece", "_start"
+    )
 
 
 def _needle_set(needles: DataFrame, needle: str) -> DataFrame:
@@ -187,10 +196,12 @@ def substring_pairs(
     texts = haystacks.select(haystack).where(F.col(haystack).isNotNull()).distinct()
     grams = with_grams(texts, haystack, stats.lengths)
     if strategy == "broadcast":
-        return grams.join(F.broadcast(known), "gram", "left_semi").select(haystack, "gram")
-    if strategy == "shuffle":
-        return even_join(grams, known, ["gram"], "left_semi").select(haystack, "gram")
-    raise ValueError(f"strategy must be 'auto', 'broadcast' or 'shuffle', not '{strategy}'")
+        hits = grams.join(F.broadcast(known), "gram", "left_semi")
+    elif strategy == "shuffle":
+        hits = even_join(grams, known, ["gram"], "left_semi")
+    else:
+        raise ValueError(f"strategy must be 'auto', 'broadcast' or 'shuffle', not '{strategy}'")
+    return hits.select(haystack, "gram").distinct()
 
 
 def substring_links(
@@ -202,7 +213,11 @@ def substring_links(
     stats: NeedleStats | None = None,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Haystack rows, each once per distinct needle it contains, with that needle as ``gram``."""
+    """Haystack rows with each needle they contain as ``gram``.
+
+    A needle that occurs repeatedly in a text may repeat the row: for consumers that take maxima or
+    distinct rows.
+    """
     stats = stats or needle_stats(needles, needle)
     if strategy == "auto":
         strategy = choose_strategy(stats, limit)
@@ -227,10 +242,9 @@ def substring_join(
     clash = {c.lower() for c in needles.columns} & {c.lower() for c in haystacks.columns}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    links = substring_links(haystacks, needles, haystack, needle, strategy, stats, limit)
-    return even_join(links, needles.withColumn("gram", F.col(needle)), ["gram"]).select(
-        *needles.columns, *haystacks.columns
-    )
+    pairs = substring_pairs(haystacks, needles, haystack, needle, strategy, stats, limit)
+    keyed = even_join(pairs, needles.withColumn("gram", F.col(needle)), ["gram"])
+    return even_join(keyed, haystacks, [haystack]).select(*needles.columns, *haystacks.columns)
 
 
 def substring_maxima(

@@ -7,6 +7,8 @@ one generator, however many attributes there are, and no union of branches.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,11 +77,10 @@ def _exploded(
 ) -> DataFrame | None:
     """``uri, value`` (and constant labels) of every element of every attribute that exists."""
     require_unique((p.path for p in paths), "attribute paths")
+    known = [p for p in paths if resolve(docs.schema, p.path) is not None]
     gathered = []
-    for path in paths:
+    for path in known:
         found = resolve(docs.schema, path.path)
-        if found is None:
-            continue
         if not is_struct(found.element):
             raise ValueError(f"'{path.path}' is no attribute: {found.element.simpleString()}")
         owners = elements(None, found, outer=keep_empty)
@@ -92,6 +93,9 @@ def _exploded(
         gathered.append(F.transform(pairs, _labelling(texts)))
     if not gathered:
         return None
+    if not keep_empty:
+        roots = dict.fromkeys(resolve(docs.schema, p.path).names[0] for p in known)
+        docs = docs.where(reduce(or_, [F.col(f"`{r}`").isNotNull() for r in roots]))
     rows = F.flatten(F.array_compact(F.array(*gathered))) if len(gathered) > 1 else gathered[0]
     return docs.select(F.explode(rows).alias("e")).select(
         *[F.col("e").getField(n).alias(n) for n in ("uri", "value", *label_names)]

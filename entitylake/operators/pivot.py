@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from entitylake.functions.paths import require_unique
 from entitylake.functions.uri import instance_id
+from entitylake.sources.scratch import staged
 
 CROSSWALK_KEYS = ("crosswalks_value", "entityid", "cross_source")
 SINGLE_KEYS = ("cross_source", "cross_value", "sourceid", "EntityID")
@@ -63,8 +64,10 @@ def pivot_discovered(
 ) -> DataFrame:
     """Names found in the data, in sorted order.
 
-    Finding them is one extra job; Spark refuses more than ``spark.sql.pivotMaxValues`` names.
+    Finding them is a job of its own, so the rows are written once and read twice rather than
+    computed twice.  Spark refuses more than ``spark.sql.pivotMaxValues`` names.
     """
+    rows = staged(rows.select(*keys, "joined_column", "value"), "pivot")
     return rows.groupBy(*keys).pivot("joined_column").agg(F.max("value"))
 
 

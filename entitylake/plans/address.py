@@ -12,6 +12,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from entitylake.functions.paths import (
     AttributePath,
@@ -49,28 +50,61 @@ def _below(root: str, path: AttributePath) -> str:
     return ".".join(path.parts[depth:])
 
 
+def _split_at_array(kind: StructType, path: str) -> tuple[str, str] | None:
+    """The path up to and including its first array, and the rest."""
+    found = resolve(kind, path)
+    if found is None:
+        return None
+    head = next((i for i, d in enumerate(found.depths) if d), len(found.depths) - 1) + 1
+    return ".".join(found.names[:head]), ".".join(found.names[head:])
+
+
 def _surviving_addresses(
     docs: DataFrame, paths: list[AttributePath], root: str, link: str
 ) -> tuple[DataFrame, dict[AttributePath, Survivors | None]] | None:
-    """One row per surviving address with ``address`` and ``haystacks``, and its attributes."""
+    """One row per surviving address with ``address`` and ``haystacks``, and its attributes.
+
+    Addresses are taken apart into the configured attributes before they are exploded, as a zip of
+    arrays: that way the scan reads these attributes only.
+    """
     found = resolve(docs.schema, root)
     if found is None:
         return None
     if not is_struct(found.element):
         raise ValueError(f"'{root}' does not hold structs")
-    rows = docs.select(F.explode(elements(None, found)).alias("address"))
+    if resolve(found.element, link) is None:
+        raise ValueError(f"'{root}' has no '{link}' to link by")
     flag = find_field(found.element, "ov")
+    wanted = [link, *([flag.name] if flag else []), *[_below(root, p) for p in paths]]
+    split = {w: _split_at_array(found.element, w) for w in wanted}
+    heads = dict.fromkeys(s[0] for s in split.values() if s)
+    whole = elements(None, found)
+    columns = {
+        head: reduce(lambda c, name: c.getField(name), head.split("."), whole) for head in heads
+    }
+    zipped = F.arrays_zip(*[c.alias(h.replace(".", "_")) for h, c in columns.items()])
+    rows = docs.where(F.col(f"`{found.names[0]}`").isNotNull())
+    rows = rows.select(F.explode(zipped).alias("address"))
+    kind, address = rows.schema["address"].dataType, F.col("address")
+
+    def inside(path: str) -> str | None:
+        """The path within a zipped address."""
+        parts = split[path]
+        if parts is None:
+            return None
+        head, tail = parts[0].replace(".", "_"), parts[1]
+        return f"{head}.{tail}" if tail else head
+
     if flag is not None:
-        rows = rows.where(truthy(F.col("address").getField(flag.name), flag.dataType))
-    texts = resolve(found.element, link)
-    if texts is None:
-        raise ValueError(f"'{root}' has no '{link}' to link by")
-    address = F.col("address")
-    kept = {p: survivors(address, found.element, _below(root, p), p.field) for p in paths}
+        rows = rows.where(truthy(address.getField(flag.name), flag.dataType))
+    kept = {}
+    for path in paths:
+        place = inside(_below(root, path))
+        kept[path] = survivors(address, kind, place, path.field) if place else None
     known = [s.present for s in kept.values() if s is not None]
     if not known:
         return None
-    links = elements(address, texts).cast("array<string>")
+    links = elements(address, resolve(kind, inside(link))).cast("array<string>")
     return rows.where(reduce(or_, known)).withColumn("haystacks", links), kept
 
 
@@ -144,7 +178,7 @@ def melt_address(
 
     ``label`` is ``qualified`` (``City``, ``Zip_Zip5``) or ``labelled`` (``CityValue``, ``Zip5Value``;
     equal sub-attributes of different containers then share a label).  Copies among the crosswalk
-    rows are kept as they are.
+    rows are kept as they are.  ``crosswalks`` is read three times: pass a written table.
     """
     paths = attribute_paths(paths)
     if label not in ("qualified", "labelled"):
@@ -166,12 +200,10 @@ def melt_address(
         for p, n in zip(paths, names)
         if kept[p] is not None
     ]
-    long = _per_link(rows, pairs=F.concat(*pairs)).select("haystack", F.explode("pairs").alias("e"))
-    long = long.select("haystack", "e.value", "e.joined_column")
-    if strategy != "broadcast":
-        long = long.distinct()
-    found = substring_links(long, crosswalks, "haystack", needle, strategy, stats, limit)
-    per_needle = found.select("gram", "value", "joined_column").distinct()
+    addressed = _per_link(rows, pairs=F.concat(*pairs))
+    found = substring_links(addressed, crosswalks, "haystack", needle, strategy, stats, limit)
+    long = found.select("gram", F.explode("pairs").alias("e"))
+    per_needle = long.select("gram", "e.value", "e.joined_column").distinct()
     keyed = crosswalks.withColumn("gram", F.col(needle))
     return even_join(per_needle, keyed, ["gram"]).select(*columns)
 
