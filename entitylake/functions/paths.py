@@ -149,20 +149,26 @@ def elements(root: Column | None, found: Resolved, outer: bool = False) -> Colum
     ``root`` is the struct the path starts from (``None`` for the row itself).  With ``outer`` an
     empty or missing array counts as one NULL element at every level, as with ``explode_outer``.
     """
-    current, repeated = root, False
+    current, repeated, unfilled = root, False, False
     for name, depth, inner in zip(found.names, found.depths, found.types):
         current = F.col(f"`{name}`") if current is None else current.getField(name)
         levels = depth if repeated else max(depth - 1, 0)
+        unfilled = unfilled or (depth > 0 and not repeated)
         for level in range(levels):
             if outer:
                 kind = inner
                 for _ in range(levels - 1 - level):
                     kind = ArrayType(kind)
+                # the outermost array is filled only here, after all field accesses: a field of a
+                # filled array would make the scan read whole elements
+                if unfilled:
+                    current = _or_one_null(current, ArrayType(kind))
                 current = F.transform(current, _filling(kind))
+                unfilled = False
             current = F.flatten(F.array_compact(current))
-        if outer and depth and not repeated:
-            current = _or_one_null(current, inner)
         repeated = repeated or depth > 0
+    if outer and unfilled:
+        current = _or_one_null(current, found.element)
     return current if repeated else F.array(current)
 
 

@@ -1,0 +1,95 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from entitylake.functions.paths import (
+    AttributePath,
+    attribute_paths,
+    elements,
+    has_column,
+    missing_paths,
+    resolve,
+)
+from entitylake.sources.documents import narrow_schema
+
+DDL = (
+    "id int, attributes struct<Address: array<struct<ov: boolean, value: struct<"
+    "City: array<struct<value: string>>,"
+    "Zip: array<struct<value: struct<Zip5: array<struct<value: string>>>>>>>>>"
+)
+
+
+@pytest.fixture
+def docs(spark):
+    rows = [
+        '{"id": 1, "attributes": {"Address": [{"ov": true, "value": {"City": [{"value": "a"},'
+        '{"value": "b"}], "Zip": [{"value": {"Zip5": [{"value": "1"}]}}, {"value": {}}]}},'
+        '{"ov": false, "value": {"City": []}}]}}',
+        '{"id": 2, "attributes": {"Address": []}}',
+        '{"id": 3}',
+    ]
+    return spark.createDataFrame([(r,) for r in rows], "j string").select(
+        F.from_json("j", DDL).alias("d")
+    ).select("d.*")
+
+
+def test_path_ignores_case_and_runs_through_arrays(docs):
+    assert has_column(docs, "attributes.address.VALUE.city")
+    assert has_column(docs, "attributes.Address.value.Zip.value.Zip5.value")
+    assert not has_column(docs, "attributes.Address.value.County")
+    assert not has_column(docs, "id.anything")
+    assert resolve(docs.schema, "attributes.address.value.zip").names == (
+        "attributes", "Address", "value", "Zip"
+    )
+    assert missing_paths(docs, ["id", AttributePath("attributes.Fax")]) == ["attributes.Fax"]
+
+
+def test_ambiguous_field_is_an_error(spark):
+    schema = StructType().add("a", "integer").add("A", "integer")
+    with pytest.raises(ValueError, match="ambiguous"):
+        resolve(schema, "a")
+
+
+def test_elements_inner_and_outer(docs):
+    def at(path, outer):
+        items = elements(None, resolve(docs.schema, path), outer)
+        rows = docs.select("id", F.coalesce(items, F.array()).alias("v")).orderBy("id").collect()
+        return [[v and v[0] for v in r.v] for r in rows]
+
+    city = "attributes.Address.value.City"
+    assert at(city, False) == [["a", "b"], [], []]
+    assert at(city, True) == [["a", "b", None], [None], [None]]
+    zip5 = "attributes.Address.value.Zip.value.Zip5"
+    assert at(zip5, False) == [["1"], [], []]
+    assert at(zip5, True) == [["1", None, None], [None], [None]]
+
+
+def test_elements_equal_explode_outer(docs):
+    from entitylake.operators.nested import flatten_wide
+
+    only = docs.select(F.col("attributes.Address.value.City").alias("City"))
+    exploded = [r.City_value for r in flatten_wide(only).collect()]
+    found = resolve(docs.schema, "attributes.Address.value.City")
+    ours = docs.select(F.explode(elements(None, found, outer=True)).alias("e")).collect()
+    assert sorted(map(str, exploded)) == sorted(str(r.e and r.e.value) for r in ours)
+
+
+def test_output_names():
+    assert AttributePath("attributes.Address.value.City").qualified == "City"
+    assert AttributePath("attributes.Address.value.Zip.value.Zip5").qualified == "Zip_Zip5"
+    assert AttributePath("attributes.Address.value.City").labelled == "CityValue"
+    with pytest.raises(ValueError, match="4 or 6 parts"):
+        AttributePath("attributes.address.value.Zip_value.Zip4").qualified
+    assert attribute_paths(["a.b", {"a.c": "lookupCode"}]) == [
+        AttributePath("a.b"), AttributePath("a.c", "lookupCode")
+    ]
+
+
+def test_narrow_schema(docs):
+    narrow = narrow_schema(docs.schema, ["ID", "attributes.Address.value.city.value"])
+    assert narrow.simpleString() == (
+        "struct<id:int,attributes:struct<Address:array<struct<value:struct<"
+        "City:array<struct<value:string>>>>>>>"
+    )
+    with pytest.raises(ValueError, match="no column"):
+        narrow_schema(docs.schema, ["nowhere"])

@@ -1,0 +1,45 @@
+"""Native split and rsplit against Python's own."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from entitylake.functions.text import rsplit_limit, split_limit
+
+EDGE = ["", ".", ".a.", "a..b", "a.b.c", "..", "a", "\\E.\\Q.", "é.😀.x"]
+
+
+def _check(spark, texts, delimiter, limit):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    rows = df.select(
+        "s",
+        split_limit(F.col("s"), delimiter, limit).alias("left"),
+        rsplit_limit(F.col("s"), delimiter, limit).alias("right"),
+    ).collect()
+    for r in rows:
+        assert r.left == r.s.split(delimiter, limit or -1), (r.s, delimiter, limit)
+        assert r.right == r.s.rsplit(delimiter, limit or -1), (r.s, delimiter, limit)
+
+
+def test_edge_cases(spark):
+    for delimiter in (".", "..", "\\E", "a"):
+        for limit in (None, 0, 1, 2, 9):
+            _check(spark, EDGE, delimiter, limit)
+
+
+def test_null_stays_null(spark):
+    df = spark.createDataFrame([(None,)], "s string")
+    row = df.select(split_limit(F.col("s"), ".", 1), rsplit_limit(F.col("s"), ".", 1)).first()
+    assert tuple(row) == (None, None)
+
+
+@settings(
+    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(st.text(alphabet="ab.|\\QE$", max_size=12), min_size=1, max_size=20),
+    st.sampled_from([".", "|", "$", "ab", "\\"]),
+    st.integers(0, 4),
+)
+def test_random_texts(spark, texts, delimiter, limit):
+    _check(spark, texts, delimiter, limit)
