@@ -19,8 +19,9 @@ from pyspark.sql.types import (
     StructField,
     StructType,
 )
+from entitylake.operators.linkage import even_join
 
-BLOCK = 65_536
+BLOCK = 16_384
 
 
 
@@ -277,9 +278,13 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     An order with more than ``BLOCK`` items comes as several documents.
     """
     columns = ["l_linenumber", "l_partkey", "l_quantity"]
-    items = _gathered(table(spark, folder, "lineitem"), F.col("l_orderkey"), columns)
+    lines = table(spark, folder, "lineitem")
+    items = _gathered(lines, F.col("l_orderkey"), columns).toDF("o_orderkey", "items")
     head = F.struct(
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("prio")
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", head.alias("head"))
-    return orders.join(items.toDF("o_orderkey", "items"), "o_orderkey", "left")
+    # an outer join could split a hot order's documents only on the side that has one row of it
+    ordered = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    bare = even_join(orders, ordered, ["o_orderkey"], "left_anti")
+    return even_join(orders, items, ["o_orderkey"]).unionByName(bare, allowMissingColumns=True)
