@@ -176,53 +176,51 @@ def customer_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _typed(rows.select("uri", F.expr(attributes).alias("attributes")))
 
 
-def _gathered(rows: DataFrame, parent: Column, columns: list[str]) -> DataFrame:
-    """``uri`` and the child rows gathered per parent, at most ``BLOCK`` per document.
+def _gathered(
+    rows: DataFrame, parent: Column, columns: list[str], child: Column, name: str
+) -> DataFrame:
+    """``uri`` and the ``child`` elements gathered per parent, at most ``BLOCK`` per document.
 
-    Only the flat columns are shuffled; nested elements are made of them afterwards.  Gathering has
-    nothing to combine before the shuffle, so the rows are placed first and aggregated once.
+    Gathering has nothing to combine before the shuffle, so the flat ``columns`` are placed first,
+    and nested elements are made of them where they are gathered.
     """
+    keys = ["uri", "_file", "_block"]
+    placed = rows.select(
+        parent.alias("uri"),
+        F.hash("_metadata.file_path").alias("_file"),
+        F.expr(f"_metadata.row_index div {BLOCK}").alias("_block"),
+        *columns,
+    ).repartition(*keys)
     return (
-        rows.select(
-            parent.alias("uri"),
-            F.hash("_metadata.file_path").alias("_file"),
-            F.expr(f"_metadata.row_index div {BLOCK}").alias("_block"),
-            F.struct(*columns).alias("child"),
-        )
-        .repartition("uri", "_file", "_block")
-        .groupBy("uri", "_file", "_block")
-        .agg(F.collect_list("child").alias("children"))
-        .drop("_file", "_block")
+        placed.select(*keys, child.alias("child"))
+        .groupBy(*keys)
+        .agg(F.collect_list("child").alias(name))
+        .select("uri", name)
     )
 
 
-def _each(element: str) -> Column:
-    """The SQL ``element`` for each gathered child row ``r``."""
-    return F.expr(f"transform(children, r -> {element})")
-
-
 def crosswalk_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with a crosswalk per order; each lists the attributes its order supplied.
 
     Even orders supplied the first address of the customer, odd ones the second.
     """
-    address = "concat(uri, '/attributes/Address/a', 1 + r.o_orderkey % 2)"
+    address = "concat(uri, '/attributes/Address/a', 1 + o_orderkey % 2)"
     listed = [
         f"concat(uri, '/attributes/{t}')"
         for t in ("Name/n1", "Segment/s1", "Segment/s2", "UniqueId/u1")
     ] + [f"concat({address}, '/{t}')" for t in ("City/c1", "City/c2", "Country/k1", "Rank/r1")]
     crosswalk = f"""named_struct(
       'attributes', array({', '.join(listed)}),
-      'createDate', cast(r.o_orderdate as string), 'loadDate', cast(r.o_orderdate as string),
-      'singleAttributeUpdateDates', named_struct('Name', cast(r.o_orderdate as string)),
-      'sourceTable', r.o_orderpriority,
-      'type', concat('configuration/sources/', r.o_orderstatus),
-      'uri', concat(uri, '/crosswalks/', r.o_orderkey),
-      'value', concat('ORD-', lpad(cast(r.o_orderkey as string), 8, '0')))"""
+      'createDate', cast(o_orderdate as string), 'loadDate', cast(o_orderdate as string),
+      'singleAttributeUpdateDates', named_struct('Name', cast(o_orderdate as string)),
+      'sourceTable', o_orderpriority,
+      'type', concat('configuration/sources/', o_orderstatus),
+      'uri', concat(uri, '/crosswalks/', o_orderkey),
+      'value', concat('ORD-', lpad(cast(o_orderkey as string), 8, '0')))"""
     columns = ["o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
     customer = F.expr("concat('entities/', o_custkey)")
-    rows = _gathered(table(spark, folder, "orders"), customer, columns)
-    return _typed(rows.select("uri", _each(crosswalk).alias("crosswalks")))
+    orders = table(spark, folder, "orders")
+    return _typed(_gathered(orders, customer, columns, F.expr(crosswalk), "crosswalks"))
 
 
 def address_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,20 +229,20 @@ def address_documents(spark: SparkSession, folder: str) -> DataFrame:
     Returned items are addresses that do not survive.
     """
     address = _address(
-        "concat(uri, '/attributes/Address/', r.l_orderkey, '-', r.l_linenumber)",
-        ov="r.l_returnflag <> 'R'",
-        link="concat('L', r.l_linenumber, '|ORD-', lpad(cast(r.l_orderkey as string), 8, '0'))",
+        "concat(uri, '/attributes/Address/', l_orderkey, '-', l_linenumber)",
+        ov="l_returnflag <> 'R'",
+        link="concat('L', l_linenumber, '|ORD-', lpad(cast(l_orderkey as string), 8, '0'))",
         cities=[
-            ("concat('C', r.l_returnflag)", "r.l_quantity >= 10"),
-            ("concat('B', r.l_linestatus)", "r.l_tax < 0.04"),
+            ("concat('C', l_returnflag)", "l_quantity >= 10"),
+            ("concat('B', l_linestatus)", "l_tax < 0.04"),
         ],
-        country="concat('Country ', r.l_linenumber)",
-        code="concat('N', r.l_linenumber)",
-        rank="cast(r.l_linenumber as string)",
-        zip4=("lpad(cast(r.l_suppkey as string), 4, '0')", "r.l_linestatus = 'O'"),
-        zip5=("lpad(cast(r.l_partkey as string), 5, '0')", "true"),
-        old_zip5=("lpad(cast(r.l_partkey * 7 % 100000 as string), 5, '0')", "r.l_quantity < 25"),
-        brick="concat('B', r.l_linenumber)",
+        country="concat('Country ', l_linenumber)",
+        code="concat('N', l_linenumber)",
+        rank="cast(l_linenumber as string)",
+        zip4=("lpad(cast(l_suppkey as string), 4, '0')", "l_linestatus = 'O'"),
+        zip5=("lpad(cast(l_partkey as string), 5, '0')", "true"),
+        old_zip5=("lpad(cast(l_partkey * 7 % 100000 as string), 5, '0')", "l_quantity < 25"),
+        brick="concat('B', l_linenumber)",
         kind="'sales'",
     )
     columns = [
@@ -252,10 +250,11 @@ def address_documents(spark: SparkSession, folder: str) -> DataFrame:
         "l_returnflag", "l_linestatus",
     ]
     supplier = F.expr("concat('entities/S', l_suppkey)")
-    rows = _gathered(table(spark, folder, "lineitem"), supplier, columns)
+    lines = table(spark, folder, "lineitem")
+    rows = _gathered(lines, supplier, columns, F.expr(address), "Address")
     attributes = F.struct(
         *[
-            (_each(address) if f.name == "Address" else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col("Address") if f.name == "Address" else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in ATTRIBUTES_TYPE.fields
         ]
     )
@@ -279,7 +278,8 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     columns = ["l_linenumber", "l_partkey", "l_quantity"]
     lines = table(spark, folder, "lineitem")
-    items = _gathered(lines, F.col("l_orderkey"), columns).toDF("o_orderkey", "items")
+    items = _gathered(lines, F.col("l_orderkey"), columns, F.struct(*columns), "items")
+    items = items.withColumnRenamed("uri", "o_orderkey")
     head = F.struct(
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("prio")
     )
