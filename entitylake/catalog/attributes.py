@@ -14,7 +14,7 @@ from entitylake.catalog.facts import (
     SINGLE,
 )
 from entitylake.operators.crosswalk import crosswalk_table, crosswalk_uri_table
-from entitylake.operators.linkage import uri_join
+from entitylake.operators.linkage import largest_value_per_uri, uri_join
 from entitylake.operators.melt import melt_grouped, melt_nested, melt_single, reference_ids
 from entitylake.operators.pivot import (
     pivot_conditional,
@@ -203,7 +203,7 @@ FROM long WHERE part IN ('City', 'Zip_Zip5', 'OriginalZip_Zip5') GROUP BY ALL"""
 
 def wide_single(spark: SparkSession, sf: str) -> DataFrame:
     docs = entity_documents(spark, sf)
-    attributes = melt_single(docs, SINGLE_PATHS, keep_empty=False)
+    attributes = largest_value_per_uri(melt_single(docs, SINGLE_PATHS, keep_empty=False))
     linked = uri_join(crosswalk_uri_table(docs, keep_empty=False), attributes)
     return pivot_single(linked, ["Name", "Segment", "UniqueId"])
 
@@ -213,7 +213,7 @@ WIDE_SINGLE = f"WITH {SINGLE} SELECT * FROM single"
 
 def wide_nested(spark: SparkSession, sf: str) -> DataFrame:
     docs = entity_documents(spark, sf)
-    attributes = melt_nested(docs, [CITY, RANK, COUNTRY], keep_empty=False)
+    attributes = largest_value_per_uri(melt_nested(docs, [CITY, RANK, COUNTRY], keep_empty=False))
     linked = uri_join(crosswalk_uri_table(docs, keep_empty=False), attributes)
     return pivot_nested(linked, ["City", "Rank", "Country"])
 

@@ -16,6 +16,7 @@ from entitylake.catalog.attributes import (
 from entitylake.catalog.facts import ATTRIBUTES, CROSSWALKS, LINKED_ADDRESSES, NESTED, SINGLE
 from entitylake.operators.crosswalk import crosswalk_table, crosswalk_uri_table
 from entitylake.operators.linkage import (
+    largest_value_per_uri,
     nested_entity_join,
     reference_id_join,
     semi_join_uri,
@@ -109,7 +110,7 @@ FROM single JOIN reference_attr AS r ON "EntityID" = CAST(r.c AS VARCHAR) AND r.
 
 def with_unique_ids(spark: SparkSession, sf: str) -> DataFrame:
     docs = entity_documents(spark, sf)
-    attributes = melt_nested(docs, [CITY, RANK], keep_empty=False)
+    attributes = largest_value_per_uri(melt_nested(docs, [CITY, RANK], keep_empty=False))
     crosswalks = crosswalk_uri_table(docs, keep_empty=False)
     nested = pivot_nested(uri_join(crosswalks, attributes), ["City", "Rank"])
     single = linked_single(docs, SINGLE_PATHS, NAMES)

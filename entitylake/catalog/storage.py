@@ -32,16 +32,20 @@ DOCS_PER_FILE = 512
 def _multiline_files(spark: SparkSession, sf: str, broken: bool = False) -> str:
     """Customer documents as multi-line files, each an array of at most ``DOCS_PER_FILE``.
 
-    Customer keys are unique, so a range of keys bounds the documents of a file.  With ``broken``
-    every fourth file is cut short.
+    A file holds the documents of one block of table rows.  With ``broken`` every fourth range of
+    customer keys is cut short.
     """
     path = scratch_path(spark, "multiline")
-    number = F.expr(f"cast(split(uri, '/')[1] as bigint) div {DOCS_PER_FILE}")
     text = F.to_json(F.struct("attributes", "crosswalks", "uri"), {"pretty": "true"})
     files = (
-        customer_documents(spark, sf).groupBy(number.alias("number")).agg(
-            F.collect_list(text).alias("texts")
+        customer_documents(
+            spark, sf,
+            F.hash("_metadata.file_path").alias("file"),
+            F.expr(f"_metadata.row_index div {DOCS_PER_FILE}").alias("block"),
+            F.expr(f"c_custkey div {DOCS_PER_FILE}").alias("number"),
         )
+        .groupBy("file", "block", "number")
+        .agg(F.collect_list(text).alias("texts"))
     )
     whole = F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("\n]"))
     cut = F.substring(whole, F.lit(1), F.length(whole) - 40)
@@ -185,16 +189,15 @@ def audit_trail(spark: SparkSession, sf: str) -> DataFrame:
     """A run that succeeds and one that fails, as recorded."""
     audit, target = scratch_path(spark, "audit"), scratch_path(spark, "audited")
     orders = table(spark, sf, "orders")
+    started = "2024-02-29 12:00:00"
     audited_write(
-        orders, lambda df: df.where(F.col("o_orderstatus") == "F"),
-        lambda df: write_parquet(df, target), audit,
-        "orders", "001", "orders", "finished", "2024-02-29 12:00:00",
+        orders, lambda df: df.where(F.col("o_orderstatus") == "F"), target, audit,
+        "orders", "001", "orders", "finished", started,
     )
     try:
         audited_write(
-            orders, lambda df: conform_columns(df, ["o_orderkey"]),
-            lambda df: write_parquet(df, target), audit,
-            "orders", "002", "orders", "finished", "2024-02-29 12:00:00",
+            orders, lambda df: conform_columns(df, ["o_orderkey"]), target, audit,
+            "orders", "002", "orders", "finished", started,
         )
     except ValueError:
         pass

@@ -81,12 +81,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _typed(df: DataFrame) -> DataFrame:
-    """All columns of the document schema, absent ones NULL."""
+    """All columns of the document schema, absent ones NULL, then any others."""
+    names = DOCUMENT_SCHEMA.names
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in DOCUMENT_SCHEMA.fields
-        ]
+        ],
+        *[c for c in df.columns if c not in names],
     )
 
 
@@ -148,8 +150,8 @@ def _customer_address(number: int) -> str:
     )
 
 
-def customer_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One document per customer, without crosswalks.
+def customer_documents(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
+    """One document per customer, without crosswalks; ``extra`` columns of the table follow.
 
     ``Name`` is empty for a negative balance; nations below 5 have a withdrawn second segment; nation
     7 has two surviving reference ids; even nations have a second address.
@@ -173,7 +175,7 @@ def customer_documents(spark: SparkSession, folder: str) -> DataFrame:
       'Segment', if(c_nationkey < 5, array({segment}, {legacy}), array({segment})),
       'UniqueId', array({_leaf(uri('UniqueId/u1'), "concat('U', c_custkey)", 'true')}))"""
     rows = table(spark, folder, "customer").withColumn("uri", F.expr("concat('entities/', c_custkey)"))
-    return _typed(rows.select("uri", F.expr(attributes).alias("attributes")))
+    return _typed(rows.select("uri", F.expr(attributes).alias("attributes"), *extra))
 
 
 def _gathered(

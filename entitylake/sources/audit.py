@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from entitylake.sources.sinks import sized
+
 AUDIT_SCHEMA = (
     "job_name string, job_id string, job_start_time string, src_obj_name string, "
     "tgt_obj_name string, src_rec_count bigint, tgt_rec_count bigint, "
@@ -37,33 +39,37 @@ def audit_row(
 def audited_write(
     source: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
-    write: Callable[[DataFrame], None],
+    target: str,
     audit_path: str,
     job_name: str,
     job_id: str = "",
     source_name: str = "",
-    target_name: str = "",
+    target_name: str | None = None,
     started: str | None = None,
+    mode: str = "append",
+    target_files: int | None = None,
 ) -> None:
-    """Run ``write(transform(source))`` and append its audit row; a failure is recorded and raised.
+    """Write ``transform(source)`` to ``target`` and append the run's audit row to ``audit_path``.
 
-    The target count is taken while the rows are written, in the last stage, where a repeated task
-    is not counted twice.  Source rows pass through shuffles, whose tasks may run again after a lost
-    executor, so they are counted on their own: for Parquet that reads file footers only.
+    A failure is recorded and raised.  Target rows are counted while they are written, behind the
+    last shuffle, where a task that runs again is not counted twice.  Source rows pass through
+    shuffles, whose tasks may be repeated after a lost executor, so they are counted on their own:
+    for Parquet that reads file footers only.
     """
     spark = source.sparkSession
     started = started or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     counted = Observation()
     try:
-        rows = transform(source)
-        write(rows.observe(counted, F.count(F.lit(1)).alias("rows")))
+        rows = sized(transform(source), target_files).observe(
+            counted, F.count(F.lit(1)).alias("rows")
+        )
+        rows.write.mode(mode).parquet(target)
         entry = audit_row(
-            spark, job_name, job_id, started, source_name, target_name,
-            source.count(), counted.get["rows"],
+            spark, job_name, job_id, started, source_name,
+            target if target_name is None else target_name, source.count(), counted.get["rows"],
         )
     except Exception as error:
-        audit_row(spark, job_name, job_id, started, error=error).write.mode("append").parquet(
-            audit_path
-        )
+        failure = audit_row(spark, job_name, job_id, started, error=error)
+        failure.write.mode("append").parquet(audit_path)
         raise
     entry.write.mode("append").parquet(audit_path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -21,9 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError(f"{SHARED} must name a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="entitylake-")
-    spark.conf.set(SHARED, folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="entitylake-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -88,14 +88,13 @@ def test_audit_records_success_and_failure(spark, tmp_path):
     audit, target = str(tmp_path / "audit"), str(tmp_path / "t")
     source = spark.range(10)
     even = lambda df: df.where("id % 2 = 0")
-    write = lambda df: write_parquet(df, target)
-    audited_write(source, even, write, audit, "job", "1", "src", "tgt")
+    audited_write(source, even, target, audit, "job", "1", "src", "tgt")
 
     def broken(df):
         return df.select(F.raise_error(F.lit("boom")).alias("x"))
 
     with pytest.raises(Exception, match="boom"):
-        audited_write(source, broken, write, audit, "job", "2")
+        audited_write(source, broken, target, audit, "job", "2")
     good, bad = spark.read.parquet(audit).orderBy("job_id").collect()
     assert (good.flag, good.src_rec_count, good.tgt_rec_count) == ("SUCCESS", 10, 5)
     assert (bad.flag, bad.src_rec_count, bad.src_obj_name) == ("FAIL", 0, "")
@@ -106,19 +105,37 @@ def test_target_count_is_of_this_run_only(spark, tmp_path):
     audit, target = str(tmp_path / "audit"), str(tmp_path / "t")
     for job in ("1", "2"):
         audited_write(
-            spark.range(4), lambda df: df.groupBy("id").count(),
-            lambda df: write_parquet(df, target, target_files=2), audit, "job", job,
+            spark.range(4), lambda df: df.groupBy("id").count(), target, audit, "job", job,
+            target_files=int(job),
         )
     assert [r.tgt_rec_count for r in spark.read.parquet(audit).collect()] == [4, 4]
 
 
-def test_shared_folder(spark, conf, tmp_path):
-    conf("spark.checkpoint.dir", str(tmp_path))
-    assert scratch_path(spark, "x").startswith(f"{tmp_path}/x-")
+class _Session:
+    """Only the settings of a session."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self._settings = {k.replace("_", "."): v for k, v in settings.items()}
+
+    def get(self, name, default=None):
+        return self._settings.get(name, default)
+
+
+def test_shared_folder():
+    named = _Session(spark_checkpoint_dir="/shared/x/", spark_master="yarn")
+    assert scratch_path(named, "t").startswith("/shared/x/t-")
+    assert scratch_path(named, "t") != scratch_path(named, "t")
+    local = _Session(spark_master="local[2]")
+    assert os.path.isdir(shared_folder(local)) and shared_folder(local) == shared_folder(local)
+    with pytest.raises(ValueError, match="shared by the cluster"):
+        shared_folder(_Session(spark_master="yarn"))
+
+
+def test_staged_table_lies_in_the_shared_folder(spark):
     table = staged(spark.range(3), "numbers")
-    assert table.count() == 3 and table.inputFiles()[0].startswith(f"file:{tmp_path}/numbers-")
-    conf("spark.checkpoint.dir", "")
-    assert os.path.isdir(shared_folder(spark))
+    assert table.count() == 3
+    assert f"{shared_folder(spark)}/numbers-" in table.inputFiles()[0]
 
 
 def test_intake_in_chunks_with_archive(spark, tmp_path):
