@@ -1 +1 @@
-
+"""Analytics over nested master-data documents, as DataFrame functions."""

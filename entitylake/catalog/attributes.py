@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from entitylake.catalog.facts import (
     ADDRESSES,
     ATTRIBUTES,
-    CROSSWALKS,
     LINKED_ADDRESSES,
     NESTED,
     SINGLE,

@@ -28,7 +28,6 @@ from entitylake.operators.pivot import pivot_nested
 from entitylake.plans.address import address_wide
 from entitylake.plans.entity import entity_wide, linked_single
 from entitylake.samples.documents import (
-    address_documents,
     crosswalk_documents,
     entity_documents,
     linked_address_documents,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake.catalog.attributes import CITY, COUNTRY, RANK, SINGLE_PATHS
-from entitylake.catalog.facts import ADDRESSES, ATTRIBUTES, NESTED
+from entitylake.catalog.facts import ATTRIBUTES, NESTED
 from entitylake.catalog.links import NAMES
 from entitylake.operators.columns import conform_columns
 from entitylake.operators.melt import melt_groups, melt_single

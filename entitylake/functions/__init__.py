@@ -1 +1 @@
-
+"""Column expressions and schema paths."""

@@ -1 +1 @@
-
+"""The two complete jobs."""

@@ -1 +1 @@
-
+"""Documents derived from flat tables."""

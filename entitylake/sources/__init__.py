@@ -1 +1 @@
-
+"""Readers, sinks, audit and shared-folder tables."""

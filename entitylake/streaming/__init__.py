@@ -1 +1 @@
-
+"""File-stream intake."""
