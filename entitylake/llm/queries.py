@@ -2,20 +2,99 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitylake.llm import exact_dedup, language_id, near_dedup
+from entitylake.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    near_dedup,
+    packing,
+    quality_mil,
+    quality_rules,
+    secret_scan,
+    sharding,
+    warc,
+)
 from entitylake.llm.common import table
+from entitylake.sources.scratch import scratch_path
 
+SHARDS = 24
+QUALITY_THRESHOLD = 0.3
 
-def _remainder(key: str, modulus: int):
+
+def _remainder(key: str, modulus: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
 
 
-def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, folder, "documents"), with_ids=False)
+    return packing.pack(pieces)
+
+
+def op2_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    known = warc.headers(table(spark, folder, "pages"), "page_id", "url", "html")
+    path = scratch_path(spark, "archives")
+    run = warc.write_archives(warc.resolved(known), path)
+    back = warc.read_archives(spark, path, run)
+    digest = F.when(
+        F.col("html").isNotNull(), F.sha1(F.encode("html", "UTF-8"))
+    ).otherwise(F.col("digest"))
+    size = F.coalesce(F.octet_length("html").cast("long"), F.col("payload_bytes"))
+    return back.select(
+        F.col("page_id").cast("long").alias("page_id"), size.alias("payload_bytes"),
+        digest.alias("payload_digest"), "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(table(spark, folder, "documents"))))
+
+
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    return near_dedup.near_duplicates(documents, words=3, percent=85)
+    model = secret_scan.train(documents)
+    found = secret_scan.scan(documents.select("doc_id", "text"), model)
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.filter("secrets", lambda s: s["kind"] == i)).cast("long").alias(f"n_{kind}")  # noqa: B023
+            for i, kind in enumerate(secret_scan.KINDS[:3])
+        ],
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("secrets")).alias("spans"),
+    )
+
+
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+def op6_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    rows = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+    )
+    placed = sharding.shuffled_shards(rows, SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(_remainder("doc_id", 5) != 0)
+    model = quality_mil.train(documents, labels, "doc_id", "text", "quality")
+    scored = documents.select("doc_id", quality_mil.quality(model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
 
 
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,10 +106,34 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return quality_rules.assessed(documents).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+SQL_OP2 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+r AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+                 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes)
+                 ELSE page_id END AS first_id
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       nullif(first_id, page_id) AS refers_to
+FROM r
+"""
+
 SQL_OP10 = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -44,7 +147,14 @@ FROM d JOIN g USING (norm)
 """
 
 CASES = {
+    "op1_best_fit_packing": (op1_best_fit_packing, None),
+    "op2_warc_revisits": (op2_warc_revisits, SQL_OP2),
+    "op3_byte_bpe": (op3_byte_bpe, None),
+    "op4_secret_scan": (op4_secret_scan, None),
     "op5_minhash_near_dedup": (op5_minhash_near_dedup, None),
+    "op6_hypergeometric_shards": (op6_hypergeometric_shards, None),
+    "op7_quality_mil": (op7_quality_mil, None),
     "op8_language_id": (op8_language_id, None),
+    "op9_quality_rules": (op9_quality_rules, None),
     "op10_exact_dedup": (op10_exact_dedup, SQL_OP10),
 }
