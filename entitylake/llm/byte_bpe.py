@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from entitylake.llm.chunk_cache import ChunkCache
 from entitylake.llm.common import field, slices
 
-TRANSITIONS_KEPT = 1_500_000
+TRANSITIONS_KEPT = 800_000
 STEP = 4096  # ids that are decoded at a time
 
 
@@ -53,9 +53,12 @@ class Transducer:
 
     def _reset(self) -> None:
         self.names = {(None, b""): 0}
-        self.states: list[tuple[bytes | None, bytes, list[bytes]]] = [(None, b"", [])]
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.ends: dict[int, tuple[int, ...]] = {0: ()}
+        # per state: last token emitted, bytes not emitted, the last token of each of their prefixes,
+        # and where a token may still begin
+        self.states: list[tuple] = [(None, b"", (), (0,))]
+        self.next: dict[int, int] = {}
+        self.out: dict[int, tuple[int, ...]] = {}  # where a transition emits
+        self.ends: list[tuple[int, ...]] = [()]
 
     def merged(self, data: bytes) -> list[bytes]:
         """The definition: always join the adjacent pair of lowest rank, leftmost first."""
@@ -81,56 +84,61 @@ class Transducer:
             self.adjacent[key] = self.merged(b"".join(whole)) == whole
         return self.adjacent[key]
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Make one transition.  ``tokens[i]`` is the last token of the first ``i + 1`` open bytes."""
-        last, waiting, tokens = self.states[state]
-        waiting, size = waiting + bytes([byte]), len(waiting) + 1
-        for start in range(size):
+    def _ids(self, tokens: tuple[bytes, ...], end: int) -> tuple[int, ...]:
+        """The ids of the tokens that make the first ``end`` bytes."""
+        ids = []
+        while end > 0:
+            ids.append(self.ranks[tokens[end - 1]])
+            end -= len(tokens[end - 1])
+        return tuple(reversed(ids))
+
+    def _step(self, state: int, byte: int) -> int:
+        """Make one transition."""
+        last, waiting, tokens, live = self.states[state]
+        waiting += bytes((byte,))
+        for start in live:
             token = waiting[start:]
-            before = tokens[start - 1] if start else last
-            if token in self.ranks and self._follows(None, token) and (
-                before is None or self._follows(before, token)
-            ):
-                break
+            if token in self.ranks and self._follows(None, token):
+                before = tokens[start - 1] if start else last
+                if before is None or self._follows(before, token):
+                    break
         else:
             raise ValueError("the ranks lack a single byte")
-        tokens = [*tokens, token]
+        tokens = (*tokens, token)
+        live = (*(p for p in live if waiting[p:] in self.prefixes), len(waiting))
         shared = None
-        for place in range(size + 1):
-            if waiting[place:] in self.prefixes:
-                chain, at = {0}, place
-                while at > 0:
-                    chain.add(at)
-                    at -= len(tokens[at - 1])
-                shared = chain if shared is None else shared & chain
-        cut = max(shared)
-        out, at = [], cut
-        while at > 0:
-            out.append(self.ranks[tokens[at - 1]])
-            at -= len(tokens[at - 1])
+        for place in live:
+            chain = {0}
+            while place > 0:
+                chain.add(place)
+                place -= len(tokens[place - 1])
+            shared = chain if shared is None else shared & chain
+            if len(shared) == 1:
+                break
+        cut, key = max(shared), state << 8 | byte
         if cut:
+            self.out[key] = self._ids(tokens, cut)
             last, waiting, tokens = tokens[cut - 1], waiting[cut:], tokens[cut:]
+            live = tuple(p - cut for p in live)
         name = (last, waiting)
-        if name not in self.names:
-            self.names[name] = len(self.states)
-            self.states.append((last, waiting, tokens))
-            at, rest = len(waiting), []
-            while at > 0:
-                rest.append(self.ranks[tokens[at - 1]])
-                at -= len(tokens[at - 1])
-            self.ends[self.names[name]] = tuple(reversed(rest))
-        step = self.steps[state << 8 | byte] = (self.names[name], tuple(reversed(out)))
-        return step
+        found = self.names.get(name)
+        if found is None:
+            found = self.names[name] = len(self.states)
+            self.states.append((last, waiting, tokens, live))
+            self.ends.append(self._ids(tokens, len(waiting)))
+        self.next[key] = found
+        return found
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self.steps) > self.limit:
+        if len(self.next) > self.limit:
             self._reset()
-        state, out, known = 0, [], self.steps.get
+        state, out, known, emitted = 0, [], self.next.get, self.out.get
         for byte in data:
-            step = known(state << 8 | byte) or self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
+            key = state << 8 | byte
+            state = known(key) or self._step(state, byte)
+            ids = emitted(key)
+            if ids:
+                out += ids
         out += self.ends[state]
         return out
 

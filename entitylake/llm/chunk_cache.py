@@ -25,20 +25,33 @@ class ChunkCache:
     """``encode`` gets chunks not seen before and gives the ids of each.
 
     A text is a list of chunks; its ids are those of its chunks, one after the other.  The memory is
-    bounded: it starts anew when more than ``limit`` chunks are known.
+    bounded: when more than ``limit`` chunks are known, those met once are forgotten, and all but the
+    more frequent half of ``limit``.
     """
 
     def __init__(self, encode: Callable[[list], list[Sequence[int]]], limit: int = CHUNKS_KEPT):
         self.encode, self.limit = encode, limit
-        self._reset()
-
-    def _reset(self) -> None:
         self.ordinals = _Ordinals()
+        self.uses = np.zeros(1 << 12, np.int64)
         self.starts = np.zeros(1 << 12, np.int64)
         self.sizes = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 14, np.uint32)
         self.known = self.used = 0
 
+    def _forget(self) -> None:
+        uses = self.uses[: self.known]
+        keep = np.flatnonzero(uses > 1)
+        if 2 * len(keep) > self.limit:
+            keep = np.sort(keep[np.argsort(-uses[keep], kind="stable")[: self.limit // 2]])
+        chunks = list(self.ordinals)
+        self.ordinals = _Ordinals()
+        self.ordinals.update((chunks[k], i) for i, k in enumerate(keep.tolist()))
+        sizes, starts = self.sizes[keep], self.starts[keep]
+        self.flat = self.flat[_spans(starts, sizes)]
+        self.known, self.used = len(keep), len(self.flat)
+        self.sizes, self.uses = sizes, np.ones(len(keep), np.int64)
+        self.starts = np.cumsum(sizes) - sizes
+
     def _learn(self) -> None:
         fresh, self.ordinals.fresh = self.ordinals.fresh, []
         if not fresh:
@@ -46,6 +59,7 @@ class ChunkCache:
         found = self.encode(fresh)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+        self.uses = _room(self.uses, self.known + len(fresh))
         self.starts = _room(self.starts, self.known + len(fresh))
         self.sizes = _room(self.sizes, self.known + len(fresh))
         self.flat = _room(self.flat, self.used + len(ids))
@@ -58,20 +72,24 @@ class ChunkCache:
 
     def ids(self, texts: list[list]) -> list[np.ndarray]:
         if self.known > self.limit:
-            self._reset()
+            self._forget()
         number = self.ordinals.__getitem__
         chunks = [np.fromiter(map(number, text), np.int64, len(text)) for text in texts]
         self._learn()
         out = []
         for numbers in chunks:
-            sizes = self.sizes[numbers]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            shift = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
-            out.append(self.flat[shift + np.arange(total)])
+            np.add.at(self.uses, numbers, 1)
+            out.append(self.flat[_spans(self.starts[numbers], self.sizes[numbers])])
         return out
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all given spans, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
+
+
 def _room(values: np.ndarray, size: int) -> np.ndarray:
     if size <= len(values):
         return values

@@ -150,9 +150,9 @@ def train(
             units = np.rint(units * _UNIT).astype(np.int64)
             for name, at in batch.groupby("label").indices.items():
                 total[name] = total.get(name, 0) + units[at].sum(0)
-        yield pd.DataFrame(
-            {"label": list(total), "vector": [v.tolist() for v in total.values()]}
-        )
+        if total:
+            vectors = [v.tolist() for v in total.values()]
+            yield pd.DataFrame({"label": list(total), "vector": vectors})
 
     partial = labelled.select("text", "label").mapInPandas(sums, "label string, vector array<long>")
     by_place = partial.select("label", F.posexplode("vector").alias("place", "value"))

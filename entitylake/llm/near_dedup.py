@@ -1,7 +1,7 @@
 """Near-duplicate documents by MinHash bands, odd sketches and a confirmation on full sets.
 
 A document's set are its distinct shingles of some words, as 64-bit hashes.  512 MinHash samples are
-taken of it; the first 160 make 32 bands of 5 rows, and all of them are folded into an odd sketch of
+taken of it; the first 200 make 40 bands of 5 rows, and all of them are folded into an odd sketch of
 1,024 bits, each sample flipping one bit.  The number of bits in which two sketches differ estimates
 the similarity, most precisely where it is high.  Candidates share a band; those whose sketches
 are clearly apart are dropped, and the others are confirmed on their full sets, exactly.
@@ -12,8 +12,8 @@ band (the hub).  Only classes that this leaves in another component than their b
 compared with the rest of the band, block by block on their sketches, inside tasks of bounded
 size.  Every link that could join two components is looked at, so components are those of all links.
 
-A pair at the threshold of 0.85 shares no band with a probability of 7e-9, and its sketches
-are taken for too far apart (by more than ``MARGIN``, over 5 standard deviations) with one of 1e-7.
+A pair at a threshold of 0.85 shares no band with a probability of 7e-11, at 0.8 of 1.2e-7; its sketches
+are taken for too far apart (by more than ``MARGIN``, 5 standard deviations) with one below 1e-6.
 
 Defined results: a text with fewer words than a shingle is one shingle; an empty or NULL text has
 none and links with nothing.  Rows that share an id are one vertex.  A row without id takes the
@@ -35,7 +35,7 @@ from entitylake.llm.components import components
 from entitylake.operators.linkage import even_join
 from entitylake.sources.scratch import staged
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 40, 5
 SAMPLES = 512  # two from each of half as many products
 SKETCH_BITS = 1024
 MARGIN = 0.09

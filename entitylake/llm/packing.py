@@ -343,3 +343,9 @@ def pack(
     return even_join(dealt, placed, ["_cell", "_part", "_place"]).select(
         *pieces.columns, "sequence_id", "offset"
     )
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """``sequence_id, ids``: the ids of each sequence, from packed pieces with their ids."""
+    rows = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return packed.groupBy("sequence_id").agg(F.flatten(F.transform(rows, lambda r: r["ids"])).alias("ids"))
