@@ -4,7 +4,7 @@ Headers (id, digest, size) are shuffled by payload digest; of equal payloads the
 largest id stays a response and the others become revisits that refer to it.  Only headers meet there;
 a payload moves once, when records join their decision.  Archives are text files whose lines end
 with the two empty lines that part WARC records, so writing is Spark's: it survives lost tasks, any
-file system will do, and files can be split for reading.  Every record begins with a mark unique to
+file system will do, and files that are not compressed can be split for reading.  Every record begins with a mark unique to
 its run, which no payload written with it can contain; reading splits at that mark and checks the
 declared length of every block.
 
@@ -63,11 +63,13 @@ def _record_id(run: str, key) -> object:
 
 
 def write_archives(
-    records: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", run: str | None = None
+    records: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", run: str | None = None,
+    compression: str = "gzip",
 ) -> str:
     """Write records as WARC 1.1 and return the run's mark, which :func:`read_archives` needs.
 
-    A revisit has no block; a response's block is its payload.
+    A revisit has no block; a response's block is its payload.  Each partition is a file; compressed
+    files are read by one task each, those of ``compression="none"`` by several.
     """
     run = run or uuid.uuid4().hex
     revisit = F.col("record_type") == "revisit"
@@ -96,7 +98,7 @@ def write_archives(
         line("Content-Length", F.octet_length(block).cast("string")),
     )
     text = F.concat(known, F.lit(BREAK), block).alias("value")
-    records.select(text).write.option("lineSep", END).text(path)
+    records.select(text).write.text(path, compression=compression, lineSep=END)
     return run
 
 
