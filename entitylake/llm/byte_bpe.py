@@ -18,6 +18,7 @@ one for each longest start of a character, as usual.  Repeated rows get equal re
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import re
 
@@ -31,9 +32,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from entitylake.llm.chunk_cache import ChunkCache
-from entitylake.llm.common import field, slices
+from entitylake.llm.common import field, portions
 
-TRANSITIONS_KEPT = 800_000
+TRANSITIONS_KEPT = 350_000
+CHUNKS_KEPT = 250_000
 STEP = 4096  # ids that are decoded at a time
 
 
@@ -47,18 +49,19 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int], limit: int = TRANSITIONS_KEPT):
         self.ranks, self.limit = ranks, limit
+        self.tokens = {number: token for token, number in ranks.items()}
         self.prefixes = {token[:n] for token in ranks for n in range(len(token))}
-        self.adjacent: dict[tuple[bytes | None, bytes], bool] = {}
+        self.whole: dict[int, bool] = {}
+        self.adjacent: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.names = {(None, b""): 0}
-        # per state: last token emitted, bytes not emitted, the last token of each of their prefixes,
-        # and where a token may still begin
-        self.states: list[tuple] = [(None, b"", (), (0,))]
+        self.names = {(-1, b""): 0}
+        # per state: last id emitted, bytes not emitted, the last id of each of their prefixes, and
+        # where a token may still begin
+        self.states: list[tuple] = [(-1, b"", (), (0,))]
         self.next: dict[int, int] = {}
         self.out: dict[int, tuple[int, ...]] = {}  # where a transition emits
-        self.ends: list[tuple[int, ...]] = [()]
 
     def merged(self, data: bytes) -> list[bytes]:
         """The definition: always join the adjacent pair of lowest rank, leftmost first."""
@@ -74,58 +77,64 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _follows(self, last: bytes | None, token: bytes) -> bool:
-        """Whether ``token`` may stand after ``last``, or at the start if that is None."""
-        key = (last, token)
-        if key not in self.adjacent:
+    def _stands(self, last: int, number: int) -> bool:
+        """Whether a token may stand after ``last``, or at the start if that is negative."""
+        token = self.tokens[number]
+        good = self.whole.get(number)
+        if good is None:
+            good = self.whole[number] = self.merged(token) == [token]
+        if last < 0 or not good:
+            return good
+        key = last << 32 | number
+        good = self.adjacent.get(key)
+        if good is None:
             if len(self.adjacent) > self.limit:
                 self.adjacent.clear()
-            whole = [token] if last is None else [last, token]
-            self.adjacent[key] = self.merged(b"".join(whole)) == whole
-        return self.adjacent[key]
+            before = self.tokens[last]
+            good = self.adjacent[key] = self.merged(before + token) == [before, token]
+        return good
 
-    def _ids(self, tokens: tuple[bytes, ...], end: int) -> tuple[int, ...]:
-        """The ids of the tokens that make the first ``end`` bytes."""
+    def _ids(self, ends: tuple[int, ...], end: int) -> tuple[int, ...]:
+        """The ids that make the first ``end`` bytes."""
         ids = []
         while end > 0:
-            ids.append(self.ranks[tokens[end - 1]])
-            end -= len(tokens[end - 1])
+            number = ends[end - 1]
+            ids.append(number)
+            end -= len(self.tokens[number])
         return tuple(reversed(ids))
 
     def _step(self, state: int, byte: int) -> int:
         """Make one transition."""
-        last, waiting, tokens, live = self.states[state]
+        last, waiting, ends, live = self.states[state]
         waiting += bytes((byte,))
+        ranks, prefixes, tokens = self.ranks, self.prefixes, self.tokens
         for start in live:
-            token = waiting[start:]
-            if token in self.ranks and self._follows(None, token):
-                before = tokens[start - 1] if start else last
-                if before is None or self._follows(before, token):
-                    break
+            number = ranks.get(waiting[start:])
+            if number is not None and self._stands(ends[start - 1] if start else last, number):
+                break
         else:
             raise ValueError("the ranks lack a single byte")
-        tokens = (*tokens, token)
-        live = (*(p for p in live if waiting[p:] in self.prefixes), len(waiting))
-        shared = None
-        for place in live:
-            chain = {0}
-            while place > 0:
-                chain.add(place)
-                place -= len(tokens[place - 1])
-            shared = chain if shared is None else shared & chain
-            if len(shared) == 1:
-                break
-        cut, key = max(shared), state << 8 | byte
+        ends = (*ends, number)
+        live = [p for p in live if waiting[p:] in prefixes]
+        live.append(len(waiting))
+        # the longest part that all ways to a live place share: step back from the farthest place
+        places = live.copy()
+        while places[0] and len(places) > 1:
+            place = places.pop()
+            place -= len(tokens[ends[place - 1]])
+            if place not in places:
+                bisect.insort(places, place)
+        cut = places[0]
+        key = state << 8 | byte
         if cut:
-            self.out[key] = self._ids(tokens, cut)
-            last, waiting, tokens = tokens[cut - 1], waiting[cut:], tokens[cut:]
-            live = tuple(p - cut for p in live)
+            self.out[key] = self._ids(ends, cut)
+            last, waiting, ends = ends[cut - 1], waiting[cut:], ends[cut:]
+            live = [p - cut for p in live]
         name = (last, waiting)
         found = self.names.get(name)
         if found is None:
             found = self.names[name] = len(self.states)
-            self.states.append((last, waiting, tokens, live))
-            self.ends.append(self._ids(tokens, len(waiting)))
+            self.states.append((last, waiting, ends, tuple(live)))
         self.next[key] = found
         return found
 
@@ -139,7 +148,8 @@ class Transducer:
             ids = emitted(key)
             if ids:
                 out += ids
-        out += self.ends[state]
+        _, waiting, ends, _ = self.states[state]
+        out += self._ids(ends, len(waiting))
         return out
 
 
@@ -158,12 +168,12 @@ class TextEncoder:
                                      .replace(r"\s", r"\p{White_Space}")
                                      .replace(r"\S", r"\P{White_Space}"))
         self.pieces: dict[str, list[int]] = {}
-        self.cache = ChunkCache(self._encode)
+        self.cache = ChunkCache(self._encode, CHUNKS_KEPT)
 
     def _piece(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
         if found is None:
-            if len(self.pieces) > 300_000:
+            if len(self.pieces) > 100_000:
                 self.pieces.clear()
             found = self.transducer.encode(piece.encode("utf-8", "surrogatepass"))
             self.pieces[piece] = found
@@ -303,15 +313,12 @@ def encoded(
 
     def run(batches):
         encoder = text_encoder(path, pattern)
-        for batch in batches:
-            keys, texts = (c.to_pylist() for c in batch.columns)
-            texts = [t or "" for t in texts]
-            for low, high in slices(texts, 1 << 20, 2_000):
-                ids = [i.astype("<u4").tobytes() for i in encoder.encode(texts[low:high])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[low:high], arrow[0].type), pa.array(ids, arrow[1].type)],
-                    schema=arrow,
-                )
+        for part in portions(batches, 1):
+            texts = [t or "" for t in part.columns[1].to_pylist()]
+            ids = [i.astype("<u4").tobytes() for i in encoder.encode(texts)]
+            yield pa.RecordBatch.from_arrays(
+                [part.columns[0], pa.array(ids, pa.binary())], schema=arrow
+            )
 
     return named.mapInArrow(run, schema)
 
@@ -324,20 +331,43 @@ def decoded(encoded_: DataFrame, path: str | None = None) -> DataFrame:
     at = encoded_.columns.index("ids")
 
     def run(batches):
-        for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                data = [
-                    decode(np.frombuffer(i, "<u4"), path) if i is not None else None
-                    for i in part.columns[at].to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(data, pa.binary())], schema=arrow
-                )
+        for part in portions(batches, at, 4 << 20):
+            data = [
+                decode(np.frombuffer(i, "<u4"), path) if i is not None else None
+                for i in part.columns[at].to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], schema=arrow)
 
     return encoded_.mapInArrow(run, schema)
 
 
+def round_trip(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
+    pattern: str = public_tokenizers.PATTERN,
+) -> DataFrame:
+    """``doc_id, ids, data``: :func:`encoded` and :func:`decoded` in one pass over the texts."""
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    named = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    schema = T.StructType(
+        [
+            field(named, "doc_id"), T.StructField("ids", T.BinaryType()),
+            T.StructField("data", T.BinaryType()),
+        ]
+    )
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        encoder = text_encoder(path, pattern)
+        for part in portions(batches, 1):
+            ids = encoder.encode([t or "" for t in part.columns[1].to_pylist()])
+            data = [decode(i, path) for i in ids]
+            columns = [pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
+                       pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.columns[0], *columns], schema=arrow)
+
+    return named.mapInArrow(run, schema)
+
+
 def digests(decoded_: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
     return decoded_.select(

@@ -8,6 +8,9 @@ import shutil
 import tempfile
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -55,3 +58,20 @@ def field(df: DataFrame, column: str, name: str | None = None) -> T.StructField:
 def as_text(values) -> list[str]:
     """A pandas column of texts as a list; missing values are empty texts."""
     return [v if isinstance(v, str) else "" for v in values]
+
+
+def portions(
+    batches: Iterator[pa.RecordBatch], text: int, size: int = 1 << 20, rows: int = 2_000
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that column ``text`` has about ``size`` bytes in each part: only so much of it
+    is held as Python strings at a time."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.columns[text]), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+        low = 0
+        while low < batch.num_rows:
+            before = int(ends[low - 1]) if low else 0
+            high = int(np.searchsorted(ends, before + size, side="right"))
+            high = min(max(high, low + 1), low + rows, batch.num_rows)
+            yield batch.slice(low, high - low)
+            low = high

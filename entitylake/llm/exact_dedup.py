@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from entitylake.llm.common import field
+from entitylake.llm.common import field, portions
 from entitylake.operators.linkage import even_join
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -170,8 +170,8 @@ def groups(
 
     def local(batches):
         table = OpenTable()
-        for batch in batches:
-            for key_, text_ in zip(*(c.to_pylist() for c in batch.columns)):
+        for part in portions(batches, 1):
+            for key_, text_ in zip(*(c.to_pylist() for c in part.columns)):
                 text_ = text_ or ""
                 content = text_.encode("utf-8", "surrogatepass").translate(None, SPACE)
                 best = (-len(text_), key_ is None, key_)
@@ -184,7 +184,7 @@ def groups(
     def final(batches):
         records = (
             (digest, content, (-chars, id_ is None, id_), members)
-            for batch in batches
+            for batch in portions(batches, 1)
             for digest, content, chars, id_, members in zip(*(c.to_pylist() for c in batch.columns))
         )
         found = ((d.hex(), best[2], n) for d, _, best, n in grace(records, table_bytes))

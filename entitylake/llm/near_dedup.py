@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitylake.llm.common import slices
+from entitylake.llm.common import portions
 from entitylake.llm.components import components
 from entitylake.operators.linkage import even_join
 from entitylake.sources.scratch import staged
@@ -139,22 +139,18 @@ def signatures(documents: DataFrame, key: str, text: str, words: int) -> DataFra
 
     def signed(batches):
         shingler = _shingler(words)
-        for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            for low, high in slices([t or "" for t in texts], 1 << 20, 1_000):
-                rows = []
-                for text_ in texts[low:high]:
-                    found = shingler.shingles(text_)
-                    if len(found):
-                        least = minhashes(found)
-                        name = xxhash.xxh3_128_digest(found.tobytes(), SEED)
-                        rows.append((len(found), name, band_hashes(least), odd_sketch(least)))
-                    else:
-                        rows.append((0, None, None, None))
-                columns = [ids[low:high], *zip(*rows)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema
-                )
+        for part in portions(batches, 1):
+            rows = []
+            for text_ in part.columns[1].to_pylist():
+                found = shingler.shingles(text_)
+                if len(found):
+                    least = minhashes(found)
+                    name = xxhash.xxh3_128_digest(found.tobytes(), SEED)
+                    rows.append((len(found), name, band_hashes(least), odd_sketch(least)))
+                else:
+                    rows.append((0, None, None, None))
+            columns = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), list(schema)[1:])]
+            yield pa.RecordBatch.from_arrays([part.columns[0], *columns], schema=schema)
 
     return named.mapInArrow(
         signed, "id long, n long, class binary, bands array<long>, sketch array<long>"
@@ -167,14 +163,11 @@ def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
 
     def sets(batches):
         shingler = _shingler(words)
-        for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            for low, high in slices([t or "" for t in texts], 1 << 20, 1_000):
-                found = [shingler.shingles(t).view(np.int64) for t in texts[low:high]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[low:high], pa.int64()), pa.array(found, schema[1].type)],
-                    schema=schema,
-                )
+        for part in portions(batches, 1):
+            found = [shingler.shingles(t).view(np.int64) for t in part.columns[1].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.columns[0], pa.array(found, schema[1].type)], schema=schema
+            )
 
     return documents.mapInArrow(sets, "id long, shingles array<long>")
 

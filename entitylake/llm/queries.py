@@ -50,7 +50,7 @@ def op2_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(table(spark, folder, "documents"))))
+    return byte_bpe.digests(byte_bpe.round_trip(table(spark, folder, "documents")))
 
 
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
