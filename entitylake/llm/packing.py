@@ -20,6 +20,7 @@ from __future__ import annotations
 import bisect
 import functools
 import math
+import re
 import zlib
 from collections.abc import Callable
 
@@ -33,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
 from entitylake.llm.chunk_cache import ChunkCache
-from entitylake.llm.common import field, slices
+from entitylake.llm.common import field, portions
 from entitylake.operators.linkage import even_join
 from entitylake.sources.scratch import staged
 
@@ -51,24 +52,68 @@ SEED = 411
 # --- pieces --------------------------------------------------------------------------------------
 
 
+# How the tokenizer parts printable ASCII in lower case, and its mark of a word's end.
+ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+WORD_END = "</w>"
+PRINTABLE = re.compile(rb"[!-~]+")
+JOINED = 200  # chunks that are encoded as one text
+WORDS_KEPT = 700_000
+
+
+def _words_in(chunk: bytes) -> int:
+    """The words the tokenizer makes of a lower-case chunk, 0 where that is not plain."""
+    if PRINTABLE.fullmatch(chunk):
+        return len(ASCII_WORDS.findall(chunk))
+    text = chunk.decode("utf-8", "surrogatepass")
+    return int(text.isalpha() and max(text) < "\u0180")
+
+
 @functools.cache
 def _word_tokens(path: str) -> ChunkCache:
-    """Ids by the tokenizer file ``path``, whose tokens never reach over ASCII white space."""
+    """Ids by the tokenizer file ``path``, whose tokens never reach over ASCII white space.
+
+    Plain chunks are encoded many at a time, as one text, and told apart by their numbers of words;
+    the others one by one.
+    """
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    size = tokenizer.get_vocab_size()
+    is_end = np.array([(tokenizer.id_to_token(i) or "").endswith(WORD_END) for i in range(size)])
 
-    def encode(chunks: list[bytes]) -> list[list[int]]:
-        found: list[list[int]] = []
-        for at in range(0, len(chunks), 5_000):
-            words = [c.decode("utf-8", "surrogatepass") for c in chunks[at : at + 5_000]]
-            result = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-            ids: list[list[int]] = [[] for _ in words]
-            for word, token in zip(result.word_ids, result.ids):
-                ids[word].append(token)
-            found += ids
-        return found
+    def singly(chunks: list[bytes]) -> list[list[int]]:
+        words = [c.decode("utf-8", "surrogatepass") for c in chunks]
+        found = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids: list[list[int]] = [[] for _ in words]
+        for word, token in zip(found.word_ids, found.ids):
+            ids[word].append(token)
+        return ids
 
-    return ChunkCache(encode)
+    def encode(chunks: list[bytes]) -> list[list[int]]:
+        words = [_words_in(c) for c in chunks]
+        plain = [i for i, n in enumerate(words) if n]
+        out: list = [None] * len(chunks)
+        parts = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        texts = [b" ".join([chunks[i] for i in p]).decode("utf-8") for p in parts]
+        for part, found in zip(parts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = found.ids
+            ends = np.flatnonzero(is_end[ids])
+            last = np.cumsum([words[i] for i in part]) - 1
+            if last[-1] + 1 != len(ends):
+                for i, own in zip(part, singly([chunks[i] for i in part])):
+                    out[i] = own
+                continue
+            start = 0
+            for i, stop in zip(part, (ends[last] + 1).tolist()):
+                out[i] = ids[start:stop]
+                start = stop
+        rest = [i for i, n in enumerate(words) if not n]
+        for at in range(0, len(rest), 5_000):
+            some = rest[at : at + 5_000]
+            for i, own in zip(some, singly([chunks[i] for i in some])):
+                out[i] = own
+        return out
+
+    return ChunkCache(encode, WORDS_KEPT)
 
 
 def token_pieces(
@@ -96,20 +141,19 @@ def token_pieces(
 
     def cut(batches):
         cache = _word_tokens(path)
-        for batch in batches:
-            keys, texts = (c.to_pylist() for c in batch.columns)
-            texts = [t or "" for t in texts]
-            for low, high in slices(texts, 1 << 20, 2_000):
-                chunks = [t.encode("utf-8", "surrogatepass").split() for t in texts[low:high]]
-                rows = []
-                for name, ids in zip(keys[low:high], cache.ids(chunks)):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                    for number, start in enumerate(range(0, len(ids), limit)):
-                        part = ids[start : start + limit]
-                        row = (name, number, start, len(part), zlib.crc32(part.tobytes()))
-                        rows.append((*row, part.view(np.int32)) if with_ids else row)
-                columns = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), arrow)]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        for portion in portions(batches, 1):
+            keys, texts = (c.to_pylist() for c in portion.columns)
+            # the tokenizer lowers letters anyway; doing so for A-Z first leaves fewer chunks to know
+            chunks = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+            rows = []
+            for name, ids in zip(keys, cache.ids(chunks)):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                for number, start in enumerate(range(0, len(ids), limit)):
+                    part = ids[start : start + limit]
+                    row = (name, number, start, len(part), zlib.crc32(part.tobytes()))
+                    rows.append((*row, part.view(np.int32)) if with_ids else row)
+            columns = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), arrow)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return named.mapInArrow(cut, schema)
 
