@@ -243,6 +243,8 @@ def _compare(band: int, rows: list[dict], others: list[dict], limit: int, percen
         [np.array([r[c] for r in side], np.int64) for side in (rows, others)]
         for c in ("id", "component", "n", "bands", "sketch")
     )
+    # as unsigned numbers: of signed ones the bits of the absolute value would be counted
+    sketches = [s.view(np.uint64) for s in sketches]
     apart = np.zeros((len(rows), len(others)), np.int64)
     for i in range(sketches[0].shape[1]):
         apart += np.bitwise_count(sketches[0][:, None, i] ^ sketches[1][None, :, i])
