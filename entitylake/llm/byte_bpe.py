@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from entitylake.llm.chunk_cache import ChunkCache
-from entitylake.llm.common import field, portions
+from entitylake.llm.common import field, portions, resident
 
 TRANSITIONS_KEPT = 350_000
 CHUNKS_KEPT = 250_000
@@ -202,9 +202,8 @@ class TextEncoder:
         return self.cache.ids([self._chunks(t) if t else [] for t in texts])
 
 
-@functools.cache
 def text_encoder(path: str, pattern: str) -> TextEncoder:
-    return TextEncoder(read_ranks(path), pattern)
+    return resident(("bytes", path, pattern), lambda: TextEncoder(read_ranks(path), pattern))
 
 
 # --- decoding --------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ import functools
 import os
 import shutil
 import tempfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_held: dict = {}
+
+
+def resident(name: tuple, make: Callable):
+    """What an operator keeps between the tasks of a Python worker, made when first asked for.
+
+    Only the latest operator's is kept: workers outlive stages, and the next stage needs the memory.
+    """
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def slices(texts: Sequence[str], chars: int, rows: int) -> Iterator[tuple[int, int]]:
     """Cut a batch into ranges of at most ``rows`` texts and about ``chars`` characters."""
     start = size = 0

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitylake.llm.common import as_text, slices
+from entitylake.llm.common import as_text, resident, slices
 
 UNDETERMINED = "und"
 DIMENSIONS = 1024
@@ -144,7 +144,7 @@ def train(
         )
 
     def sums(batches):
-        space, total = Hyperspace(dimensions, seed), {}
+        space, total = _spaces(dimensions, seed), {}
         for batch in batches:
             units = _unit(space.bundle(as_text(batch["text"])).astype(np.float64))
             units = np.rint(units * _UNIT).astype(np.int64)
@@ -200,14 +200,9 @@ def predict(model: LanguageModel, text: Column) -> Column:
     return languages(text)
 
 
-_cache: dict[tuple[int, int], Hyperspace] = {}
-
-
 def _spaces(dimensions: int, seed: int) -> Hyperspace:
-    """The letter vectors of a worker, made once."""
-    if (dimensions, seed) not in _cache:
-        _cache[dimensions, seed] = Hyperspace(dimensions, seed)
-    return _cache[dimensions, seed]
+    """The letter vectors of a worker."""
+    return resident(("letters", dimensions, seed), lambda: Hyperspace(dimensions, seed))
 
 
 def with_language(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitylake.llm.common import portions
+from entitylake.llm.common import portions, resident
 from entitylake.llm.components import components
 from entitylake.operators.linkage import even_join
 from entitylake.sources.scratch import staged
@@ -44,7 +44,7 @@ SEED = 7_919
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 200_000
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -82,9 +82,8 @@ class Shingler:
         return np.unique(total)
 
 
-@functools.cache
 def _shingler(words: int) -> Shingler:
-    return Shingler(words)
+    return resident(("shingles", words), lambda: Shingler(words))
 
 
 @functools.cache

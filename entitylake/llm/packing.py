@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
 from entitylake.llm.chunk_cache import ChunkCache
-from entitylake.llm.common import field, portions
+from entitylake.llm.common import field, portions, resident
 from entitylake.operators.linkage import even_join
 from entitylake.sources.scratch import staged
 
@@ -57,7 +57,7 @@ ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 WORD_END = "</w>"
 PRINTABLE = re.compile(rb"[!-~]+")
 JOINED = 200  # chunks that are encoded as one text
-WORDS_KEPT = 700_000
+WORDS_KEPT = 400_000
 
 
 def _words_in(chunk: bytes) -> int:
@@ -68,8 +68,11 @@ def _words_in(chunk: bytes) -> int:
     return int(text.isalpha() and max(text) < "\u0180")
 
 
-@functools.cache
 def _word_tokens(path: str) -> ChunkCache:
+    return resident(("words", path), lambda: _new_word_tokens(path))
+
+
+def _new_word_tokens(path: str) -> ChunkCache:
     """Ids by the tokenizer file ``path``, whose tokens never reach over ASCII white space.
 
     Plain chunks are encoded many at a time, as one text, and told apart by their numbers of words;
