@@ -32,19 +32,17 @@ DOCS_PER_FILE = 512
 def _multiline_files(spark: SparkSession, sf: str, broken: bool = False) -> str:
     """Customer documents as multi-line files, each an array of at most ``DOCS_PER_FILE``.
 
-    A file holds the documents of one block of table rows.  With ``broken`` every fourth range of
-    customer keys is cut short.
+    A file holds the documents of one range of customer keys, whatever files the table is stored in.
+    With ``broken`` every fourth range is cut short.
     """
     path = scratch_path(spark, "multiline")
     text = F.to_json(F.struct("attributes", "crosswalks", "uri"), {"pretty": "true"})
     files = (
         customer_documents(
             spark, sf,
-            F.hash("_metadata.file_path").alias("file"),
-            F.expr(f"_metadata.row_index div {DOCS_PER_FILE}").alias("block"),
             F.expr(f"c_custkey div {DOCS_PER_FILE}").alias("number"),
         )
-        .groupBy("file", "block", "number")
+        .groupBy("number")
         .agg(F.collect_list(text).alias("texts"))
     )
     whole = F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("\n]"))

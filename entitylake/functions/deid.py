@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 
 def age_in_years(birth: Column, as_of: Column) -> Column:
-    """Whole years of 365 days; leap days are not taken out."""
-    return F.floor(F.datediff(as_of, birth.cast("date")) / F.lit(365))
+    """Whole years of 365 days; leap days are not taken out.  A text that is no date gives NULL."""
+    return F.floor(F.datediff(as_of, birth.try_cast("date")) / F.lit(365))
 
 
 def birth_year(birth: Column) -> Column:
-    return F.year(birth.cast("date"))
+    return F.year(birth.try_cast("date"))
 
 
 def zip3(code: Column, restricted: Iterable[str]) -> Column:

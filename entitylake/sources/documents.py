@@ -48,6 +48,17 @@ def narrow_schema(schema: StructType, paths: Iterable[str]) -> StructType:
     return keep(schema, wanted)
 
 
+def reader_mode(
+    malformed: str, schema: StructType | None
+) -> tuple[str, StructType | None]:
+    """Spark's mode for ``malformed``, and the schema with a place for broken text if that is kept."""
+    if malformed not in _MODES:
+        raise ValueError(f"malformed must be one of {sorted(_MODES)}, not '{malformed}'")
+    if malformed == "quarantine" and schema is not None and find_field(schema, CORRUPT) is None:
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return _MODES[malformed], schema
+
+
 def read_documents(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -66,24 +77,20 @@ def read_documents(
 
     Without ``schema`` Spark infers one with an extra pass over the input.
     """
-    if malformed not in _MODES:
-        raise ValueError(f"malformed must be one of {sorted(_MODES)}, not '{malformed}'")
-    paths = paths if isinstance(paths, str) else list(paths)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
+    mode, expected = reader_mode(malformed, schema)
+    paths = paths if isinstance(paths, str) else list(paths)
     if layout == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(*([paths] if isinstance(paths, str) else paths))
     if layout not in ("multiline", "lines"):
         raise ValueError(f"layout must be 'multiline', 'lines' or 'parquet', not '{layout}'")
-    reader = spark.read.option("mode", _MODES[malformed])
-    reader = reader.option("multiLine", layout == "multiline")
+    reader = spark.read.option("mode", mode).option("multiLine", layout == "multiline")
     if malformed == "quarantine":
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        if schema is not None and find_field(schema, CORRUPT) is None:
-            schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    if schema is not None:
-        reader = reader.schema(schema)
+    if expected is not None:
+        reader = reader.schema(expected)
     return reader.json(paths)
 
 

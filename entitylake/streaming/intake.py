@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from entitylake.sources.documents import CORRUPT, reader_mode
+
 
 def document_stream(
     spark: SparkSession,
@@ -20,20 +22,21 @@ def document_stream(
     chunk_size: int | None = None,
     archive: str | None = None,
     layout: str = "multiline",
-    malformed: str = "drop",
+    malformed: str = "fail",
 ) -> DataFrame:
     """New files of ``folder`` as a streaming frame, at most ``chunk_size`` files per batch.
 
     With ``archive`` consumed files are moved there; those of the latest batch follow when a later
-    batch has been committed.  The archive must not lie inside ``folder``.
+    batch has been committed.  The archive must not lie inside ``folder``.  ``malformed`` is as for
+    reading in batch: input that is not JSON stops the stream, is left out, or comes as a row with
+    its text in ``_corrupt_record``.
     """
-    modes = {"fail": "FAILFAST", "drop": "DROPMALFORMED", "quarantine": "PERMISSIVE"}
-    if malformed not in modes:
-        raise ValueError(f"malformed must be one of {sorted(modes)}, not '{malformed}'")
+    mode, expected = reader_mode(malformed, schema)
     reader = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(expected)
         .option("multiLine", layout == "multiline")
-        .option("mode", modes[malformed])
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if chunk_size is not None:
         reader = reader.option("maxFilesPerTrigger", chunk_size)
