@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import shutil
 import tempfile
@@ -48,6 +49,8 @@ def resident(name: tuple, make: Callable):
     """
     if name not in _held:
         _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _held[name] = make()
     return _held[name]
 

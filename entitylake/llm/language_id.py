@@ -70,7 +70,7 @@ class Hyperspace:
             for i, text in enumerate(texts)
             for at in range(0, max(len(text), 1), _PIECE)
         ]
-        for low, high in slices([p for _, p in pieces], 1 << 19, 256):
+        for low, high in slices([p for _, p in pieces], 1 << 18, 128):
             vectors = self._bundle([p for _, p in pieces[low:high]])
             for (i, _), vector in zip(pieces[low:high], vectors):
                 out[i] += vector

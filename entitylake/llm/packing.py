@@ -57,7 +57,7 @@ ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 WORD_END = "</w>"
 PRINTABLE = re.compile(rb"[!-~]+")
 JOINED = 200  # chunks that are encoded as one text
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 
 
 def _words_in(chunk: bytes) -> int:
