@@ -213,7 +213,8 @@ def scan(
 ) -> DataFrame:
     """All columns of ``documents`` and a column ``secrets``: spans ``start, kind, end``.
 
-    ``kind`` is a place in ``KINDS``.  Columns of the names used in between are kept apart.
+    ``kind`` is a place in ``KINDS``.  Columns of the names used in between are kept apart; one named
+    ``secrets`` is replaced.
     """
     packed = documents.select(F.struct("*").alias("_row"), F.col(text).alias("_source"))
     known = with_base_spans(packed, "_source")
@@ -230,7 +231,8 @@ def scan(
     )
     spans = F.concat("_assign", "_access", "_hex", random)
     bare = F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"]))
-    return known.select("_row.*", F.array_sort(bare).alias("secrets"))
+    own = [F.col("_row").getField(c).alias(c) for c in documents.columns if c != "secrets"]
+    return known.select(*own, F.array_sort(bare).alias("secrets"))
 
 
 def span_text(spans: Column) -> Column:
