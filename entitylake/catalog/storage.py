@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from entitylake.catalog.attributes import CITY, COUNTRY, RANK, SINGLE_PATHS
 from entitylake.catalog.facts import ATTRIBUTES, NESTED
 from entitylake.catalog.links import NAMES
-from entitylake.operators.columns import conform_columns
+from entitylake.operators.columns import conform_columns, empty_frame
 from entitylake.operators.melt import melt_groups, melt_single
 from entitylake.plans.entity import linked_nested, linked_single, nested_wide
 from entitylake.samples.documents import (
@@ -27,6 +27,7 @@ from entitylake.sources.sinks import write_csv, write_groups, write_parquet
 from entitylake.streaming.intake import append_available, document_stream
 
 DOCS_PER_FILE = 512
+LANDED = 6  # files that the stream takes in chunks of two
 
 
 def _multiline_files(spark: SparkSession, sf: str, broken: bool = False) -> str:
@@ -104,11 +105,12 @@ def streamed(spark: SparkSession, sf: str) -> DataFrame:
     landing, checkpoint, target, archive = (
         scratch_path(spark, n) for n in ("landing", "checkpoint", "target", "archive")
     )
-    customer_documents(spark, sf).write.json(landing)
+    customer_documents(spark, sf).repartition(LANDED, "uri").write.json(landing)
     docs = document_stream(
-        spark, landing, DOCUMENT_SCHEMA, chunk_size=256, archive=archive, layout="lines"
+        spark, landing, DOCUMENT_SCHEMA, chunk_size=2, archive=archive, layout="lines"
     )
-    append_available(melt_single(docs, SINGLE_PATHS, keep_empty=False), target, checkpoint)
+    for _ in range(2):  # the second run finds nothing new
+        append_available(melt_single(docs, SINGLE_PATHS, keep_empty=False), target, checkpoint)
     return spark.read.parquet(target)
 
 
@@ -163,8 +165,8 @@ def group_datasets(spark: SparkSession, sf: str) -> DataFrame:
         .withColumn("attribute_group", F.lit(g))
         for g in written
     ]
-    out = parts[0]
-    for part in parts[1:]:
+    out = empty_frame(spark, [*columns, "attribute_group"])
+    for part in parts:
         out = out.unionByName(part)
     return out
 
@@ -190,27 +192,27 @@ def audit_trail(spark: SparkSession, sf: str) -> DataFrame:
     started = "2024-02-29 12:00:00"
     audited_write(
         orders, lambda df: df.where(F.col("o_orderstatus") == "F"), target, audit,
-        "orders", "001", "orders", "finished", started,
+        "orders", "001", "orders", "finished", started, run_id="first",
     )
     try:
         audited_write(
             orders, lambda df: conform_columns(df, ["o_orderkey"]), target, audit,
-            "orders", "002", "orders", "finished", started,
+            "orders", "002", "orders", "finished", started, run_id="second",
         )
     except ValueError:
         pass
     return spark.read.parquet(audit).select(
-        "job_name", "job_id", "job_start_time", "src_obj_name", "tgt_obj_name", "src_rec_count",
+        "job_name", "job_id", "job_run_id", "job_start_time", "src_obj_name", "tgt_obj_name", "src_rec_count",
         "tgt_rec_count", "error_type", "flag",
     )
 
 
 AUDIT_TRAIL = """
-SELECT 'orders' AS job_name, '001' AS job_id, '2024-02-29 12:00:00' AS job_start_time,
+SELECT 'orders' AS job_name, '001' AS job_id, 'first' AS job_run_id, '2024-02-29 12:00:00' AS job_start_time,
        'orders' AS src_obj_name, 'finished' AS tgt_obj_name, count(*) AS src_rec_count,
        count(*) FILTER (WHERE o_orderstatus = 'F') AS tgt_rec_count, '' AS error_type,
        'SUCCESS' AS flag FROM orders
-UNION ALL SELECT 'orders', '002', '2024-02-29 12:00:00', '', '', 0, 0, 'ValueError', 'FAIL'"""
+UNION ALL SELECT 'orders', '002', 'second', '2024-02-29 12:00:00', '', '', 0, 0, 'ValueError', 'FAIL'"""
 
 CASES = {
     "json_scan": (multiline, _NAMES),

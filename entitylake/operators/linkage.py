@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitylake.functions.paths import require_unique
 from entitylake.operators.columns import conform_columns, stamp_columns
+from entitylake.sources.scratch import staged
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 PIECE = 512  # positions per piece of a long haystack
@@ -128,38 +129,41 @@ def needle_stats(needles: DataFrame, column: str) -> NeedleStats:
     return NeedleStats(row["rows"], row["bytes"], tuple(sorted(row["lengths"])))
 
 
+def _placed_grams(rows: DataFrame, haystack: str, lengths: Iterable[int]) -> DataFrame:
+    """A row per length and position: the substring as ``gram``, its position as ``_at``."""
+    sizes = sorted(set(lengths))
+    text, size = F.col(haystack), F.col("_size")
+    if not sizes:
+        nothing = rows.withColumns(
+            {"gram": F.lit(None).cast("string"), "_at": F.lit(None).cast("int")}
+        )
+        return nothing.where(F.lit(False))
+    fitting = F.filter(F.array(*[F.lit(n) for n in sizes]), lambda n: n <= F.length(text))
+    sized = rows.where(text.isNotNull()).withColumn("_size", F.explode(fitting))
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1, F.lit(PIECE))
+    cut = sized.withColumn("_from", F.explode(starts)).withColumn(
+        "_piece", F.substring(text, F.col("_from"), size + (PIECE - 1))
+    )
+    last = F.greatest(F.length("_piece") - size + 1, F.lit(1))
+    placed = cut.withColumn("_start", F.explode(F.sequence(F.lit(1), last)))
+    return placed.withColumns(
+        {
+            "gram": F.substring("_piece", F.col("_start"), size),
+            "_at": F.col("_from") + F.col("_start") - 1,
+        }
+    ).drop("_size", "_from", "_piece", "_start")
+
+
 def with_grams(
     rows: DataFrame, haystack: str, lengths: Iterable[int], gram: str = "gram"
 ) -> DataFrame:
     """A row per position of ``haystack`` and per length: the substring of that length found there.
 
     A position in a string is found by counting characters from its start.  Long texts are therefore
-    cut into overlapping pieces first, so that the count starts near the substring.
+    cut into overlapping pieces first, so that the count starts near the substring.  Lengths, pieces
+    and positions are generated one after another: no row holds more than one text.
     """
-    sizes = sorted(set(lengths))
-    if not sizes:
-        return rows.withColumn(gram, F.lit(None).cast("string")).where(F.lit(False))
-    text = F.col(haystack)
-
-    def pieces(size: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - size + 1, F.lit(PIECE))
-        return F.transform(
-            starts,
-            lambda start: F.struct(
-                size.alias("size"), F.substring(text, start, size + (PIECE - 1)).alias("text")
-            ),
-        )
-
-    fitting = F.filter(F.array(*[F.lit(n) for n in sizes]), lambda n: n <= F.length(text))
-    cut = rows.where(text.isNotNull()).withColumn(
-        "_piece", F.explode(F.flatten(F.transform(fitting, pieces)))
-    )
-    piece, size = F.col("_piece.text"), F.col("_piece.size")
-    last = F.greatest(F.length(piece) - size + 1, F.lit(1))
-    placed = cut.withColumn("_start", F.explode(F.sequence(F.lit(1), last)))
-    return placed.withColumn(gram, F.substring(piece, F.col("_start"), size)).drop(
-        "_piece", "_start"
-    )
+    return _placed_grams(rows, haystack, lengths).drop("_at").withColumnRenamed("gram", gram)
 
 
 def _needle_set(needles: DataFrame, needle: str) -> DataFrame:
@@ -170,38 +174,73 @@ def choose_strategy(stats: NeedleStats, limit: int = BROADCAST_LIMIT) -> str:
     return "broadcast" if stats.broadcast_size <= limit else "shuffle"
 
 
+def _strategy(strategy: str, stats: NeedleStats, limit: int) -> str:
+    """The strategy to use; needles above ``limit`` or ``BROADCAST_LIMIT`` are never broadcast."""
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"strategy must be 'auto', 'broadcast' or 'shuffle', not '{strategy}'")
+    fitting = choose_strategy(stats, min(limit, BROADCAST_LIMIT))
+    if strategy == "broadcast" and fitting != "broadcast":
+        raise ValueError(f"needles of {stats.broadcast_size} bytes are too many to broadcast")
+    return fitting if strategy == "auto" else strategy
+
+
+def _broadcast_links(
+    rows: DataFrame, needles: DataFrame, haystack: str, needle: str, stats: NeedleStats
+) -> DataFrame:
+    """Rows with each needle they contain: a needle counts where it stands first in the text."""
+    hits = _placed_grams(rows, haystack, stats.lengths).join(
+        F.broadcast(_needle_set(needles, needle)), "gram", "left_semi"
+    )
+    first = F.instr(F.col(haystack), F.col("gram")) == F.col("_at")
+    return hits.where(first).select(*rows.columns, "gram")
+
+
+def _shuffled_links(
+    rows: DataFrame, needles: DataFrame, haystack: str, needle: str, stats: NeedleStats
+) -> DataFrame:
+    """Rows with each needle they contain, for any number of needles.
+
+    Substrings and texts go through the matching shuffle as 64-bit hashes; texts and needles follow
+    for the hits alone, and ``contains`` confirms them.  ``rows`` is read twice: pass a written table.
+    """
+    known = _needle_set(needles, needle).withColumn("_gram_hash", F.xxhash64("gram"))
+    hashed = rows.withColumn("_text_hash", F.xxhash64(haystack))
+    grams = _placed_grams(hashed.select("_text_hash", haystack), haystack, stats.lengths)
+    ids = grams.select("_text_hash", F.xxhash64("gram").alias("_gram_hash"))
+    hits = even_join(ids, known, ["_gram_hash"]).select("_text_hash", "gram").distinct()
+    candidates = even_join(hashed, hits, ["_text_hash"])
+    found = candidates.where(F.col(haystack).contains(F.col("gram")))
+    return found.select(*rows.columns, "gram")
+
+
+def _distinct_texts(haystacks: DataFrame, haystack: str) -> DataFrame:
+    return haystacks.select(haystack).where(F.col(haystack).isNotNull()).distinct()
+
+
 def substring_pairs(
     haystacks: DataFrame,
     needles: DataFrame,
     haystack: str,
     needle: str,
     strategy: str = "auto",
-    stats: NeedleStats | None = None,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Distinct ``(haystack, gram)`` where ``gram`` is a needle that ``haystack`` contains.
 
     Exact: a needle is contained iff it equals a substring of its own length, so the containment
-    test becomes an equality join of substrings with the set of needles, and only true matches leave
-    it.  An empty needle is in every haystack; NULL matches nothing.
+    test becomes an equality join of substrings with the set of needles.  An empty needle is in every
+    haystack; NULL matches nothing.
 
-    ``broadcast`` ships the needle set, whose size has been checked, to the haystacks and moves no
-    substring at all.  ``shuffle`` takes any number of needles.  Cost per haystack is its length
+    ``broadcast`` ships the needle set to the haystacks and moves no substring at all; needles above
+    the limit are an error there.  ``shuffle`` takes any number of needles and moves 16 bytes per
+    substring; it writes the distinct texts while the plan is built.  Cost per haystack is its length
     times the number of distinct needle lengths: made for identifiers.
     """
-    stats = stats or needle_stats(needles, needle)
-    if strategy == "auto":
-        strategy = choose_strategy(stats, limit)
-    known = _needle_set(needles, needle)
-    texts = haystacks.select(haystack).where(F.col(haystack).isNotNull()).distinct()
-    grams = with_grams(texts, haystack, stats.lengths)
-    if strategy == "broadcast":
-        hits = grams.join(F.broadcast(known), "gram", "left_semi")
-    elif strategy == "shuffle":
-        hits = even_join(grams, known, ["gram"], "left_semi")
-    else:
-        raise ValueError(f"strategy must be 'auto', 'broadcast' or 'shuffle', not '{strategy}'")
-    return hits.select(haystack, "gram").distinct()
+    texts = _distinct_texts(haystacks, haystack)
+    stats = needle_stats(needles, needle)
+    if _strategy(strategy, stats, limit) == "broadcast":
+        return _broadcast_links(texts, needles, haystack, needle, stats)
+    return _shuffled_links(staged(texts, "texts"), needles, haystack, needle, stats)
 
 
 def substring_links(
@@ -210,23 +249,17 @@ def substring_links(
     haystack: str,
     needle: str,
     strategy: str = "auto",
-    stats: NeedleStats | None = None,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Haystack rows with each needle they contain as ``gram``.
-
-    A needle that occurs repeatedly in a text may repeat the row: for consumers that take maxima or
-    distinct rows.
-    """
-    stats = stats or needle_stats(needles, needle)
-    if strategy == "auto":
-        strategy = choose_strategy(stats, limit)
-    if strategy == "broadcast":
-        grams = with_grams(haystacks, haystack, stats.lengths)
-        return grams.join(F.broadcast(_needle_set(needles, needle)), "gram", "left_semi")
-    # only texts and substrings go through the matching shuffle, the other columns follow later
-    pairs = substring_pairs(haystacks, needles, haystack, needle, strategy, stats, limit)
-    return even_join(pairs, haystacks, [haystack])
+    """Haystack rows with each distinct needle they contain as ``gram``, once per row and needle."""
+    stats = needle_stats(needles, needle)
+    if _strategy(strategy, stats, limit) == "broadcast":
+        return _broadcast_links(haystacks, needles, haystack, needle, stats)
+    # rows with one text share its substrings, so these are made of distinct texts
+    pairs = _shuffled_links(
+        staged(_distinct_texts(haystacks, haystack), "texts"), needles, haystack, needle, stats
+    )
+    return even_join(pairs, haystacks, [haystack]).select(*haystacks.columns, "gram")
 
 
 def substring_join(
@@ -235,14 +268,13 @@ def substring_join(
     needle: str = "crosswalks_value",
     haystack: str = "haystack",
     strategy: str = "auto",
-    stats: NeedleStats | None = None,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Every pair of rows in which ``haystack`` contains ``needle`` (inner, duplicates kept)."""
     clash = {c.lower() for c in needles.columns} & {c.lower() for c in haystacks.columns}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    pairs = substring_pairs(haystacks, needles, haystack, needle, strategy, stats, limit)
+    pairs = substring_pairs(haystacks, needles, haystack, needle, strategy, limit)
     keyed = even_join(pairs, needles.withColumn("gram", F.col(needle)), ["gram"])
     return even_join(keyed, haystacks, [haystack]).select(*needles.columns, *haystacks.columns)
 
@@ -253,20 +285,19 @@ def substring_maxima(
     haystack: str,
     needle: str,
     strategy: str = "auto",
-    stats: NeedleStats | None = None,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Per distinct needle, as ``gram``, the largest value of each other column over its haystacks.
 
     Pairs of rows are never formed: haystack rows are reduced per text where they have to be
-    shuffled, then per needle, both with partial maxima before the shuffle.
+    shuffled (and written once), then per needle, both with partial maxima before the shuffle.
     """
-    stats = stats or needle_stats(needles, needle)
-    if strategy == "auto":
-        strategy = choose_strategy(stats, limit)
+    stats = needle_stats(needles, needle)
     largest = [F.max(F.col(f"`{c}`")).alias(c) for c in haystacks.columns if c != haystack]
-    if strategy == "shuffle":
+    if _strategy(strategy, stats, limit) == "broadcast":
+        links = _broadcast_links(haystacks, needles, haystack, needle, stats)
+    else:
         known = haystacks.where(F.col(haystack).isNotNull())
-        haystacks = known.groupBy(haystack).agg(*largest)
-    links = substring_links(haystacks, needles, haystack, needle, strategy, stats, limit)
+        reduced = staged(known.groupBy(haystack).agg(*largest), "texts")
+        links = _shuffled_links(reduced, needles, haystack, needle, stats)
     return links.groupBy("gram").agg(*largest)

@@ -29,7 +29,6 @@ from entitylake.operators.columns import conform_columns, empty_frame
 from entitylake.operators.crosswalk import crosswalk_table
 from entitylake.operators.linkage import (
     BROADCAST_LIMIT,
-    NeedleStats,
     even_join,
     substring_links,
     substring_maxima,
@@ -123,7 +122,6 @@ def address_wide(
     root: str = ROOT,
     link: str = LINK,
     strategy: str = "auto",
-    stats: NeedleStats | None = None,
     limit: int = BROADCAST_LIMIT,
     records: DataFrame | None = None,
 ) -> DataFrame:
@@ -133,8 +131,8 @@ def address_wide(
     Attributes the schema does not have are NULL columns.
 
     The distinct crosswalk table is read three times (statistics, needles, result keys) and is
-    therefore written once, so that documents are read twice and not four times; pass ``records`` to
-    supply it.
+    therefore written once while the plan is built; pass ``records`` to supply it.  Needles too many
+    to broadcast also have the address texts written, reduced to one row each.
     """
     paths = attribute_paths(paths)
     names = require_unique([p.qualified for p in paths], "attribute names")
@@ -155,7 +153,6 @@ def address_wide(
         "haystack",
         "crosswalks_value",
         strategy,
-        stats,
         limit,
     )
     keyed = records.withColumn("gram", F.col("crosswalks_value"))
@@ -171,7 +168,6 @@ def melt_address(
     link: str = LINK,
     needle: str = "crosswalks_value",
     strategy: str = "auto",
-    stats: NeedleStats | None = None,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Distinct long rows: the columns of ``crosswalks``, then ``value`` and ``joined_column``.
@@ -201,7 +197,7 @@ def melt_address(
         if kept[p] is not None
     ]
     addressed = _per_link(rows, pairs=F.concat(*pairs))
-    found = substring_links(addressed, crosswalks, "haystack", needle, strategy, stats, limit)
+    found = substring_links(addressed, crosswalks, "haystack", needle, strategy, limit)
     long = found.select("gram", F.explode("pairs").alias("e"))
     per_needle = long.select("gram", "e.value", "e.joined_column").distinct()
     keyed = crosswalks.withColumn("gram", F.col(needle))

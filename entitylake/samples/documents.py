@@ -2,9 +2,9 @@
 
 Three kinds of document share one schema: customers with attributes, customers with the crosswalks
 of their orders, and suppliers with an address per line item.  Documents of the first kind come from
-one row each.  The others gather child rows, and a document then holds at most ``BLOCK`` of them: a
-parent with more arrives as several partial documents, split by the children's position in their
-file, so no parent, however large, is ever gathered as a whole.
+one row each.  The others gather child rows, about ``BLOCK`` of them at most: a parent with more
+arrives as several partial documents, so no parent, however large, is ever gathered as a whole.  How
+it is cut depends on the number and the content of its children, not on the files they are stored in.
 """
 
 from __future__ import annotations
@@ -181,18 +181,23 @@ def customer_documents(spark: SparkSession, folder: str, *extra: Column) -> Data
 def _gathered(
     rows: DataFrame, parent: Column, columns: list[str], child: Column, name: str
 ) -> DataFrame:
-    """``uri`` and the ``child`` elements gathered per parent, at most ``BLOCK`` per document.
+    """``uri`` and the ``child`` elements gathered per parent, about ``BLOCK`` at most per document.
 
-    Gathering has nothing to combine before the shuffle, so the flat ``columns`` are placed first,
-    and nested elements are made of them where they are gathered.
+    Children are counted per parent, with partial counts before the shuffle.  Those of a parent with
+    more than ``BLOCK`` are dealt to parts by a hash of their content; ``columns`` must tell the
+    children of a parent apart.  Gathering has nothing to combine before the shuffle, so the flat
+    ``columns`` are placed first, and nested elements are made of them where they are gathered.
     """
-    keys = ["uri", "_file", "_block"]
-    placed = rows.select(
-        parent.alias("uri"),
-        F.hash("_metadata.file_path").alias("_file"),
-        F.expr(f"_metadata.row_index div {BLOCK}").alias("_block"),
-        *columns,
-    ).repartition(*keys)
+    keys = ["uri", "_part"]
+    flat = rows.select(parent.alias("uri"), *columns)
+    parts = F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts")
+    large = flat.groupBy("uri").agg(parts).where("_parts > 1")
+    part = F.pmod(F.xxhash64(*columns), F.coalesce("_parts", F.lit(1)))
+    placed = (
+        even_join(flat, large, ["uri"], "left")
+        .select("uri", part.alias("_part"), *columns)
+        .repartition(*keys)
+    )
     return (
         placed.select(*keys, child.alias("child"))
         .groupBy(*keys)
@@ -276,7 +281,7 @@ def linked_address_documents(spark: SparkSession, folder: str) -> DataFrame:
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with a header struct and their line items as an array (NULL without items).
 
-    An order with more than ``BLOCK`` items comes as several documents.
+    An order with more than ``BLOCK`` items comes as several documents, cut by content.
     """
     columns = ["l_linenumber", "l_partkey", "l_quantity"]
     lines = table(spark, folder, "lineitem")

@@ -9,18 +9,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED = "spark.checkpoint.dir"
+_RUN = f"run-{uuid.uuid4().hex}"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a temporary folder; on a cluster that is an error, since
-    a folder of one machine would be lost with it.
+    Where it is unset, a session known to be local gets a temporary folder; anywhere else that is an
+    error, since a folder of one machine would be lost with it.  A path without a remote scheme is
+    taken as given: it may be a mount that all machines share.
     """
     folder = spark.conf.get(SHARED, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", None) or ""
+    if master.split("[")[0] != "local":
         raise ValueError(f"{SHARED} must name a folder shared by the cluster")
     return _local_folder()
 
@@ -31,8 +34,15 @@ def _local_folder() -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in this run's part of the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{_RUN}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this driver process has staged, when no frame made of it is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{_RUN}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

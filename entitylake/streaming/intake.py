@@ -6,6 +6,7 @@ The checkpoint remembers which files were consumed, ``maxFilesPerTrigger`` is th
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,12 +75,16 @@ def each_batch(
 ) -> StreamingQuery:
     """Apply any batch transform to every batch of documents: pivots and joins included.
 
-    Batch ``n`` goes to ``<target>/batch=<n>`` and replaces what an interrupted attempt left there,
-    so a batch that runs twice is stored once.  Values are linked within their batch only.
+    Batch ``n`` goes to ``<target>/run=<id>/batch=<n>`` and replaces what an interrupted attempt left
+    there, so a batch that runs twice is stored once.  The id is the checkpoint's: streams with
+    checkpoints of their own can share a target.  Values are linked within their batch only.
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        (metadata,) = batch.sparkSession.read.text(f"{checkpoint}/metadata").collect()
+        run = json.loads(metadata.value)["id"]
+        path = f"{target}/run={run}/batch={number}"
+        transform(batch).write.mode("overwrite").parquet(path)
 
     query = (
         docs.writeStream.foreachBatch(store)

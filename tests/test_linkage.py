@@ -14,6 +14,7 @@ from entitylake.operators.linkage import (
     reference_id_join,
     semi_join_uri,
     substring_join,
+    substring_links,
     substring_pairs,
     uri_join,
 )
@@ -69,6 +70,29 @@ def test_strategy_follows_the_size_of_the_needles(spark):
     assert substring_join(_texts(spark, [None], "n"), haystacks, "n", "h").isEmpty()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_links_are_one_bag_in_both_strategies(spark, seed):
+    rng = random.Random(seed)
+    texts = ["".join(rng.choice("ab😀") for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    texts += ["ab-ab-ab", "ab-ab-ab", "", "ab" * 900, None]
+    needles = ["ab", "ab", "", "a", "b😀a", None]
+    brute = sorted((h, i, n) for i, h in enumerate(texts) if h is not None
+                   for n in {n for n in needles if n is not None} if n in h)
+    for strategy in ("broadcast", "shuffle"):
+        got = substring_links(
+            _texts(spark, texts, "h"), _texts(spark, needles, "n"), "h", "n", strategy
+        )
+        assert sorted(map(tuple, got.collect())) == brute
+
+
+def test_too_many_needles_are_never_broadcast(spark):
+    haystacks, needles = _texts(spark, ["abc"], "h"), _texts(spark, ["ab", "c"], "n")
+    with pytest.raises(ValueError, match="too many"):
+        substring_links(haystacks, needles, "h", "n", "broadcast", limit=100)
+    found = substring_links(haystacks, needles, "h", "n", limit=100)
+    assert {r.gram for r in found.collect()} == {"ab", "c"}
+
+
 def test_same_column_on_both_sides_is_an_error(spark):
     df = _texts(spark, ["a"], "n")
     with pytest.raises(ValueError, match="both sides"):

@@ -45,10 +45,13 @@ def test_address_plan_has_no_pairing_join(spark, strategy):
     assert not any("Country" in s for s in schemas)
 
 
-def test_address_plan_scans_documents_once(spark):
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_address_plan_scans_documents_once(spark, strategy):
+    """The shuffled form reads the reduced texts it has written instead."""
     docs = staged(random_documents(spark, 3), "documents")
-    wide = address_wide(docs, [CITY, RANK], strategy="broadcast")
-    assert sum("attributes" in s for s in read_schemas(wide)) == 1
+    wide = address_wide(docs, [CITY, RANK], strategy=strategy)
+    scans = sum("attributes" in s for s in read_schemas(wide))
+    assert scans == (1 if strategy == "broadcast" else 0)
 
 
 def test_melts_scan_once_without_shuffle(stored):
@@ -84,9 +87,9 @@ def test_pivot_is_one_shuffle_with_partial_maxima(spark):
 
 
 def test_partial_documents_are_bounded(spark):
-    """A customer document comes from one row; gathered ones are keyed by block as well."""
+    """A customer document comes from one row; gathered ones are keyed by part as well."""
     assert count(customer_documents(spark, DATA), "Exchange") == 0
-    assert "_block" in plan(entity_documents(spark, DATA))
+    assert "_part" in plan(entity_documents(spark, DATA))
 
 
 @pytest.mark.parametrize("name", list(entry.queries()))
