@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from entitylake.llm.chunk_cache import ChunkCache
 from entitylake.llm.common import field, portions, resident
 
-TRANSITIONS_KEPT = 350_000
+TRANSITIONS_KEPT = 700_000
 CHUNKS_KEPT = 250_000
 STEP = 4096  # ids that are decoded at a time
 
@@ -50,18 +50,30 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], limit: int = TRANSITIONS_KEPT):
         self.ranks, self.limit = ranks, limit
         self.tokens = {number: token for token, number in ranks.items()}
-        self.prefixes = {token[:n] for token in ranks for n in range(len(token))}
+        # the tree of all tokens: a node and a byte give a node; per node its token or -1
+        self.below: dict[int, int] = {}
+        self.named, self.inner = [-1], [True]
+        for token, number in ranks.items():
+            node = 0
+            for byte in token:
+                self.inner[node] = True
+                key = node << 8 | byte
+                node = self.below.setdefault(key, len(self.named))
+                if node == len(self.named):
+                    self.named.append(-1)
+                    self.inner.append(False)
+            self.named[node] = number
         self.whole: dict[int, bool] = {}
         self.adjacent: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.names = {(-1, b""): 0}
-        # per state: last id emitted, bytes not emitted, the last id of each of their prefixes, and
-        # where a token may still begin
-        self.states: list[tuple] = [(-1, b"", (), (0,))]
-        self.next: dict[int, int] = {}
-        self.out: dict[int, tuple[int, ...]] = {}  # where a transition emits
+        # per state: last id emitted, bytes not emitted, the last id of each of their prefixes, where
+        # a token may still begin, and the tree's node for the bytes from there on
+        self.states: list[tuple] = [(-1, b"", (), (0,), (0,))]
+        self.next: dict[int, int] = {}  # twice the state, and one more where something is emitted
+        self.out: dict[int, tuple[int, ...]] = {}
 
     def merged(self, data: bytes) -> list[bytes]:
         """The definition: always join the adjacent pair of lowest rank, leftmost first."""
@@ -88,7 +100,7 @@ class Transducer:
         key = last << 32 | number
         good = self.adjacent.get(key)
         if good is None:
-            if len(self.adjacent) > self.limit:
+            if len(self.adjacent) > self.limit // 2:
                 self.adjacent.clear()
             before = self.tokens[last]
             good = self.adjacent[key] = self.merged(before + token) == [before, token]
@@ -105,20 +117,26 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> int:
         """Make one transition."""
-        last, waiting, ends, live = self.states[state]
+        last, waiting, ends, live, nodes = self.states[state]
         waiting += bytes((byte,))
-        ranks, prefixes, tokens = self.ranks, self.prefixes, self.tokens
-        for start in live:
-            number = ranks.get(waiting[start:])
-            if number is not None and self._stands(ends[start - 1] if start else last, number):
-                break
-        else:
+        below, named, inner, tokens = self.below.get, self.named, self.inner, self.tokens
+        number, places, kept = -1, [], []
+        for start, node in zip(live, nodes):
+            node = below(node << 8 | byte)
+            if node is None:
+                continue
+            if number < 0 <= named[node] and self._stands(ends[start - 1] if start else last, named[node]):
+                number = named[node]
+            if inner[node]:
+                places.append(start)
+                kept.append(node)
+        if number < 0:
             raise ValueError("the ranks lack a single byte")
         ends = (*ends, number)
-        live = [p for p in live if waiting[p:] in prefixes]
-        live.append(len(waiting))
+        places.append(len(waiting))
+        kept.append(0)
+        live = tuple(places)
         # the longest part that all ways to a live place share: step back from the farthest place
-        places = live.copy()
         while places[0] and len(places) > 1:
             place = places.pop()
             place -= len(tokens[ends[place - 1]])
@@ -129,26 +147,26 @@ class Transducer:
         if cut:
             self.out[key] = self._ids(ends, cut)
             last, waiting, ends = ends[cut - 1], waiting[cut:], ends[cut:]
-            live = [p - cut for p in live]
+            live = tuple([p - cut for p in live])
         name = (last, waiting)
         found = self.names.get(name)
         if found is None:
             found = self.names[name] = len(self.states)
-            self.states.append((last, waiting, ends, tuple(live)))
-        self.next[key] = found
+            self.states.append((last, waiting, ends, live, tuple(kept)))
+        found = self.next[key] = found << 1 | (cut > 0)
         return found
 
     def encode(self, data: bytes) -> list[int]:
         if len(self.next) > self.limit:
             self._reset()
-        state, out, known, emitted = 0, [], self.next.get, self.out.get
+        state, out, known, emitted = 0, [], self.next.get, self.out
         for byte in data:
             key = state << 8 | byte
-            state = known(key) or self._step(state, byte)
-            ids = emitted(key)
-            if ids:
-                out += ids
-        _, waiting, ends, _ = self.states[state]
+            step = known(key) or self._step(state, byte)
+            if step & 1:
+                out += emitted[key]
+            state = step >> 1
+        waiting, ends = self.states[state][1:3]
         out += self._ids(ends, len(waiting))
         return out
 

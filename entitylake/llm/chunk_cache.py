@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import contextlib
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 
@@ -21,6 +23,19 @@ class _Ordinals(dict):
         return number
 
 
+@contextlib.contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without searches for reference cycles: none are made here, and tables of a million entries
+    would be walked again and again."""
+    running = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if running:
+            gc.enable()
+
+
 class ChunkCache:
     """``encode`` gets chunks not seen before and gives the ids of each.
 
@@ -74,8 +89,9 @@ class ChunkCache:
         if self.known > self.limit:
             self._forget()
         number = self.ordinals.__getitem__
-        chunks = [np.fromiter(map(number, text), np.int64, len(text)) for text in texts]
-        self._learn()
+        with _uncollected():
+            chunks = [np.fromiter(map(number, text), np.int64, len(text)) for text in texts]
+            self._learn()
         out = []
         for numbers in chunks:
             np.add.at(self.uses, numbers, 1)
