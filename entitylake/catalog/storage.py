@@ -21,7 +21,12 @@ from entitylake.samples.documents import (
     table,
 )
 from entitylake.sources.audit import audited_write
-from entitylake.sources.documents import narrow_schema, read_documents, split_quarantine
+from entitylake.sources.documents import (
+    CORRUPT,
+    narrow_schema,
+    read_documents,
+    split_quarantine,
+)
 from entitylake.sources.scratch import scratch_path, staged
 from entitylake.sources.sinks import write_csv, write_groups, write_parquet
 from entitylake.streaming.intake import append_available, document_stream
@@ -82,22 +87,28 @@ def without_malformed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quarantined(spark: SparkSession, sf: str) -> DataFrame:
-    """How many files were readable or broken, and how many documents came out."""
+    """The documents that came out, and the range of customers in the text kept of each broken file."""
     schema = narrow_schema(DOCUMENT_SCHEMA, ["uri"])
     path = _multiline_files(spark, sf, broken=True)
     good, bad = split_quarantine(read_documents(spark, path, schema, malformed="quarantine"))
-    counts = good.select(F.lit("document").alias("kind")).unionByName(
-        bad.select(F.lit("broken file").alias("kind"))
+    customer = F.regexp_extract(CORRUPT, r"entities/(\d+)", 1).cast("long")
+    files = bad.select(customer.alias("customer"), "source_file").select(
+        F.lit("broken file").alias("kind"),
+        F.expr(f"cast(customer div {DOCS_PER_FILE} as string)").alias("name"),
+        F.col("source_file").endswith(".txt").alias("has_file"),
+    )
+    documents = good.select(
+        F.lit("document").alias("kind"), F.col("uri").alias("name"), F.lit(False).alias("has_file")
     )
-    return counts.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return documents.unionByName(files)
 
 
 QUARANTINED = f"""
-SELECT 'document' AS kind, count(*) AS n FROM customer WHERE c_custkey // {DOCS_PER_FILE} % 4 <> 1
+SELECT 'document' AS kind, 'entities/' || c_custkey AS name, false AS has_file FROM customer
+WHERE c_custkey // {DOCS_PER_FILE} % 4 <> 1
 UNION ALL
-SELECT 'broken file', count(DISTINCT c_custkey // {DOCS_PER_FILE}) FROM customer
-WHERE c_custkey // {DOCS_PER_FILE} % 4 = 1
-HAVING count(*) > 0"""
+SELECT DISTINCT 'broken file', CAST(c_custkey // {DOCS_PER_FILE} AS VARCHAR), true FROM customer
+WHERE c_custkey // {DOCS_PER_FILE} % 4 = 1"""
 
 
 def streamed(spark: SparkSession, sf: str) -> DataFrame:

@@ -95,12 +95,14 @@ def read_documents(
 
 
 def split_quarantine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good documents, and the broken ones with their text.
+    """Good documents, and the broken ones with their text and ``source_file``.
 
-    The parsed input is written to the shared folder first: Spark does not read the corrupt text of
-    raw files alone, and so both halves come from one parse.
+    Starts a job: the broken documents, and only they, are written to the shared folder.  The good
+    ones are read when they are used; select a column of theirs, since Spark does not read the corrupt
+    text of raw files alone.
     """
     if find_field(docs.schema, CORRUPT) is None:
-        return docs, docs.sparkSession.createDataFrame([], f"{CORRUPT} string")
-    parsed, broken = staged(docs, "parsed"), F.col(CORRUPT).isNotNull()
-    return parsed.where(~broken).drop(CORRUPT), parsed.where(broken)
+        empty = docs.sparkSession.createDataFrame([], f"{CORRUPT} string, source_file string")
+        return docs, empty
+    broken = docs.where(F.col(CORRUPT).isNotNull()).withColumn("source_file", F.input_file_name())
+    return docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT), staged(broken, "quarantine")
