@@ -6,7 +6,9 @@ the last returns pieces of documents with their places in sequences.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import itertools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake.llm import (
@@ -17,21 +19,37 @@ from entitylake.llm import (
     secret_scan,
 )
 from entitylake.llm.common import ship, table
+from entitylake.operators.linkage import even_join
 from entitylake.sources.scratch import staged
 
 #: The stages cannot be expressed in SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
-def _only(docs: DataFrame, chosen: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Rows of ``docs`` whose keys are listed, once each; NULL equals NULL.
+def _only(rows: DataFrame, chosen: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """``columns`` of the rows whose ``name``, never NULL, is listed; one row of each name.
+
+    That is the one with the longest text, of these the one with the largest hash.  Both sides are
+    dealt by the name for the join, and rows of one name then meet without another shuffle.
+    """
+    listed = chosen.select(F.col(name).alias("_listed")).distinct()
+    met = rows.join(listed, F.col(name) == F.col("_listed"), "left_semi")
+    longest = F.struct(F.length("text"), F.xxhash64("text"))
+    best = met.groupBy(name).agg(F.max_by(F.struct(*columns), longest).alias("_best"))
+    return best.select("_best.*")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` and a ``_row`` for each distinct pair of id and text: a hash without collisions.
 
-    Both sides are dealt by the keys for the join, and copies of a row then meet without another
-    shuffle.
+    Starts a job, and another with the next seed should two pairs have one hash.
     """
-    listed = chosen.select(*[F.col(k).alias(f"_listed_{k}") for k in keys]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"_listed_{k}")) for k in keys]
-    return docs.join(listed, same, "left_semi").dropDuplicates(list(keys))
+    for seed in itertools.count():
+        rows = docs.withColumn("_row", F.xxhash64(F.lit(seed), "doc_id", F.coalesce("text", F.lit(""))))
+        pair = F.struct(F.col("doc_id"), F.sha2(F.coalesce("text", F.lit("")), 256))
+        spread = rows.groupBy("_row").agg(F.min(pair).alias("a"), F.max(pair).alias("b"))
+        if not spread.where("not (a <=> b)").limit(1).count():
+            return rows
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,17 +63,35 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of equal texts."""
+    """Keeps one document of each group of equal texts: the row that the operator keeps.
+
+    The name of a row is its id, which may be missing, and its text's digest; ids alone say nothing,
+    as distinct texts may share one.
+    """
     ship(spark)
+
+    def named(rows: DataFrame, digest: Column) -> DataFrame:
+        return rows.withColumn("_name", F.concat_ws("|", F.col("doc_id").cast("string"), digest))
+
     kept = exact_dedup.exact_duplicates(docs).where("kept")
-    return _only(docs, kept, ("doc_id",))
+    rows = named(docs, exact_dedup.text_digest(F.col("text")))
+    return _only(rows, named(kept, F.col("text_sha256")), "_name", docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by near copies: five words, similarity of 0.8."""
+    """Keeps one document of each group linked by near copies: five words, similarity of 0.8.
+
+    Rows are compared under numbers of their own, so that those without an id, and those that share
+    one, are linked by their texts alone.  The smallest id of a group stays, a missing one last.
+    """
     ship(spark)
-    kept = near_dedup.near_duplicates(docs, words=5, percent=80).where("kept")
-    return _only(docs, kept, ("doc_id",))
+    rows = _numbered(docs)
+    found = near_dedup.near_duplicates(rows, key="_row", words=5, percent=80)
+    found = found.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    ids = even_join(found, rows.select("_row", "doc_id").distinct(), ["_row"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col("_row")))
+    kept = ids.groupBy("component_id").agg(first["_row"].alias("_row"))
+    return _only(rows, kept, "_row", docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
