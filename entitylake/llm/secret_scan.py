@@ -38,7 +38,6 @@ TOKEN = rf"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
 IDENTIFIER = r"[A-Za-z_]{8,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 THRESHOLD = 1.0
-TRAINING_ROWS = 20_000
 _BLOCK = 256
 
 
@@ -124,19 +123,12 @@ class MarkovModel:
         return len(ALPHABET) + 1
 
 
-def train(
-    documents: DataFrame, key: str = "doc_id", text: str = "text", max_rows: int = TRAINING_ROWS
-) -> MarkovModel:
-    """Transition counts of both classes, each smoothed by one.  Starts a job.
+def train(documents: DataFrame, text: str = "text") -> MarkovModel:
+    """Transition counts of both classes over all documents, each smoothed by one.  Starts a job.
 
-    From all rows, or from about ``max_rows`` of them by the hash of ``key`` where there are more;
-    the patterns label every token of these rows.
+    The patterns label every token.  Secrets may be rare, so no row is left out; equal tokens are
+    counted before they are cut into pairs, and the driver gets at most two tables of counts.
     """
-    rows = documents.select(F.col(key)).count()
-    if rows > max_rows:
-        buckets = 1 << 20
-        chosen = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)) < int(buckets * max_rows / rows)
-        documents = documents.where(chosen)
     known = with_base_spans(documents.select(F.col(text).alias("text")))
     values = F.concat(
         F.transform("_assign", lambda s: assigned_value(s["match"])),

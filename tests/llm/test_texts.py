@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from entitylake.llm import language_id, quality_mil, quality_rules, queries, secret_scan, warc
 
 from llm_fixtures import DATA, docs, shipped  # noqa: F401
@@ -29,6 +31,17 @@ def test_secret_spans_and_redaction(docs):
     assert clean[0] is None and clean[1] == "" and "AKIA" not in clean[3] and clean[4] == texts[4]
 
 
+def test_secrets_are_learned_from_every_document(spark):
+    """A few secrets among many documents weigh as much as they do alone."""
+    key = F.concat(F.lit(KEY + " ordinary_identifier token = "), F.sha2(F.col("doc_id").cast("string"), 256))
+    rows = spark.range(30_000).withColumnRenamed("id", "doc_id").withColumn(
+        "text", F.when(F.col("doc_id") % 1_500 == 7, key).otherwise("a b c")
+    )
+    model = secret_scan.train(rows)
+    assert model == secret_scan.train(rows.where("doc_id % 1500 = 7"))
+    assert len(set(model.weights)) > 10
+
+
 def test_language_of_odd_texts(docs):
     en, fr = "the cat and the dog are here " * 5, "le chat et le chien sont ici " * 5
     df = docs([(i, en if i % 2 else fr, "en" if i % 2 else "fr") for i in range(20)])
