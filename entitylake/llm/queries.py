@@ -18,7 +18,7 @@ from entitylake.llm import (
     warc,
 )
 from entitylake.llm.common import table
-from entitylake.sources.scratch import scratch_path
+from entitylake.sources.scratch import scratch_path, staged
 
 SHARDS = 24
 QUALITY_THRESHOLD = 0.3
@@ -74,14 +74,12 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
+    # whole documents are written to their places; the digests are of what arrived there
+    placed = staged(sharding.shuffled_shards(table(spark, folder, "documents"), SHARDS), "shards")
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    rows = table(spark, folder, "documents").select(
-        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-    )
-    placed = sharding.shuffled_shards(rows, SHARDS)
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -99,28 +99,27 @@ def shuffled_shards(
 ) -> DataFrame:
     """All columns of ``rows`` with ``shard`` (from 0) and ``slot`` (gapless from 0 in each shard).
 
-    Starts jobs.  ``rows`` is staged: counts and draws must be of the same rows.
+    Starts jobs.  ``rows`` is staged with a number for each row: counts and draws must be of the same
+    rows.  Both ranks are taken by numbers and draws alone; the rows move once, to their places.
     """
-    rows = staged(rows.drop("shard", "slot"), "shard-rows")
+    rows = rows.drop("shard", "slot")
+    numbered = staged(
+        rows.select(
+            F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"),
+            F.monotonically_increasing_id().alias("_number"),
+        ),
+        "shard-rows",
+    )
     spark = rows.sparkSession
-    total = rows.count()
+    total = numbered.count()
     if partitions is None:
         partitions = min(MAX_PARTITIONS, max(MIN_PARTITIONS, math.ceil(total / ROWS_PER_PARTITION)))
     cells = cells_per_shard or max(1, math.ceil(total / shards / ROWS_PER_PARTITION * 4))
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-
-    def draw(part: int):
-        return F.xxhash64(F.lit(seed), F.lit(part), *columns)
-
-    keyed = rows.select(
-        F.struct(*columns).alias("_row"), F.pmod(draw(1), F.lit(partitions)).alias("_part"),
-        draw(2).alias("_first"), draw(3).alias("_second"), draw(4).alias("_cell"),
-    )
-    # rows equal in all columns have equal draws: a third of all rows may, so a copy number is mixed in
+    keyed = staged(_keyed(numbered, partitions, seed, "_row"), "shard-keys")
+    # rows equal in all columns have equal draws: a third of all rows may, so their number is mixed in
     copies = keyed.groupBy("_first", "_second").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     if copies.limit(1).count():
-        keyed = _spread(rows, partitions, seed)
-    keyed = staged(keyed, "shard-keys")
+        keyed = staged(_keyed(numbered, partitions, seed, "_row", "_number"), "shard-keys")
     counts = dict(map(tuple, keyed.groupBy("_part").count().collect()))
     sizes = [counts.get(p, 0) for p in range(partitions)]
     wanted = [total // shards + (s < total % shards) for s in range(shards)]
@@ -133,7 +132,7 @@ def shuffled_shards(
         "_rank", F.expr("row_number() over (partition by _part order by _first, _second, _cell) - 1")
     )
     dealt = even_join(local, lines, ["_part"]).select(
-        "_row",
+        "_number",
         F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))).alias("shard"),
         F.pmod("_cell", F.lit(cells)).alias("_at"), "_first", "_second",
     )
@@ -146,27 +145,23 @@ def shuffled_shards(
             " rows between unbounded preceding and 1 preceding), 0)"
         ),
     ).drop("_n")
-    placed = dealt.withColumn(
+    ranked = dealt.withColumn(
         "_place",
         F.expr("row_number() over (partition by shard, _at order by _second, _first) - 1"),
     )
-    return even_join(placed, before, ["shard", "_at"]).select(
-        "_row.*", "shard", (F.col("_before") + F.col("_place")).alias("slot")
+    places = even_join(ranked, before, ["shard", "_at"]).select(
+        "_number", "shard", (F.col("_before") + F.col("_place")).alias("slot")
     )
+    return even_join(numbered, places, ["_number"]).select("_row.*", "shard", "slot")
 
 
-def _spread(rows: DataFrame, partitions: int, seed: int) -> DataFrame:
-    """Keys for rows of which some are equal: the place in the staged files is part of the draw."""
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    numbered = rows.select(
-        F.struct(*columns).alias("_row"), F.xxhash64(*columns).alias("_hash"),
-        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"),
-    )
+def _keyed(numbered: DataFrame, partitions: int, seed: int, *columns: str) -> DataFrame:
+    """``_number`` of each row, its partition and its draws, which are hashes of ``columns``."""
 
     def draw(part: int):
-        return F.xxhash64(F.lit(seed), F.lit(part), "_hash", "_file", "_index")
+        return F.xxhash64(F.lit(seed), F.lit(part), *columns)
 
     return numbered.select(
-        "_row", F.pmod(draw(1), F.lit(partitions)).alias("_part"), draw(2).alias("_first"),
+        "_number", F.pmod(draw(1), F.lit(partitions)).alias("_part"), draw(2).alias("_first"),
         draw(3).alias("_second"), draw(4).alias("_cell"),
     )

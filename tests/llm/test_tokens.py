@@ -238,3 +238,33 @@ def test_shard_query(spark):
     texts = {r.doc_id: (r.text or "").encode() for r in table.collect()}
     for r in found:
         assert (r.size, r.text_crc32) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id]))
+
+
+def test_shard_query_places_whole_documents(spark, monkeypatch):
+    """The operator gets every column, and digests are of the texts that it placed."""
+    given, place = [], sharding.shuffled_shards
+
+    def placed(rows, *args):
+        given.extend(rows.columns)
+        return place(rows, *args).selectExpr("* except (text)", "concat(text, '!') as text")
+
+    monkeypatch.setattr(sharding, "shuffled_shards", placed)
+    found = queries.op6_hypergeometric_shards(spark, DATA).collect()
+    table = spark.read.parquet(f"{DATA}/documents.parquet")
+    assert given == table.columns
+    texts = {r.doc_id: f"{r.text}!".encode() for r in table.where("text is not null").collect()}
+    for r in found:
+        if r.doc_id in texts:
+            assert (r.size, r.text_crc32) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id]))
+
+
+def test_ranks_are_taken_without_the_rows(docs, monkeypatch):
+    written, stage = [], sharding.staged
+
+    def staged(df, label):
+        written.append((label, "_row" in df.columns))
+        return stage(df, label)
+
+    monkeypatch.setattr(sharding, "staged", staged)
+    sharding.shuffled_shards(docs(["a", "a", "b"]), 2).collect()
+    assert [label for label, whole in written if whole] == ["shard-rows"]
