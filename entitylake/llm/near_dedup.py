@@ -13,7 +13,8 @@ compared with the rest of the band, block by block on their sketches, inside tas
 size.  Every link that could join two components is looked at, so components are those of all links.
 
 A pair at a threshold of 0.85 shares no band with a probability of 7e-11, at 0.8 of 1.2e-7; its sketches
-are taken for too far apart (by more than ``MARGIN``, 5 standard deviations) with one below 1e-6.
+are taken for too far apart (by more than ``DEVIATIONS`` standard deviations) with one of about 8e-8
+and 6e-8, by the binomial law of the samples and a normal one of the bits.
 
 Defined results: a text with fewer words than a shingle is one shingle; an empty or NULL text has
 none and links with nothing.  Rows that share an id are one vertex.  A row without id takes the
@@ -38,7 +39,7 @@ from entitylake.sources.scratch import staged
 BANDS, ROWS = 40, 5
 SAMPLES = 512  # two from each of half as many products
 SKETCH_BITS = 1024
-MARGIN = 0.09
+DEVIATIONS = 5.5
 BLOCK = 256
 SEED = 7_919
 
@@ -119,11 +120,16 @@ def odd_sketch(least: np.ndarray) -> np.ndarray:
 def most_apart(threshold: float) -> int:
     """The largest number of differing sketch bits that a pair worth confirming may have.
 
-    A similarity of ``j`` lets ``2 * SAMPLES * (1 - j)`` samples differ, of which the expected number
-    of odd bits is ``n / 2 * (1 - exp(-2 * differing / n))``.
+    ``DEVIATIONS`` above the mean at the threshold.  A similarity of ``j`` lets a binomial number of
+    samples differ, ``SAMPLES * (1 - j)`` on average, and two flips for each fall on the sketch: the
+    expected number of odd bits is ``n / 2 * (1 - exp(-2 * flips / n))``.
     """
-    differing = 2 * SAMPLES * (1 - max(0.0, threshold - MARGIN))
-    return int(SKETCH_BITS / 2 * (1 - np.exp(-2 * differing / SKETCH_BITS)))
+    flips = 2 * SAMPLES * (1 - threshold)
+    even = np.exp(-2 * flips / SKETCH_BITS)
+    of_samples = SAMPLES * threshold * (1 - threshold) * (2 * even) ** 2
+    of_bits = SKETCH_BITS / 4 * (1 - even**2) - flips * even**2
+    mean = SKETCH_BITS / 2 * (1 - even)
+    return int(mean + DEVIATIONS * np.sqrt(of_samples + of_bits))
 
 
 def signatures(documents: DataFrame, key: str, text: str, words: int) -> DataFrame:

@@ -174,6 +174,17 @@ def test_sketch_estimates_similarity():
         assert bits <= near_dedup.most_apart(j)
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_sketch_margin_in_deviations(threshold):
+    """Ideal samples of pairs at the threshold: the filter is more than five deviations away."""
+    rng = np.random.default_rng(4)
+    differing = rng.binomial(near_dedup.SAMPLES, 1 - threshold, 20_000)
+    bits = [
+        int((np.bincount(rng.integers(0, near_dedup.SKETCH_BITS, 2 * d)) & 1).sum()) for d in differing
+    ]
+    assert near_dedup.most_apart(threshold) > np.mean(bits) + 5 * np.std(bits)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
