@@ -18,7 +18,7 @@ from entitylake.llm import (
     warc,
 )
 from entitylake.llm.common import table
-from entitylake.sources.scratch import scratch_path, staged
+from entitylake.sources.scratch import scratch_path
 
 SHARDS = 24
 QUALITY_THRESHOLD = 0.3
@@ -74,8 +74,8 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
-    # whole documents are written to their places; the digests are of what arrived there
-    placed = staged(sharding.shuffled_shards(table(spark, folder, "documents"), SHARDS), "shards")
+    # digests are of the texts that arrived at their places
+    placed = sharding.shuffled_shards(table(spark, folder, "documents"), SHARDS)
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return placed.select(
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
