@@ -10,6 +10,7 @@ from entitylake.llm import (
     exact_dedup,
     language_id,
     near_dedup,
+    order_minhash,
     packing,
     quality_mil,
     quality_rules,
@@ -116,6 +117,26 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op12_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    pairs = order_minhash.with_following(documents, "doc_id", "text")
+    size = F.length("text")
+    half = F.floor(size / 2).cast("int")
+    head = F.substring(F.col("text"), F.lit(1), size - half)
+    edited = F.concat(head, F.substring(F.col("next_text"), F.lit(1), half))
+    # the edited text is read twice: as columns of their own the two readers share it
+    made = pairs.select("doc_id", "fingerprint", "next_fingerprint", size.cast("long").alias("n_chars"),
+                        edited.alias("edited"))
+    made = made.withColumn("edited_fingerprint", order_minhash.fingerprint(F.col("edited")))
+    return made.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_hex(F.col("fingerprint")).alias("fingerprint"),
+        order_minhash.as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 SQL_OP2 = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
@@ -155,4 +176,5 @@ CASES = {
     "op8_language_id": (op8_language_id, None),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_exact_dedup": (op10_exact_dedup, SQL_OP10),
+    "op12_order_minhash": (op12_order_minhash, None),
 }
