@@ -16,17 +16,19 @@ not count.  Nothing is collected: a text's k-mers stay in its row, as arrays of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from entitylake.sources.scratch import staged
-
 WORDS = 3
 COMPONENTS = 64
 PICKED = 2
+RANGE_ROWS = 32_768
+MAX_RANGES = 1 << 18
 
+_ORDER = "known boolean, key long, hash long"
 _PLACE = 30  # low bits of a packed number: the position; a hash of 34 bits stands above
 
 
@@ -174,36 +176,100 @@ def fingerprints(documents: DataFrame, text: str = "text", **parameters: int) ->
 
 def with_following(documents: DataFrame, key: str, text: str, **parameters: int) -> DataFrame:
     """``key``, ``text``, ``fingerprint`` of every row and ``next_text``, ``next_fingerprint`` of the
-    row that follows it by ascending ``key``; after the last comes the first.
+    row that follows it by ascending ``key``, an integer; after the last comes the first.
 
     Rows with equal keys follow one another by a hash of their texts; rows without a key come first.
-    Sorts by ranges of key and hash, so a key of any weight is divided, and writes the sorted rows
-    once.  A row and its follower meet in a join on places, each of which has one row on either side.
-    The driver gets the first and last place of every partition.
+    Ranges of key and hash hold some 32,768 rows each.  Their bounds come from keys and hashes alone, so
+    texts are shuffled once, to their range, where each row sees the next; a range's first row is sent to
+    the range before it as well.  Of rows equal in key and text that exceed a range by themselves one is
+    sent, with their number.  Starts two jobs; the driver gets the bounds, 262,144 at most.
     """
     rows = documents.select(
-        F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")
+        F.col(key).cast("long").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")
     ).withColumn("_hash", F.xxhash64("_text"))
-    order = ["_key", "_hash"]
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = placed.withColumn("_at", F.monotonically_increasing_id())
-    placed = staged(
-        placed.select("_at", "_key", "_text", fingerprint(F.col("_text"), **parameters).alias("_print")),
-        "ordered",
+    total = documents.count()
+    parallel = 2 * documents.sparkSession.sparkContext.defaultParallelism
+    wanted = max(parallel, min(total // RANGE_ROWS, MAX_RANGES))
+    bounds, heavy = _ranges(rows, wanted, max(total // wanted, RANGE_ROWS))
+    rows = _folded(rows, heavy).withColumn("_print", fingerprint(F.col("_text"), **parameters))
+    placed = _in_ranges(rows.withColumn("_order", _order()), bounds)
+    window = Window.partitionBy("_range").orderBy("_guest", "_order")
+    follower = F.struct(F.col("_text").alias("text"), F.col("_print").alias("print"))
+    linked = placed.withColumn("_after", F.lead(follower).over(window)).where("not _guest")
+    if heavy:  # all copies but the last are followed by their like
+        numbered = linked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        same = F.col("_copy") < F.col("_copies")
+        linked = numbered.withColumn("_after", F.when(same, follower).otherwise(F.col("_after")))
+    return linked.select(
+        F.col("_key").alias(key), F.col("_text").alias(text), F.col("_print").alias("fingerprint"),
+        F.col("_after.text").alias("next_text"), F.col("_after.print").alias("next_fingerprint"),
     )
-    ends = placed.groupBy(F.shiftright("_at", 33).alias("part")).agg(
-        F.min("_at").alias("first"), F.max("_at").alias("last")
+
+
+def _order() -> Column:
+    """What rows are ordered by, without missing parts: they compare alike everywhere."""
+    known = F.col("_key").isNotNull()
+    return F.struct(
+        known.alias("known"), F.coalesce("_key", F.lit(0)).alias("key"), F.col("_hash").alias("hash")
     )
-    ends = sorted(tuple(r) for r in ends.collect())
-    jumps = [(last, follower[1]) for (_, _, last), follower in zip(ends, ends[1:] + ends[:1])]
-    jump = documents.sparkSession.createDataFrame(jumps, "_last long, _jump long")
-    own = placed.join(F.broadcast(jump), F.col("_at") == F.col("_last"), "left")
-    own = own.withColumn("_next", F.coalesce("_jump", F.col("_at") + 1))
-    follower = placed.select(
-        F.col("_at").alias("_next"), F.col("_text").alias("next_text"),
-        F.col("_print").alias("next_fingerprint"),
+
+
+def _ranges(rows: DataFrame, wanted: int, most: int) -> tuple[list[Row], list[Row]]:
+    """The first key and hash of every range, and those that more than ``most`` rows share."""
+    counted = rows.groupBy("_key", "_hash").agg(F.count(F.lit(1)).alias("copies"))
+    dealt = counted.withColumn("order", _order()).repartitionByRange(wanted, "order")
+    found = (
+        dealt.withColumn("part", F.spark_partition_id())
+        .groupBy("part")
+        .agg(
+            F.min("order").alias("first"),
+            F.collect_list(F.when(F.col("copies") > most, F.col("order"))).alias("heavy"),
+        )
+        .collect()
     )
-    return own.join(follower, "_next").select(
-        F.col("_key").alias(key), F.col("_text").alias(text), F.col("_print").alias("fingerprint"),
-        "next_text", "next_fingerprint",
+    return sorted(r["first"] for r in found), [pair for r in found for pair in r["heavy"]]
+
+
+def _folded(rows: DataFrame, heavy: list[Row]) -> DataFrame:
+    """One row, with the number of ``_copies``, for the rows of each heavy key and hash."""
+    single = F.lit(1).cast("long").alias("_copies")
+    if not heavy:
+        return rows.select("*", single)
+    listed = rows.sparkSession.createDataFrame([tuple(r) for r in heavy], _ORDER)
+    listed = F.broadcast(listed.select(F.struct("known", "key", "hash").alias("_order")))
+    ordered = rows.withColumn("_order", _order())
+    folded = (
+        ordered.join(listed, "_order", "left_semi")
+        .groupBy("_key", "_hash")
+        .agg(F.first("_text").alias("_text"), F.count(F.lit(1)).alias("_copies"))
     )
+    others = ordered.join(listed, "_order", "left_anti").drop("_order").select("*", single)
+    return others.unionByName(folded)
+
+
+def _in_ranges(rows: DataFrame, bounds: list[Row]) -> DataFrame:
+    """Rows with the number of their ``_range``: the last bound that is not above them, found among a
+    range's neighbours once these have been found among all.  A range's first key and hash come again,
+    as ``_guest``, at the end of the range before."""
+    if not bounds:
+        return rows.select("*", F.lit(0).alias("_range"), F.lit(False).alias("_guest"))
+    step = math.isqrt(len(bounds) - 1) + 1
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    names = ("known", "key", "hash")
+    heads = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, g[0])]) for g in groups])
+    listed = [(i, [tuple(b) for b in g]) for i, g in enumerate(groups)]
+    listed = rows.sparkSession.createDataFrame(listed, f"_group int, _bounds array<struct<{_ORDER}>>")
+
+    def last_below(among: str | Column) -> Column:
+        return F.size(F.filter(among, lambda b: b <= F.col("_order"))) - 1
+
+    known = rows.withColumn("_group", last_below(heads)).join(F.broadcast(listed), "_group")
+    at = known.withColumn("_at", last_below("_bounds"))
+    number = (F.col("_group") * step + F.col("_at")).cast("int")
+    first = F.get("_bounds", F.col("_at")) == F.col("_order")
+    before = F.pmod(number - 1, F.lit(len(bounds)))
+    here = F.struct(number.alias("_range"), F.lit(False).alias("_guest"))
+    there = F.struct(before.alias("_range"), F.lit(True).alias("_guest"))
+    places = F.explode(F.when(first, F.array(here, there)).otherwise(F.array(here)))
+    dealt = at.select(*rows.columns, places.alias("_place"))
+    return dealt.select(*rows.columns, "_place._range", "_place._guest")
