@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from entitylake.llm import (
     byte_bpe,
     exact_dedup,
+    hard_negatives,
     language_id,
     near_dedup,
     order_minhash,
@@ -17,6 +18,7 @@ from entitylake.llm import (
     secret_scan,
     sharding,
     warc,
+    whitening,
 )
 from entitylake.llm.common import table
 from entitylake.sources.scratch import scratch_path
@@ -117,6 +119,18 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op11_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    data = whitening.vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", scale=1024)
+    model = whitening.fit(data, components=8)
+    whitened = whitening.whiten(data, model, "vec_id")
+    error = whitening.identity_error(whitened, len(model.variances))
+    rows = whitening.component_rows(whitened, model, "vec_id", "deviation")
+    return rows.select(
+        "vec_id", "component", F.lit(model.rows).cast("long").alias("n"), "deviation", "whitened",
+        "explained", F.lit(error).alias("identity_error"),
+    )
+
+
 def op12_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     pairs = order_minhash.with_following(documents, "doc_id", "text")
@@ -137,6 +151,13 @@ def op12_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings")
+    key, label = F.col("vec_id"), F.col("label").cast("long")
+    shifted = F.when(key % 7 == 0, F.pmod(label + 1, F.lit(10))).otherwise(label)
+    return hard_negatives.mined(embeddings, "vec_id", "embedding", shifted, key % 100 == 0)
+
+
 SQL_OP2 = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
@@ -165,6 +186,29 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM d JOIN g USING (norm)
 """
 
+SQL_OP13 = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+         list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM e AS a JOIN e AS r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT p.*, other_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""
+
 CASES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_warc_revisits": (op2_warc_revisits, SQL_OP2),
@@ -176,5 +220,7 @@ CASES = {
     "op8_language_id": (op8_language_id, None),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_exact_dedup": (op10_exact_dedup, SQL_OP10),
+    "op11_lanczos_whitening": (op11_lanczos_whitening, None),
     "op12_order_minhash": (op12_order_minhash, None),
+    "op13_hard_negatives": (op13_hard_negatives, SQL_OP13),
 }
