@@ -12,8 +12,8 @@ from entitylake.catalog.attributes import CITY, COUNTRY, RANK, SINGLE_PATHS
 from entitylake.catalog.facts import ATTRIBUTES, NESTED
 from entitylake.catalog.links import NAMES
 from entitylake.operators.columns import conform_columns, empty_frame
-from entitylake.operators.melt import melt_groups, melt_single
-from entitylake.plans.entity import linked_nested, linked_single, nested_wide
+from entitylake.operators.melt import melt_single
+from entitylake.plans.entity import groups_wide, linked_tagged
 from entitylake.samples.documents import (
     DOCUMENT_SCHEMA,
     customer_documents,
@@ -28,7 +28,7 @@ from entitylake.sources.documents import (
     split_quarantine,
 )
 from entitylake.sources.scratch import scratch_path, staged
-from entitylake.sources.sinks import write_csv, write_groups, write_parquet
+from entitylake.sources.sinks import write_csv, write_parquet, write_tagged
 from entitylake.streaming.intake import append_available, document_stream
 
 DOCS_PER_FILE = 512
@@ -165,16 +165,13 @@ GROUPS = {"place": [CITY, RANK], "land": [COUNTRY], "void": ["attributes.Address
 def group_datasets(spark: SparkSession, sf: str) -> DataFrame:
     """One dataset per attribute group, read back together; the empty group has none."""
     base = scratch_path(spark, "groups")
-    docs = entity_documents(spark, sf)
-    single = staged(linked_single(docs, SINGLE_PATHS, NAMES), "single")
-    nested = staged(linked_nested(docs, GROUPS), "nested")
-    melted = {g: melt_groups(docs, {g: paths}) for g, paths in GROUPS.items()}
-    written = write_groups(nested_wide(nested, single, GROUPS), base, probes=melted)
+    tagged = staged(linked_tagged(entity_documents(spark, sf), SINGLE_PATHS, NAMES, GROUPS), "tagged")
+    written = write_tagged(groups_wide(tagged, GROUPS), base, list(GROUPS))
     columns = ["UniqueId", "cross_source", "City", "Rank", "Country"]
     parts = [
-        conform_columns(spark.read.parquet(f"{base}/{g}"), columns, allow_missing=True)
-        .withColumn("attribute_group", F.lit(g))
-        for g in written
+        spark.read.parquet(f"{base}/attribute_group={g}").select(*columns, F.lit(g).alias("attribute_group"))
+        for g, rows in written.items()
+        if rows
     ]
     out = empty_frame(spark, [*columns, "attribute_group"])
     for part in parts:

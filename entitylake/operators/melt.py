@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,6 +179,39 @@ def melt_groups(
     ).na.drop("any")
 
 
+SINGLE_GROUP = ""
+
+
+def melt_tagged(
+    docs: DataFrame,
+    paths: Iterable[AttributePath | str | Mapping[str, str]],
+    groups: Mapping[str, Iterable[AttributePath | str | Mapping[str, str]]],
+    prefer: str = "value",
+) -> DataFrame:
+    """Top-level attributes, in group ``SINGLE_GROUP``, and the nested ones of ``groups`` in one pass.
+
+    Labels and rows are those of :func:`melt_single` and :func:`melt_groups`.
+    """
+    if SINGLE_GROUP in groups:
+        raise ValueError("a group needs a name")
+    tagged = {SINGLE_GROUP: attribute_paths(paths)}
+    tagged |= {group: attribute_paths(listed) for group, listed in groups.items()}
+    rows = None
+    for wave in _waves([(p, [group]) for group, listed in tagged.items() for p in listed]):
+        part = _exploded(docs, list(wave), prefer, False, wave, ["attribute_group"])
+        if part is not None:
+            rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        return empty_frame(docs.sparkSession, [*LONG_COLUMNS, "attribute_group"])
+    single = F.col("attribute_group") == SINGLE_GROUP
+    label = F.when(single, attribute_name("uri")).otherwise(sub_attribute_name("uri"))
+    rows = rows.select(
+        "uri", "value", label.alias("joined_column"), entity_id("uri").alias("EntityID"), "attribute_group"
+    )
+    whole = reduce(and_, [F.col(c).isNotNull() for c in LONG_COLUMNS])
+    return rows.where(single | whole)
+
+
 def _waves(
     flat: Sequence[tuple[AttributePath, Sequence[str]]],
 ) -> list[dict[AttributePath, Sequence[str]]]:

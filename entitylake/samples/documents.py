@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 from entitylake.operators.linkage import even_join
 
 BLOCK = 16_384
-
+LISTED = 100_000  # large parents, a few bytes each, that are broadcast
 
 
 def _struct(**fields: DataType) -> StructType:
@@ -185,21 +185,28 @@ def _gathered(
 
     Children are counted per parent, with partial counts before the shuffle.  Those of a parent with
     more than ``BLOCK`` are dealt to parts by a hash of their content; ``columns`` must tell the
-    children of a parent apart.  Gathering has nothing to combine before the shuffle, so the flat
-    ``columns`` are placed first, and nested elements are made of them where they are gathered.
+    children of a parent apart.  Starts a job, which reads ``parent`` alone: usually no parent is that
+    large, and nothing is joined then; up to ``LISTED`` large ones are broadcast.  Gathering has nothing
+    to combine before the shuffle, so the flat ``columns`` are placed first, and nested elements are
+    made of them where they are gathered.
     """
-    keys = ["uri", "_part"]
+    keys = ["uri"]
     flat = rows.select(parent.alias("uri"), *columns)
     parts = F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts")
-    large = flat.groupBy("uri").agg(parts).where("_parts > 1")
-    part = F.pmod(F.xxhash64(*columns), F.coalesce("_parts", F.lit(1)))
-    placed = (
-        even_join(flat, large, ["uri"], "left")
-        .select("uri", part.alias("_part"), *columns)
-        .repartition(*keys)
-    )
+    large = rows.groupBy(parent.alias("uri")).agg(parts).where("_parts > 1")
+    listed = large.limit(LISTED + 1).collect()
+    if listed:
+        if len(listed) <= LISTED:
+            few = F.broadcast(rows.sparkSession.createDataFrame(listed, large.schema))
+            known = flat.join(few, "uri", "left")
+        else:
+            known = even_join(flat, large, ["uri"], "left")
+        keys.append("_part")
+        part = F.pmod(F.xxhash64(*columns), F.coalesce("_parts", F.lit(1)))
+        flat = known.select("uri", part.alias("_part"), *columns)
     return (
-        placed.select(*keys, child.alias("child"))
+        flat.repartition(*keys)
+        .select(*keys, child.alias("child"))
         .groupBy(*keys)
         .agg(F.collect_list("child").alias(name))
         .select("uri", name)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def sized(df: DataFrame, target_files: int | None = None) -> DataFrame:
@@ -68,3 +69,27 @@ def write_groups(
         write_parquet(df, f"{base}/{group}", mode, target_files)
         written.append(group)
     return written
+
+
+def write_tagged(
+    rows: DataFrame, base: str, groups: Sequence[str], tag: str = "attribute_group", keep: bool = True
+) -> dict[str, int]:
+    """One dataset per group below ``base``, as ``<tag>=<group>``, in a single job.
+
+    Returns the number of rows written for each of ``groups``, counted in that job; a group without
+    rows gets no dataset.  With ``keep`` rows are appended, else the groups that have rows are replaced
+    and the others stay.  Rows of other groups, or without one, are an error.
+    """
+    if len(set(groups)) != len(groups):
+        raise ValueError("groups must be distinct")
+    column = F.col(tag)
+    known = F.coalesce(column.isin(list(groups)), F.lit(False))
+    refused = F.raise_error(F.concat(F.lit(f"unknown {tag}: "), F.coalesce(column, F.lit("NULL"))))
+    checked = rows.withColumn(tag, F.when(known, column).otherwise(refused.cast("string")))
+    counts = Observation()
+    counted = checked.hint("rebalance", tag).observe(
+        counts, *[F.count_if(column == g).alias(f"n{i}") for i, g in enumerate(groups)]
+    )
+    writer = counted.write.partitionBy(tag).mode("append" if keep else "overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(base)
+    return {g: counts.get[f"n{i}"] or 0 for i, g in enumerate(groups)}

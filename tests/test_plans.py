@@ -10,6 +10,8 @@ from entitylake.operators.crosswalk import crosswalk_table, crosswalk_uri_table
 from entitylake.operators.melt import melt_nested, melt_single
 from entitylake.operators.pivot import pivot_single
 from entitylake.plans.address import address_wide
+from entitylake.plans.entity import groups_wide, linked_tagged
+from entitylake.samples import documents
 from entitylake.samples.documents import customer_documents, entity_documents
 from entitylake.sources.scratch import staged
 
@@ -86,10 +88,24 @@ def test_pivot_is_one_shuffle_with_partial_maxima(spark):
     assert count(wide, "Exchange") == 1 and "partial_max" in plan(wide)
 
 
-def test_partial_documents_are_bounded(spark):
-    """A customer document comes from one row; gathered ones are keyed by part as well."""
+def test_partial_documents_are_bounded(spark, monkeypatch):
+    """A customer document comes from one row; the children of large parents are keyed by part as well."""
     assert count(customer_documents(spark, DATA), "Exchange") == 0
+    docs = entity_documents(spark, DATA)
+    assert "_part" not in plan(docs) and count(docs, "FileScan") == 2 and count(docs, "Exchange") == 1
+    monkeypatch.setattr(documents, "BLOCK", 5)
     assert "_part" in plan(entity_documents(spark, DATA))
+    monkeypatch.setattr(documents, "LISTED", 1)
+    assert count(entity_documents(spark, DATA), "FileScan") == 3  # too many to be listed
+
+
+def test_groups_need_one_melt_one_crosswalk_scan_and_one_link(stored):
+    groups = {"place": ["attributes.Address.value.City"], "land": ["attributes.Address.value.Country"]}
+    tagged = linked_tagged(stored, ["attributes.Name", "attributes.UniqueId"], ["Name", "UniqueId"], groups)
+    assert count(tagged, "FileScan") == 2 and sum("crosswalks" in s for s in read_schemas(tagged)) == 1
+    joins = len(re.findall(r"\b(?:SortMerge|BroadcastHash|ShuffledHash)Join\b", plan(tagged)))
+    assert joins == 1
+    assert len(re.findall(r"Join\b", plan(groups_wide(staged(tagged, "tagged"), groups)))) == 1
 
 
 # training-data operators are free to use Arrow functions; tests/llm checks the native ones
