@@ -25,6 +25,7 @@ from entitylake.operators.linkage import (
 )
 from entitylake.operators.melt import melt_nested, melt_single, reference_ids
 from entitylake.operators.pivot import pivot_nested
+from entitylake.operators.prose import prose_join
 from entitylake.plans.address import address_wide
 from entitylake.plans.entity import entity_wide, linked_single
 from entitylake.samples.documents import (
@@ -184,6 +185,25 @@ def substring_links_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def prose_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and the benchmark passages they quote; each passage also in a version of its own length."""
+    passages = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("passage"))
+    cut = F.substring(F.col("passage"), F.lit(4), F.length("passage") - 3 - F.col("item_id") % 40)
+    passages = passages.withColumn("part", F.lit("whole")).unionByName(
+        passages.select("item_id", cut.cast("string").alias("passage"), F.lit("inner").alias("part"))
+    )
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return prose_join(passages, documents, "passage", "text").select("item_id", "part", "doc_id")
+
+
+PROSE_LINKS = """
+SELECT item_id, part, doc_id
+FROM (SELECT item_id, 'whole' AS part, text AS passage FROM benchmark
+      UNION ALL SELECT item_id, 'inner', substr(text, 4, CAST(length(text) - 3 - item_id % 40 AS BIGINT))
+      FROM benchmark) AS p
+JOIN documents AS d ON contains(d.text, p.passage)"""
+
+
 def addresses(spark: SparkSession, sf: str) -> DataFrame:
     """The complete address job."""
     paths = [CITY, RANK, ZIP4, ZIP5, "attributes.Address.value.County"]
@@ -233,6 +253,7 @@ CASES = {
     "nested_entity_join": (with_unique_ids, WITH_UNIQUE_IDS),
     "substring_join": (substring_links, MATCHES),
     "substring_join_exact_length": (substring_links_shuffled, MATCHES),
+    "substring_join_prose": (prose_links, PROSE_LINKS),
     "address_wide": (addresses, ADDRESSES),
     "address_wide_shuffled": (addresses_shuffled, ADDRESSES_SHUFFLED),
     "entity_wide": (entities, ENTITIES),

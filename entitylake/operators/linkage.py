@@ -8,12 +8,13 @@ plain shuffles, so that adaptive execution can cut a skewed partition into sever
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entitylake.functions.membership import membership
 from entitylake.functions.paths import require_unique
 from entitylake.operators.columns import conform_columns, stamp_columns
 from entitylake.sources.scratch import staged
@@ -166,6 +167,11 @@ def with_grams(
     return _placed_grams(rows, haystack, lengths).drop("_at").withColumnRenamed("gram", gram)
 
 
+def _needle_filter(known: DataFrame, stats: NeedleStats) -> Callable[[Column], Column] | None:
+    hashes = known.select(F.xxhash64("gram").alias("_gram_hash"))
+    return membership(hashes, "_gram_hash", stats.rows) if stats.lengths else None
+
+
 def _needle_set(needles: DataFrame, needle: str) -> DataFrame:
     return needles.select(F.col(needle).alias("gram")).where(F.col("gram").isNotNull()).distinct()
 
@@ -200,13 +206,18 @@ def _shuffled_links(
 ) -> DataFrame:
     """Rows with each needle they contain, for any number of needles.
 
-    Substrings and texts go through the matching shuffle as 64-bit hashes; texts and needles follow
-    for the hits alone, and ``contains`` confirms them.  ``rows`` is read twice: pass a written table.
+    Substrings and texts go through the matching shuffle as 64-bit hashes, and only those that pass the
+    needle filter; texts and needles follow for the hits alone, and ``contains`` confirms them.  ``rows``
+    is read twice: pass a written table.
     """
-    known = _needle_set(needles, needle).withColumn("_gram_hash", F.xxhash64("gram"))
+    known = _needle_set(needles, needle)
+    keep = _needle_filter(known, stats)
+    known = known.withColumn("_gram_hash", F.xxhash64("gram"))
     hashed = rows.withColumn("_text_hash", F.xxhash64(haystack))
     grams = _placed_grams(hashed.select("_text_hash", haystack), haystack, stats.lengths)
     ids = grams.select("_text_hash", F.xxhash64("gram").alias("_gram_hash"))
+    if keep is not None:
+        ids = ids.where(keep(F.col("_gram_hash")))
     hits = even_join(ids, known, ["_gram_hash"]).select("_text_hash", "gram").distinct()
     candidates = even_join(hashed, hits, ["_text_hash"])
     found = candidates.where(F.col(haystack).contains(F.col("gram")))

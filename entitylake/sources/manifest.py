@@ -14,9 +14,12 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from entitylake.sources.sinks import write_parquet
+
 COMMITS = "_commits"
 DATA = "data"
 PART = "_part"  # folders look like partitions, so that they may be partitioned further
@@ -119,3 +122,27 @@ class Manifest:
                 for folder in self._fs.listStatus(dataset.getPath()):
                     found.append(f"{DATA}/{dataset.getPath().getName()}/{folder.getPath().getName()}")
         return sorted(set(found) - named)
+
+
+def publish(
+    manifest: Manifest, version: int, frames: Mapping[str, DataFrame], target_files: int | None = None
+) -> Commit:
+    """Write all frames and make them visible together; a version that stands is not written again.
+
+    Datasets of earlier versions that ``frames`` does not name stay as they were.  Row counts are taken
+    while writing and kept in the commit's notes.
+    """
+    known = manifest.read(version)
+    if known is not None:
+        return known
+    latest = manifest.read()
+    datasets = dict(latest.datasets) if latest else {}
+    rows = {}
+    for name, frame in frames.items():
+        folder = manifest.folder(name)
+        count = Observation()
+        counted = frame.observe(count, F.count(F.lit(1)).alias("rows"))
+        write_parquet(counted, manifest.absolute(folder), target_files=target_files)
+        rows[name] = count.get["rows"]
+        datasets[name] = [folder]
+    return manifest.commit(version, datasets, {"rows": rows})

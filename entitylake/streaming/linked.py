@@ -6,7 +6,7 @@ their URI names.  The entities a batch touches are then linked anew from all fac
 and new, and their rows replace the earlier ones; other entities are neither read nor written.  The
 result equals the batch plan over all documents so far, whatever the chunks.
 
-Facts are a set: a document that lands twice changes nothing.  Each batch is one commit of facts, rows
+Facts count as a set: a document that lands twice changes nothing.  Each batch is one commit of facts, rows
 and the list of touched entities, so readers see whole batches, and a batch that runs again, after a
 failure at any point, is stored once.  After ``compact_every`` commits each dataset is rewritten to a
 single folder, in the same commit.
@@ -66,7 +66,7 @@ class EntityState:
     stamps: Mapping[str, str] = field(default_factory=dict)
 
     def facts(self, docs: DataFrame) -> DataFrame:
-        """What ``docs`` say, each fact once: one row shape for all three kinds."""
+        """What ``docs`` say: one row shape for all three kinds.  Facts may be said more than once."""
         listed = [p for p in attribute_paths(self.paths) if p.path.lower() != self.reference_path.lower()]
         parts = {
             ATTRIBUTE: largest_value_per_uri(melt_single(docs, listed, self.prefer, keep_empty=False)),
@@ -79,7 +79,7 @@ class EntityState:
             part = part.withColumns({"kind": F.lit(kind), "entity": _owner("uri")})
             rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
         bucket = F.pmod(F.hash("entity"), F.lit(self.buckets)).alias("bucket")
-        return rows.select(*[F.col(n).cast("string").alias(n) for n in _TEXTS], bucket).distinct()
+        return rows.select(*[F.col(n).cast("string").alias(n) for n in _TEXTS], bucket)
 
     def linked(self, facts: DataFrame) -> DataFrame:
         """The entity rows that follow from facts, with their entity as ``entity``."""
