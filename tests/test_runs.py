@@ -1,12 +1,17 @@
 """Manifests, and datasets kept up to date by batches."""
 
+import random
+from collections import Counter
+
 import pytest
 from oracle import actual
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from entitylake.operators.upkeep import PivotState
 from entitylake.plans.entity import entity_wide
 from entitylake.samples.documents import crosswalk_documents, customer_documents
-from entitylake.sources.manifest import Manifest
+from entitylake.sources.manifest import Manifest, publish
 from entitylake.sources.scratch import staged
 from entitylake.streaming import linked
 from entitylake.streaming.linked import EntityState
@@ -117,3 +122,58 @@ def test_a_failure_before_the_commit_leaves_the_last_state(spark, tmp_path, part
     state.store(parts[3], "run", 2)
     want = _batch([parts[0], parts[2], parts[3]]).dropDuplicates()
     assert actual(state.current(spark).dropDuplicates()) == actual(want)
+
+
+def test_published_datasets_appear_together(spark, tmp_path):
+    manifest = Manifest(spark, str(tmp_path / "base"))
+    first = publish(manifest, 1, {"a": _numbers(spark, 1, 2), "b": _numbers(spark, 3)})
+    assert first.notes == {"rows": {"a": 2, "b": 1}}
+    broken = _numbers(spark, 4).select(F.raise_error(F.lit("lost")).cast("long").alias("n"))
+    with pytest.raises(PySparkException):
+        publish(manifest, 2, {"a": _numbers(spark, 5), "b": broken})
+    schema = broken.schema
+    assert manifest.versions() == [1] and len(manifest.orphans()) >= 1
+    assert sorted(r.n for r in manifest.dataset("a", schema).collect()) == [1, 2]
+    publish(manifest, 2, {"a": _numbers(spark, 5)})
+    publish(manifest, 2, {"a": _numbers(spark, 5, 6)})  # stands already
+    assert [r.n for r in manifest.dataset("a", schema).collect()] == [5]
+    assert [r.n for r in manifest.dataset("b", schema).collect()] == [3]
+    assert sorted(r.n for r in manifest.dataset("a", schema, manifest.read(1)).collect()) == [1, 2]
+
+
+def _pivoted(events):
+    """The plain way: live values by key, then the largest per name."""
+    counts = Counter()
+    for key, name, value, change in events:
+        label = (name or "").strip().lower()
+        counts[key, label, value if label in ("a", "b") else None] += change
+    out = {}
+    for (key, label, value), count in counts.items():
+        if count <= 0:
+            continue
+        row = out.setdefault(key, {"a": None, "b": None})
+        if label in row and value is not None:
+            row[label] = max(row[label] or "", value)
+    return sorted(((k, r["a"], r["b"]) for k, r in out.items()), key=repr)
+
+
+def test_pivot_with_withdrawals_equals_the_plain_way_after_every_batch(spark, tmp_path):
+    rng = random.Random(3)
+    state = PivotState(str(tmp_path / "pivot"), ["k"], ["A", "b"], buckets=2, compact_every=3)
+    said = []
+    for number in range(5):
+        batch = [
+            (rng.choice(["x", "y", "z", None]), rng.choice(["a", " A ", "b", "other", None]),
+             rng.choice(["1", "5", "9", "10", None]), rng.choice([1, 1, -1]))
+            for _ in range(rng.choice([0, 12, 25]) if number else 20)
+        ]
+        said += batch
+        frame = spark.createDataFrame(batch, "k string, name string, value string, change int")
+        for _ in range(2):
+            state.store(frame, number)
+        assert sorted((tuple(r) for r in state.current(spark).collect()), key=repr) == _pivoted(said)
+
+
+def test_names_of_the_state_are_refused_as_keys(tmp_path):
+    with pytest.raises(ValueError):
+        PivotState(str(tmp_path), ["value"], ["A"])
