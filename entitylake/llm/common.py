@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import entitylake
@@ -72,6 +73,15 @@ def field(df: DataFrame, column: str, name: str | None = None) -> T.StructField:
     return T.StructField(name or column, df.schema[column].dataType, True)
 
 
+def sampled(rows: DataFrame, columns: Sequence[str], total: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of ``total`` rows, chosen by a 64-bit hash of ``columns``; rows that are equal in
+    them count once.  All distinct rows where there are no more than wanted."""
+    if total > wanted:
+        below = -(1 << 63) + (wanted << 64) // total
+        rows = rows.where(F.xxhash64(*columns) < F.lit(below).cast("long"))
+    return rows.dropDuplicates(list(columns))
+
+
 def as_text(values) -> list[str]:
     """A pandas column of texts as a list; missing values are empty texts."""
     return [v if isinstance(v, str) else "" for v in values]

@@ -13,6 +13,7 @@ Ties go to the first language by name.  Repeated rows get equal results; other c
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitylake.llm.common import as_text, resident, slices
+from entitylake.llm.common import as_text, resident, sampled
 
 UNDETERMINED = "und"
 DIMENSIONS = 1024
@@ -30,7 +31,9 @@ MAX_LANGUAGES = 1_000
 
 _CODES = 0x110000
 _DENSE = 1 << 22  # up to so many possible trigrams are counted by position instead of by sorting
-_PIECE = 1 << 20  # characters of a long text that are counted at a time
+_PIECE = 1 << 18  # characters of a long text that are read at a time
+_RUN = 4_096  # trigrams whose vectors are made at a time
+_SYMBOLS, _TEXTS = 1 << 18, 128  # in one bundling
 _UNIT = 1 << 30  # unit vectors are summed as integers: the sum does not depend on the order
 
 
@@ -52,40 +55,46 @@ class Hyperspace:
         self.index[np.asarray(codes, np.int64)] = len(self.vectors) + np.arange(len(rows))
         self.vectors = np.concatenate([self.vectors, np.asarray(rows, np.int8) * 2 - 1])
 
-    def _symbols(self, text: str) -> np.ndarray:
-        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        codes = np.where(self.is_letter[codes], codes, 0)
-        codes = np.concatenate([[0], codes, [0]])
-        codes = codes[(codes != 0) | np.concatenate([[True], codes[:-1] != 0])]
-        fresh = codes[(self.index[codes] == 0) & (codes != 0)]
-        if len(fresh):
-            self._known(np.unique(fresh))
-        return self.index[codes]
-
-    def bundle(self, texts: list[str]) -> np.ndarray:
+    def _sequences(self, text: str) -> Iterator[np.ndarray]:
+        """The symbols of a text, with a gap at both ends, in pieces: each begins with the last two symbols
+        of the one before, so that every trigram is in one piece."""
+        text, carried = text.lower(), np.zeros(1, "<u4")
+        for at in range(0, max(len(text), 1), _PIECE):
+            codes = np.frombuffer(text[at : at + _PIECE].encode("utf-32-le", "surrogatepass"), "<u4")
+            codes = np.where(self.is_letter[codes], codes, 0)
+            end = [0] if at + _PIECE >= len(text) else []
+            codes = np.concatenate([carried, codes, end]).astype("<u4")
+            codes = codes[(codes != 0) | np.concatenate([[True], codes[:-1] != 0])]
+            fresh = codes[(self.index[codes] == 0) & (codes != 0)]
+            if len(fresh):
+                self._known(np.unique(fresh))
+            yield self.index[codes]
+            carried = codes[-2:]
+
+    def bundle(self, texts: Sequence[str]) -> np.ndarray:
         """One row per text: the sum of its trigrams' vectors; zeros where there is no letter."""
         out = np.zeros((len(texts), self.dimensions), np.float32)
-        pieces = [
-            (i, text[at : at + _PIECE + 2])
-            for i, text in enumerate(texts)
-            for at in range(0, max(len(text), 1), _PIECE)
-        ]
-        for low, high in slices([p for _, p in pieces], 1 << 18, 128):
-            vectors = self._bundle([p for _, p in pieces[low:high]])
-            for (i, _), vector in zip(pieces[low:high], vectors):
-                out[i] += vector
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for sequence in self._sequences(text):
+                held.append((i, sequence))
+                size += len(sequence)
+                if size >= _SYMBOLS or len(held) >= _TEXTS:
+                    self._add(held, out)
+                    held, size = [], 0
+        if held:
+            self._add(held, out)
         return out
 
-    def _bundle(self, texts: list[str]) -> np.ndarray:
-        parts = [self._symbols(t) for t in texts]
-        symbols = np.concatenate(parts).astype(np.int64)
-        owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        same = owner[:-2] == owner[2:]
+    def _add(self, held: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
+        symbols = np.concatenate([s for _, s in held]).astype(np.int64)
+        piece = np.repeat(np.arange(len(held)), [len(s) for _, s in held])
+        same = piece[:-2] == piece[2:]
         if not same.any():
-            return np.zeros((len(texts), self.dimensions), np.float32)
+            return
         base = len(self.vectors)
         grams = ((symbols[:-2] * base + symbols[1:-1]) * base + symbols[2:])[same]
-        owner = owner[2:][same]
+        piece = piece[2:][same]
         if base**3 <= _DENSE:
             place = np.zeros(base**3, np.int64)
             place[grams] = 1
@@ -94,12 +103,20 @@ class Hyperspace:
             at = place[grams]
         else:
             present, at = np.unique(grams, return_inverse=True)
-        counts = np.bincount(owner * len(present) + at, minlength=len(texts) * len(present))
-        first, second, third = present // base**2, present // base % base, present % base
-        bound = np.roll(self.vectors, 2, 1)[first]
-        bound = bound * np.roll(self.vectors, 1, 1)[second] * self.vectors[third]
-        shape = (len(texts), len(present))
-        return counts.reshape(shape).astype(np.float32) @ bound.astype(np.float32)
+        sums = np.zeros((len(held), self.dimensions), np.float32)
+        if len(present) > _RUN:
+            order = np.argsort(at, kind="stable")
+            at, piece = at[order], piece[order]
+        for low in range(0, len(present), _RUN):
+            run = present[low : low + _RUN]
+            here = slice(*np.searchsorted(at, [low, low + _RUN])) if len(present) > _RUN else slice(None)
+            cells = piece[here] * len(run) + (at[here] - low)
+            counts = np.bincount(cells, minlength=len(held) * len(run)).reshape(len(held), len(run))
+            first, second, third = run // base**2, run // base % base, run % base
+            bound = np.roll(self.vectors, 2, 1)[first]
+            bound = bound * np.roll(self.vectors, 1, 1)[second] * self.vectors[third]
+            sums += counts.astype(np.float32) @ bound.astype(np.float32)
+        np.add.at(out, [i for i, _ in held], sums)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -127,21 +144,15 @@ def train(
     dimensions: int = DIMENSIONS,
     seed: int = SEED,
 ) -> LanguageModel:
-    """Prototypes from about ``max_rows`` labelled documents at most, chosen by the hash of ``key``.
+    """Prototypes from about ``max_rows`` labelled documents at most, chosen by the hash of ``key`` and text.
 
-    Starts jobs.  Rows without text or label are left out.  The vectors are summed on the executors;
+    Starts jobs.  Rows without text or label are left out, and equal ones count once.  The vectors are summed on the executors;
     the driver gets one prototype per language.
     """
     labelled = documents.select(
-        F.col(text).alias("text"), F.col(label).cast("string").alias("label"),
-        F.xxhash64(F.col(key)).alias("hash"),
+        F.col(text).alias("text"), F.col(label).cast("string").alias("label"), F.col(key).alias("key")
     ).where(F.col("text").isNotNull() & F.col("label").isNotNull())
-    rows = labelled.count()
-    if rows > max_rows:
-        buckets = 1 << 20
-        labelled = labelled.where(
-            F.pmod("hash", F.lit(buckets)) < F.lit(int(buckets * max_rows / rows))
-        )
+    labelled = sampled(labelled, ["key", "text", "label"], labelled.count(), max_rows)
 
     def sums(batches):
         space, total = _spaces(dimensions, seed), {}

@@ -3,9 +3,11 @@
 import hashlib
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from entitylake.llm import language_id, quality_mil, quality_rules, queries, secret_scan, warc
+from entitylake.llm.common import sampled
 
 from llm_fixtures import DATA, docs, shipped  # noqa: F401
 
@@ -85,3 +87,44 @@ def test_held_out_accuracy(spark):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     rows = [r for r in queries.op8_language_id(spark, DATA).collect() if r.held_out]
     assert sum(langs[r.doc_id] == r.lang_pred for r in rows) >= 0.95 * len(rows)
+
+
+def test_bundles_equal_plain_ones_however_texts_are_cut(monkeypatch):
+    """Plain: every trigram's vector, one after the other."""
+    space = language_id.Hyperspace(64)
+    rng = np.random.default_rng(9)
+    odd = "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 20_000)))
+    texts = ["", "12 !", "a", "Ab  c'd", "İé ß", "ab" * 3_000, odd, "x" * 999 + " " + "y" * 999]
+
+    def plain(text):
+        codes, total = [0], np.zeros(64)
+        for c in text.lower():
+            if c.isalpha() or codes[-1] != 0:
+                codes.append(ord(c) if c.isalpha() else 0)
+        codes += [0] if codes[-1] != 0 else []
+        vectors = {c: space.vectors[space.index[c]].astype(int) for c in set(codes)}
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            total += np.roll(vectors[a], 2) * np.roll(vectors[b], 1) * vectors[c]
+        return total
+
+    whole = space.bundle(texts)
+    assert (whole == np.array([plain(t) for t in texts])).all()
+    monkeypatch.setattr(language_id, "_PIECE", 7)
+    assert (language_id.Hyperspace(64).bundle(texts) == whole).all()
+    monkeypatch.undo()
+    long = "".join(map(chr, rng.integers(97, 123, 3_000_000)))
+    in_pieces = space.bundle([long])
+    monkeypatch.setattr(language_id, "_PIECE", 1 << 22)
+    assert (space.bundle([long]) == in_pieces).all()
+
+
+def test_samples_are_bounded_whatever_the_size_and_the_ids(spark):
+    frame = spark.range(20_000).selectExpr("id", "'t' as text", "0 as label")
+    some = sampled(frame, ["id", "text", "label"], 20_000, 2_000).count()
+    assert 1_700 < some < 2_300
+    # a table of 1e11 rows, of which these are a part: one in 5,000,000 is not none of them in general
+    assert sampled(frame, ["id"], 10**11, 10**9).count() > 100
+    missing = spark.range(20_000).selectExpr("cast(null as long) as id", "cast(id as string) as text", "0 as label")
+    assert 1_700 < sampled(missing, ["id", "text", "label"], 20_000, 2_000).count() < 2_300
+    same = spark.range(20_000).selectExpr("7 as id", "'t' as text", "0 as label")
+    assert sampled(same, ["id", "text", "label"], 20_000, 20_000).count() == 1
