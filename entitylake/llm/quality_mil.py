@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitylake.llm.common import as_text, slices
+from entitylake.llm.common import as_text, sampled, slices
 
 PASSAGE_WORDS = 100
 TRAINING_ROWS = 8_000
@@ -183,21 +183,16 @@ def train(
     documents: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     max_rows: int = TRAINING_ROWS,
 ) -> MilModel:
-    """Fit on about ``max_rows`` labelled documents at most, chosen by the hash of ``key``.
+    """Fit on about ``max_rows`` labelled documents at most, chosen by the hash of ``key``, text and label.
 
-    Starts jobs. Rows without label are left out. What reaches the driver is bounded by ``max_rows``
+    Starts jobs. Rows without label are left out, and equal ones count once. What reaches the driver is bounded by ``max_rows``
     times ``TRAINING_PASSAGES`` passage vectors.
     """
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label")).where(
         F.col("label").isin(0, 1)
     )
-    n = known.count()
-    if n > max_rows:
-        buckets = 1 << 20
-        known = known.where(
-            F.pmod(F.xxhash64("id"), F.lit(buckets)) < F.lit(int(buckets * max_rows / n))
-        )
     joined = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).join(known, "id")
+    joined = sampled(joined, ["id", "text", "label"], joined.count(), max_rows)
 
     def vectors(batches):
         for batch in batches:
