@@ -7,6 +7,7 @@ import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 CHUNKS_KEPT = 400_000
 
@@ -99,6 +100,27 @@ class ChunkCache:
         return out
 
 
+    def ids_of(self, texts: pa.ListArray) -> list[np.ndarray]:
+        """As :meth:`ids`, for lists of chunks (texts or bytes, looked up as bytes) in an Arrow array: each
+        distinct chunk of the array is looked up once."""
+        if self.known > self.limit:
+            self._forget()
+        coded = texts.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        with _uncollected():
+            numbers = np.fromiter(map(self.ordinals.__getitem__, distinct), np.int64, len(distinct))
+            self._learn()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        self.uses[numbers] += np.bincount(at, minlength=len(numbers))
+        each = numbers[at]
+        sizes = self.sizes[each]
+        flat = self.flat[_spans(self.starts[each], sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = texts.offsets.to_numpy()
+        cuts = ends[offsets - offsets[0]].tolist()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of all given spans, one after the other."""
     ends = np.cumsum(sizes)

@@ -27,6 +27,7 @@ from collections.abc import Callable
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +59,8 @@ WORD_END = "</w>"
 PRINTABLE = re.compile(rb"[!-~]+")
 JOINED = 200  # chunks that are encoded as one text
 WORDS_KEPT = 250_000
+MOST_TASKS = 20_000  # of an epoch
+PORTION = 4 << 20  # bytes of text that are looked up together
 
 
 def _words_in(chunk: bytes) -> int:
@@ -144,12 +147,12 @@ def token_pieces(
 
     def cut(batches):
         cache = _word_tokens(path)
-        for portion in portions(batches, 1):
-            keys, texts = (c.to_pylist() for c in portion.columns)
+        for portion in portions(batches, 1, PORTION):
+            texts = pc.fill_null(portion.columns[1], "")
             # the tokenizer lowers letters anyway; doing so for A-Z first leaves fewer chunks to know
-            chunks = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+            chunks = pc.ascii_split_whitespace(pc.ascii_lower(texts))
             rows = []
-            for name, ids in zip(keys, cache.ids(chunks)):
+            for name, ids in zip(portion.columns[0].to_pylist(), cache.ids_of(chunks)):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), limit)):
                     part = ids[start : start + limit]
@@ -329,20 +332,20 @@ def pack(
 ) -> DataFrame:
     """All columns of ``pieces`` (as of :func:`token_pieces`) with ``sequence_id`` and ``offset``.
 
-    Starts jobs.  ``pieces`` is staged.  A cell whose hash gets more than twice its share of rows is
-    divided, so tasks stay small however often a row is repeated.
+    Starts jobs.  ``pieces`` is staged with a number for every row, by which rows are dealt to cells: these
+    stay even however often a row is repeated.  One that gets more than twice its share is divided.
     """
-    pieces = staged(pieces, "pieces")
+    columns = pieces.columns
+    pieces = staged(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     cells = max(1, math.ceil(pieces.count() / cell))
-    known = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    dealt = pieces.withColumn("_cell", F.pmod(F.xxhash64(*known), F.lit(cells)))
+    dealt = pieces.withColumn("_cell", F.pmod(F.xxhash64("_row"), F.lit(cells)))
     rank = F.expr(
-        "row_number() over (partition by _cell order by xxhash64(ids_crc32, doc_id), doc_id, piece)"
+        "row_number() over (partition by _cell order by xxhash64(_row), _row)"
     )
     dealt = dealt.withColumn("_rank", rank - 1)
     dealt = staged(
         dealt.withColumn("_part", F.floor(F.col("_rank") / (2 * cell)).cast("int"))
-        .withColumn("_place", (F.col("_rank") % (2 * cell)).cast("int")).drop("_rank"),
+        .withColumn("_place", (F.col("_rank") % (2 * cell)).cast("int")).drop("_rank", "_row"),
         "dealt-pieces",
     )
     problems = dealt.groupBy("_cell", "_part").agg(
@@ -358,7 +361,8 @@ def pack(
     )
     finished = []
     for epoch in range(epochs):
-        state = state.repartition("cell", "part", "island")
+        # a task an island, as far as that goes: by their bytes they would all be one task's
+        state = state.repartition(min(cells * islands, MOST_TASKS), "cell", "part", "island")
         state = staged(
             state.mapInArrow(_epoch(limit, generations, epoch), _STATE), "islands"
         )
@@ -388,7 +392,7 @@ def pack(
         .alias("sequence_id"), "offset",
     )
     return even_join(dealt, placed, ["_cell", "_part", "_place"]).select(
-        *pieces.columns, "sequence_id", "offset"
+        *columns, "sequence_id", "offset"
     )
 
 
