@@ -24,11 +24,12 @@ from entitylake.operators.linkage import (
     uri_join,
 )
 from entitylake.operators.melt import melt_nested, melt_single, reference_ids
-from entitylake.operators.pivot import pivot_nested
+from entitylake.operators.pivot import pivot_discovered, pivot_nested
 from entitylake.operators.prose import prose_join
-from entitylake.plans.address import address_wide
+from entitylake.plans.address import address_wide, melt_address_uri
 from entitylake.plans.entity import entity_wide, linked_single
 from entitylake.samples.documents import (
+    address_documents,
     crosswalk_documents,
     entity_documents,
     linked_address_documents,
@@ -219,6 +220,61 @@ SELECT crosswalks_value, entityid, cross_source, max(value) FILTER (WHERE part =
 FROM long GROUP BY ALL"""
 
 
+def own_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Order numbers in line items whose supplier belongs to the same tenth as the order's customer."""
+    needles = _needles(spark, sf).join(
+        table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 10).alias("tenth")), "o_orderkey"
+    )
+    key = F.col("l_orderkey").cast("string")
+    rows = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("L"), "l_linenumber", F.lit("|ORD-"), F.lpad(key, 8, "0")).alias("reference"),
+        (F.col("l_suppkey") % 10).alias("owner"), "l_partkey",
+    )
+    found = substring_join(needles, rows, "number", "reference", same=("tenth", "owner"))
+    return found.select("number", "o_orderkey", "reference", "owner", "l_partkey")
+
+
+OWN_LINKS = """
+SELECT 'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS number, o_orderkey,
+       'L' || l_linenumber || '|ORD-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS reference,
+       l_suppkey % 10 AS owner, l_partkey
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+WHERE o_orderstatus NOT IN ('P', 'F') AND l_suppkey % 10 = o_custkey % 10"""
+
+
+def own_addresses(spark: SparkSession, sf: str) -> DataFrame:
+    """The address job where customers are suppliers of the same number, each with its own records only."""
+    suppliers = address_documents(spark, sf)
+    suppliers = suppliers.withColumn("uri", F.replace("uri", F.lit("entities/S"), F.lit("entities/")))
+    docs = suppliers.unionByName(crosswalk_documents(spark, sf))
+    return address_wide(docs, [CITY, RANK, ZIP5], same_entity=True)
+
+
+OWN_ADDRESSES = f"""
+WITH {LINKED_ADDRESSES}, own AS (
+  SELECT linked.* FROM linked WHERE entityid = CAST(l_suppkey AS VARCHAR))
+SELECT crosswalks_value, entityid, cross_source,
+       greatest(max(CASE WHEN l_quantity >= 10 THEN 'C' || l_returnflag END),
+                max(CASE WHEN l_tax < 0.04 THEN 'B' || l_linestatus END)) AS "City",
+       max(CAST(l_linenumber AS VARCHAR)) AS "Rank",
+       max(lpad(CAST(l_partkey AS VARCHAR), 5, '0')) AS "Zip_Zip5"
+FROM own GROUP BY ALL"""
+
+
+def addresses_by_uri(spark: SparkSession, sf: str) -> DataFrame:
+    """Address values by listed attribute URI, pivoted per entity of the URI and crosswalk value."""
+    rows = melt_address_uri(linked_address_documents(spark, sf), [CITY, ZIP5])
+    return pivot_discovered(rows)
+
+
+ADDRESSES_BY_URI = f"""
+WITH {LINKED_ADDRESSES}
+SELECT entityid AS "EntityID", crosswalks_value AS cross_value,
+       max(value) FILTER (WHERE leaf = 'City') AS "CityValue",
+       max(value) FILTER (WHERE leaf = 'Zip5') AS "Zip5Value"
+FROM long WHERE part IN ('City', 'Zip_Zip5') GROUP BY ALL"""
+
+
 def addresses_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """The address job for any number of crosswalks; only flagged attributes decide on presence."""
     return address_wide(linked_address_documents(spark, sf), [CITY, ZIP4], strategy="shuffle")
@@ -256,5 +312,8 @@ CASES = {
     "substring_join_prose": (prose_links, PROSE_LINKS),
     "address_wide": (addresses, ADDRESSES),
     "address_wide_shuffled": (addresses_shuffled, ADDRESSES_SHUFFLED),
+    "substring_join_same_entity": (own_links, OWN_LINKS),
+    "address_wide_same_entity": (own_addresses, OWN_ADDRESSES),
+    "melt_address_uri": (addresses_by_uri, ADDRESSES_BY_URI),
     "entity_wide": (entities, ENTITIES),
 }

@@ -280,11 +280,24 @@ def substring_join(
     haystack: str = "haystack",
     strategy: str = "auto",
     limit: int = BROADCAST_LIMIT,
+    same: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Every pair of rows in which ``haystack`` contains ``needle`` (inner, duplicates kept)."""
+    """Every pair of rows in which ``haystack`` contains ``needle`` (inner, duplicates kept).
+
+    ``same`` names a column of ``needles`` and one of ``haystacks`` that must be equal as well, such as
+    the entity; then distinct texts are matched per value of it, and NULL equals nothing.
+    """
     clash = {c.lower() for c in needles.columns} & {c.lower() for c in haystacks.columns}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    if same is not None:
+        mine, theirs = same
+        texts = haystacks.select(haystack, F.col(theirs).alias("_same")).distinct()
+        links = substring_links(texts, needles, haystack, needle, strategy, limit)
+        keyed = needles.withColumns({"gram": F.col(needle), "_same": F.col(mine)})
+        pairs = even_join(links, keyed, ["gram", "_same"])
+        rows = haystacks.withColumn("_same", F.col(theirs))
+        return even_join(pairs, rows, [haystack, "_same"]).select(*needles.columns, *haystacks.columns)
     pairs = substring_pairs(haystacks, needles, haystack, needle, strategy, limit)
     keyed = even_join(pairs, needles.withColumn("gram", F.col(needle)), ["gram"])
     return even_join(keyed, haystacks, [haystack]).select(*needles.columns, *haystacks.columns)

@@ -25,8 +25,9 @@ from entitylake.functions.paths import (
     truthy,
 )
 from entitylake.functions.survivors import Survivors, survivors
+from entitylake.functions.uri import entity_id
 from entitylake.operators.columns import conform_columns, empty_frame
-from entitylake.operators.crosswalk import crosswalk_table
+from entitylake.operators.crosswalk import crosswalk_table, crosswalk_uri_table
 from entitylake.operators.linkage import (
     BROADCAST_LIMIT,
     even_join,
@@ -61,7 +62,7 @@ def _split_at_array(kind: StructType, path: str) -> tuple[str, str] | None:
 def _surviving_addresses(
     docs: DataFrame, paths: list[AttributePath], root: str, link: str
 ) -> tuple[DataFrame, dict[AttributePath, Survivors | None]] | None:
-    """One row per surviving address with ``address`` and ``haystacks``, and its attributes.
+    """One row per surviving address with ``entity``, ``address`` and ``haystacks``, and its attributes.
 
     Addresses are taken apart into the configured attributes before they are exploded, as a zip of
     arrays: that way the scan reads these attributes only.
@@ -83,7 +84,9 @@ def _surviving_addresses(
     }
     zipped = F.arrays_zip(*[c.alias(h.replace(".", "_")) for h, c in columns.items()])
     rows = docs.where(F.col(f"`{found.names[0]}`").isNotNull())
-    rows = rows.select(F.explode(zipped).alias("address"))
+    uri = resolve(docs.schema, "uri")
+    owner = entity_id(f"`{uri.names[0]}`") if uri else F.lit(None).cast("string")
+    rows = rows.select(owner.alias("entity"), F.explode(zipped).alias("address"))
     kind, address = rows.schema["address"].dataType, F.col("address")
 
     def inside(path: str) -> str | None:
@@ -124,6 +127,7 @@ def address_wide(
     strategy: str = "auto",
     limit: int = BROADCAST_LIMIT,
     records: DataFrame | None = None,
+    same_entity: bool = False,
 ) -> DataFrame:
     """One row per ``(crosswalks_value, entityid, cross_source)`` and a column per attribute.
 
@@ -132,7 +136,8 @@ def address_wide(
 
     The distinct crosswalk table is read three times (statistics, needles, result keys) and is
     therefore written once while the plan is built; pass ``records`` to supply it.  Needles too many
-    to broadcast also have the address texts written, reduced to one row each.
+    to broadcast also have the address texts written, reduced to one row each.  With ``same_entity`` an
+    address is linked to source records of its own entity only, which its document's URI names.
     """
     paths = attribute_paths(paths)
     names = require_unique([p.qualified for p in paths], "attribute names")
@@ -147,6 +152,16 @@ def address_wide(
         n: F.lit(None).cast("string") if kept[p] is None else F.array_max(kept[p].values)
         for p, n in zip(paths, names)
     }
+    if same_entity:
+        # one row per entity and text: the largest values there are all that counts
+        linked = _per_link(rows, entity=F.col("entity"), **values).where("entity is not null")
+        largest = [F.max(F.col(f"`{n}`")).alias(n) for n in names]
+        texts = staged(linked.groupBy("entity", "haystack").agg(*largest), "entity-texts")
+        links = substring_links(texts, records, "haystack", "crosswalks_value", strategy, limit)
+        per_needle = links.groupBy("gram", F.col("entity").alias("EntityID")).agg(*largest)
+        keyed = records.withColumn("gram", F.col("crosswalks_value"))
+        linked = even_join(per_needle, keyed, ["gram", "EntityID"]).drop("gram")
+        return conform_columns(linked, columns)
     per_needle = substring_maxima(
         _per_link(rows, **values),
         records,
@@ -204,5 +219,27 @@ def melt_address(
     return even_join(per_needle, keyed, ["gram"]).select(*columns)
 
 
+def melt_address_uri(
+    docs: DataFrame,
+    paths: Paths,
+    root: str = ROOT,
+    link: str = LINK,
+    strategy: str = "auto",
+    limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """Distinct ``(uri, cross_value, value, joined_column, EntityID)``: address values by attribute URI.
+
+    A row per URI that a linked source record lists; ``cross_value`` is the record's crosswalk value, and
+    ``EntityID`` the entity that the URI names, not that of the address.  Labels are ``CityValue``; equal
+    sub-attributes of different containers share one.
+    """
+    listed = crosswalk_uri_table(docs, keep_empty=False)
+    listed = listed.select("uri", F.col("sourceid").alias("cross_value")).distinct()
+    rows = melt_address(
+        staged(listed, "listed"), docs, paths, "labelled", root, link, "cross_value", strategy, limit
+    )
+    return rows.withColumn("EntityID", entity_id("uri"))
+
+
 def _constant(text: str):
     return lambda _: F.lit(text)

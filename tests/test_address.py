@@ -15,8 +15,9 @@ from oracle import actual
 from pyspark.sql import functions as F
 
 from entitylake.operators.crosswalk import crosswalk_table
+from entitylake.operators.linkage import substring_join
 from entitylake.operators.pivot import pivot_conditional
-from entitylake.plans.address import address_wide, melt_address
+from entitylake.plans.address import address_wide, melt_address, melt_address_uri
 
 CHOICES = [
     ([CITY, COUNTRY, ZIP4, ZIP5], ["City", "Country", "Zip_Zip4", "Zip_Zip5"]),
@@ -93,3 +94,50 @@ def test_largest_survivor_is_by_text(spark):
         [(None, "configuration/sources/S", "entities/1/crosswalks/1", "A1")],
     )]
     assert address_wide(spark.createDataFrame(rows, schema), [CITY]).first().City == "9"
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_links_within_the_same_entity(spark, strategy):
+    docs = random_documents(spark, 21, count=40)
+    # six entities share the documents, and each the identifiers of the others
+    shared = docs.withColumn("uri", F.concat(F.lit("entities/"), F.expr("cast(substr(uri, 10) as int) % 6")))
+    own = crosswalk_table(shared)
+    pairs = plain_melt_address(shared, [CITY, ZIP5])
+    assert pairs.count() > 20 and own.count() > 5
+    found = address_wide(shared, [CITY, ZIP5], strategy=strategy, same_entity=True)
+    parts = [
+        address_wide(
+            shared.where(F.col("uri") == f"entities/{e}"), [CITY, ZIP5], strategy=strategy,
+            records=own.where(F.col("EntityID") == str(e)),
+        )
+        for e in range(6)
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    assert actual(found) == actual(whole) and found.count() > 5
+
+
+def test_melt_by_listed_uris(spark):
+    docs = random_documents(spark, 22)
+    rows = melt_address_uri(docs, [CITY, ZIP5])
+    assert rows.columns == ["uri", "cross_value", "value", "joined_column", "EntityID"]
+    listed = docs.select(F.explode("crosswalks").alias("c")).select(
+        F.explode("c.attributes").alias("uri"), F.col("c.value").alias("cross_value")
+    ).distinct()
+    records = listed.select(F.col("cross_value").alias("crosswalks_value")).distinct()
+    long = melt_address(records, docs, [CITY, ZIP5], label="labelled")
+    want = listed.join(long, F.col("cross_value") == F.col("crosswalks_value")).select(
+        "uri", "cross_value", "value", "joined_column", F.split("uri", "/")[1].alias("EntityID")
+    )
+    assert actual(rows) == actual(want) and rows.count() > 10
+
+
+def test_substring_join_with_a_column_that_must_agree(spark):
+    needles = spark.createDataFrame([("a", 1), ("a", 2), ("ab", 1), (None, 1), ("b", None)], "needle string, mine int")
+    texts = spark.createDataFrame([("xab", 1), ("xab", 1), ("xab", 2), ("xab", None), ("b", 1)], "text string, theirs int")
+    for strategy in ("broadcast", "shuffle"):
+        found = substring_join(needles, texts, "needle", "text", strategy, same=("mine", "theirs"))
+        assert sorted(tuple(r) for r in found.collect()) == [
+            ("a", 1, "xab", 1), ("a", 1, "xab", 1), ("a", 2, "xab", 2), ("ab", 1, "xab", 1), ("ab", 1, "xab", 1),
+        ]
