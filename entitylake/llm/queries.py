@@ -169,7 +169,7 @@ r AS (
                  ELSE page_id END AS first_id
   FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        nullif(first_id, page_id) AS refers_to
 FROM r
 """

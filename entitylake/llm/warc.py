@@ -2,15 +2,16 @@
 
 Headers (id, digest, size) are shuffled by payload digest; of equal payloads the record with the
 largest id stays a response and the others become revisits that refer to it.  Only headers meet there;
-a payload moves once, when records join their decision.  Archives are text files whose lines end
+a payload moves once, when records join the decision about its digest.  Archives are text files whose lines end
 with the two empty lines that part WARC records, so writing is Spark's: it survives lost tasks, any
 file system will do, and files that are not compressed can be split for reading.  Every record begins with a mark unique to
 its run, which no payload written with it can contain; reading splits at that mark and checks the
 declared length of every block.
 
-Defined results: a NULL payload is empty.  Payloads below ``min_bytes`` are always responses.  The id
-must be unique; a NULL id is never referred to and refers to others like any record.  Repeated rows
-are records of their own.  Other columns play no part.
+Defined results: a NULL payload is empty.  Payloads below ``min_bytes`` are always responses.
+Records that share the largest id and the payload are all responses.  A record without id refers to others
+like any record; where none of the equal payloads has an id, all are responses.  Repeated rows are records of
+their own.  Other columns play no part.
 """
 
 from __future__ import annotations
@@ -40,22 +41,27 @@ def headers(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
 
 
 def originals(known: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """The revisits among ``headers``: ``page_id`` and the id ``refers_to`` of their response."""
-    light = known.select("page_id", "payload_bytes", "payload_digest").where(
-        F.col("payload_bytes") >= min_bytes
+    """The payloads, by digest and size, that several of ``headers`` share, and the id ``refers_to`` of
+    their response.  Payloads none of whose records has an id are left out: nothing can refer to them."""
+    light = known.select("page_id", "payload_bytes", "payload_digest")
+    return (
+        light.where(F.col("payload_bytes") >= min_bytes)
+        .groupBy("payload_digest", "payload_bytes")
+        .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("_records"))
+        .where("_records > 1 and refers_to is not null")
+        .drop("_records")
     )
-    keys = ["payload_digest", "payload_bytes"]
-    first = light.groupBy(*keys).agg(
-        F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1")
-    return even_join(light, first, keys).where("page_id != refers_to").select("page_id", "refers_to")
 
 
 def resolved(known: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``headers`` with ``record_type`` and ``refers_to``."""
-    joined = even_join(known, originals(known, min_bytes), ["page_id"], "left")
-    kind = F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")
-    return joined.withColumn("record_type", kind)
+    """``headers`` with ``record_type`` and ``refers_to``, a row per row."""
+    keys = ["payload_digest", "payload_bytes"]
+    joined = even_join(known, originals(known, min_bytes), keys, "left")
+    revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
+    return joined.select(
+        *known.columns, F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, F.col("refers_to")).alias("refers_to"),
+    )
 
 
 def _record_id(run: str, key) -> object:
@@ -139,10 +145,11 @@ def read_archives(spark: SparkSession, path: str, run: str) -> DataFrame:
 
 def with_payloads(records: DataFrame) -> DataFrame:
     """Read records in which revisits carry the payload of the response they refer to."""
+    keys = ["refers_to", "digest"]
     sources = records.where("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("html").alias("original")
+        F.col("page_id").alias("refers_to"), "digest", F.col("html").alias("original")
     )
-    referred = records.where("refers_to is not null").select("refers_to").distinct()
-    sources = even_join(sources, referred, ["refers_to"], "left_semi")
-    joined = even_join(records, sources, ["refers_to"], "left")
+    referred = records.where("refers_to is not null").select(*keys).distinct()
+    sources = even_join(sources, referred, keys, "left_semi").dropDuplicates(keys)
+    joined = even_join(records, sources, keys, "left")
     return joined.withColumn("html", F.coalesce("html", "original")).drop("original")

@@ -83,6 +83,27 @@ def test_archives_round_trip(spark, tmp_path):
     assert {r.digest for r in back if r.page_id == "4"} == {hashlib.sha1("é".encode()).hexdigest()}
 
 
+def test_revisits_of_repeated_and_missing_ids(spark, tmp_path):
+    one, two, three = ("<p>" + c * 1_200 for c in "xyz")
+    pages = [(1, one), (1, one), (1, one), (2, one), (2, one), (None, one), (None, two), (None, two),
+             (3, three), (None, three), (2, "short"), (9, "short"), (None, None), (7, "é" * 600), (7, two + "!")]
+    frame = spark.createDataFrame([(k, "u", h) for k, h in pages], "k long, url string, h string")
+    known = warc.headers(frame.repartition(3), "k", "url", "h")
+    found = [(r.page_id, r.html, r.record_type, r.refers_to) for r in warc.resolved(known).collect()]
+    want = []
+    for key, html in pages:
+        ids = [k for k, h in pages if h == html and k is not None]
+        large = html is not None and len(html.encode()) >= 1_000
+        refers = max(ids) if large and ids and key != max(ids) else None
+        want.append((key, html or "", "response" if refers is None else "revisit", refers))
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    run = warc.write_archives(warc.resolved(known), str(tmp_path / "w"))
+    back = warc.with_payloads(warc.read_archives(spark, str(tmp_path / "w"), run)).collect()
+    assert sorted((r.page_id or "", r.html) for r in back) == sorted(
+        ("" if k is None else str(k), h or "") for k, h in pages
+    )
+
+
 def test_held_out_accuracy(spark):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     rows = [r for r in queries.op8_language_id(spark, DATA).collect() if r.held_out]
