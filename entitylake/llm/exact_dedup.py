@@ -9,8 +9,8 @@ leaves the table; rows find their decision by a join on the digest.
 
 Defined results: two texts are equal when they are identical without the characters
 ``[\\x20\\x09-\\x0D]``; NULL is an empty text.  Of equal texts the row with the most code points in the
-original stays, among these the smallest id (a NULL id comes last).  Rows that repeat an id and a
-text are equal in everything and get equal results.  Other columns play no part.
+original stays, among these the smallest id (a NULL id comes last).  Just one row of a group stays: of
+rows that share its id and its number of code points, any one.  Other columns play no part.
 """
 
 from __future__ import annotations
@@ -147,7 +147,8 @@ def text_digest(text: Column) -> Column:
 def groups(
     documents: DataFrame, key: str = "doc_id", text: str = "text", table_bytes: int = TABLE_BYTES
 ) -> DataFrame:
-    """One row per distinct text: ``text_sha256``, ``keep_id``, ``group_size``."""
+    """One row per distinct text: ``text_sha256``, ``keep_id``, ``keep_chars`` (code points of the row that
+    stays), ``group_size``."""
     named = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
     entry = T.StructType(
         [
@@ -162,6 +163,7 @@ def groups(
         [
             T.StructField("text_sha256", T.StringType()),
             field(named, "id", "keep_id"),
+            T.StructField("keep_chars", T.LongType()),
             T.StructField("group_size", T.LongType()),
         ]
     )
@@ -187,7 +189,7 @@ def groups(
             for batch in portions(batches, 1)
             for digest, content, chars, id_, members in zip(*(c.to_pylist() for c in batch.columns))
         )
-        found = ((d.hex(), best[2], n) for d, _, best, n in grace(records, table_bytes))
+        found = ((d.hex(), best[2], -best[0], n) for d, _, best, n in grace(records, table_bytes))
         yield from _batches(found, result_schema)
 
     folded = named.mapInArrow(local, entry)
@@ -223,10 +225,14 @@ def exact_duplicates(
     ``text_sha256``."""
     found = groups(documents, key, text, table_bytes)
     rows = documents.select(
-        F.col(key).alias("doc_id"), text_digest(F.col(text)).alias("text_sha256")
+        F.col(key).alias("doc_id"), text_digest(F.col(text)).alias("text_sha256"),
+        F.length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("chars"),
     )
     joined = even_join(rows, found, ["text_sha256"])
-    return joined.select(
-        "doc_id", "keep_id", "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
-    )
+    best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
+    # rows that are alike are counted, whatever their number, and one of the best is kept
+    columns = ["doc_id", "keep_id", "group_size", "text_sha256", "best"]
+    alike = joined.withColumn("best", best).groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    each = alike.select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    kept = F.col("best") & (F.col("copy") == 1)
+    return each.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")

@@ -24,13 +24,15 @@ def _keepers(rows):
 
 
 def _expect_exact(rows):
-    best = _keepers(rows)
-    out = []
-    for key, text in rows:
+    """One row of a group is kept: the longest, of these the one with the smallest id, of these any."""
+    best, out, chosen = _keepers(rows), [], set()
+    for key, text in sorted(rows, key=lambda r: -len(r[1] or "")):
         norm = re.sub(r"[\x20\x09-\x0D]", "", text or "")
         keep, size = best[norm]
         digest = hashlib.sha256(norm.encode()).hexdigest()
-        out.append((key, keep, size, key == keep, digest))
+        kept = key == keep and norm not in chosen
+        chosen |= {norm} if kept else set()
+        out.append((key, keep, size, kept, digest))
     return sorted(out, key=repr)
 
 
@@ -38,6 +40,8 @@ CASES = [
     (1, "a b c"), (2, "abc"), (3, "a  bc\n"), (4, None), (5, ""), (6, " \t\x0b"), (7, "a\xa0bc"),
     (None, "abc    "), (8, "ü" * 50_000), (9, "ü" * 50_000), (9, "ü" * 50_000), (10, "A b c"),
     (2**60 + 1, "big"), (2**60, "big"), (11, "\x1cabc"),
+    (20, "s p"), (20, "s  p "), (20, "sp"), (None, "no id"), (None, "no  id"), (None, "noid"),
+    (21, "same"), (21, "same"), (21, "same"),
 ]
 
 
