@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import gc
 import os
 import shutil
+import sys
 import tempfile
+import threading
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -40,22 +44,53 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+IDLE_SECONDS = 8.0
+
 _held: dict = {}
+_used = 0.0
+_watcher: threading.Thread | None = None
 
 
 def resident(name: tuple, make: Callable):
     """What an operator keeps between the tasks of a Python worker, made when first asked for.
 
-    Only the latest operator's is kept: workers outlive stages, and the next stage needs the memory.
+    Only the latest operator's is kept, and only while it is in use: workers outlive stages, and other
+    workers of the executor need the memory.
     """
+    global _watcher
+    in_use()
     if name not in _held:
-        _held.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        _give_back()
         _held[name] = make()
+    if _watcher is None:
+        _watcher = threading.Thread(target=_watch, daemon=True)
+        _watcher.start()
     return _held[name]
 
 
+def in_use() -> None:
+    global _used
+    _used = time.monotonic()
+
+
+def _watch() -> None:
+    while True:
+        time.sleep(IDLE_SECONDS / 4)
+        if _held and time.monotonic() - _used > IDLE_SECONDS:
+            _give_back()
+
+
+def _give_back() -> None:
+    """Forget what is held (a task that works with it has its own reference) and return the memory."""
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def slices(texts: Sequence[str], chars: int, rows: int) -> Iterator[tuple[int, int]]:
     """Cut a batch into ranges of at most ``rows`` texts and about ``chars`` characters."""
     start = size = 0
@@ -100,5 +135,6 @@ def portions(
             before = int(ends[low - 1]) if low else 0
             high = int(np.searchsorted(ends, before + size, side="right"))
             high = min(max(high, low + 1), low + rows, batch.num_rows)
+            in_use()
             yield batch.slice(low, high - low)
             low = high

@@ -2,11 +2,12 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from entitylake.llm import language_id, quality_mil, quality_rules, queries, secret_scan, warc
+from entitylake.llm import common, language_id, quality_mil, quality_rules, queries, secret_scan, warc
 from entitylake.llm.common import sampled
 
 from llm_fixtures import DATA, docs, shipped  # noqa: F401
@@ -104,6 +105,19 @@ def test_revisits_of_repeated_and_missing_ids(spark, tmp_path):
     )
 
 
+def test_workers_give_back_what_is_not_in_use(monkeypatch):
+    monkeypatch.setattr(common, "IDLE_SECONDS", 0.2)
+    monkeypatch.setattr(common, "_watcher", None)
+    first = common.resident(("a",), list)
+    assert common.resident(("a",), list) is first
+    deadline = time.monotonic() + 20
+    while common._held and time.monotonic() < deadline:
+        time.sleep(0.05)
+    assert not common._held and common.resident(("a",), list) is not first
+    common.resident(("b",), list)
+    assert list(common._held) == [("b",)]
+
+
 def test_held_out_accuracy(spark):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     rows = [r for r in queries.op8_language_id(spark, DATA).collect() if r.held_out]
