@@ -22,7 +22,8 @@ from entitylake.samples.documents import (
 )
 from entitylake.sources.manifest import Manifest, publish
 from entitylake.sources.scratch import scratch_path, staged
-from entitylake.streaming.intake import document_stream
+from entitylake.streaming.archive import archive_consumed, archive_state
+from entitylake.streaming.intake import append_available, document_stream
 from entitylake.streaming.linked import EntityState, keep_entities
 
 
@@ -55,6 +56,41 @@ def streamed_entities(spark: SparkSession, sf: str) -> DataFrame:
     return state.current(spark)
 
 
+def archived(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents read back from the archive with the batch that consumed their file.
+
+    Three lots of files land.  The stream dies after storing the second, when only the first may be
+    archived; it runs that batch again, then the third, and the archiver takes the rest.
+    """
+    landing, checkpoint, target, archive = (
+        scratch_path(spark, n) for n in ("landing", "checkpoint", "target", "archive")
+    )
+    lots = customer_documents(spark, sf, (F.col("c_custkey") % 3).alias("lot"))
+
+    def land(number: int) -> None:
+        rows = lots.where(F.col("lot") == number).drop("lot")
+        rows.repartition(2, "uri").write.mode("append").json(landing)
+
+    def run() -> None:
+        docs = document_stream(spark, landing, DOCUMENT_SCHEMA, chunk_size=2, layout="lines")
+        append_available(docs.select("uri"), target, checkpoint)
+
+    land(0)
+    land(1)
+    run()
+    forget_last_commit(spark, checkpoint)
+    archive_consumed(spark, landing, archive, checkpoint)
+    land(2)
+    run()
+    for _ in range(2):
+        archive_consumed(spark, landing, archive, checkpoint)
+    state = archive_state(spark, landing, archive, checkpoint)
+    docs = spark.read.schema("uri string").json(archive).select(
+        "uri", F.regexp_extract(F.input_file_name(), "([^/]*)$", 1).alias("file")
+    )
+    return docs.join(state, "file").select("uri", "batch", "state")
+
+
 GROUPS = {"place": [CITY, RANK], "land": [COUNTRY]}
 
 
@@ -153,6 +189,10 @@ SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_suppkey AS VARCHAR) AS
 FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL"""
 
 CASES = {
+    "archive_files": (
+        archived,
+        "SELECT 'entities/' || c_custkey AS uri, c_custkey % 3 AS batch, 'archived' AS state FROM customer",
+    ),
     "publish_run": (published, PUBLISHED),
     "pivot_incremental": (kept_pivot, KEPT_PIVOT),
     "stream_entities": (streamed_entities, ENTITIES),

@@ -8,12 +8,21 @@ from oracle import actual
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from entitylake.catalog.runs import forget_last_commit
 from entitylake.operators.upkeep import PivotState
 from entitylake.plans.entity import entity_wide
 from entitylake.samples.documents import crosswalk_documents, customer_documents
 from entitylake.sources.manifest import Manifest, publish
 from entitylake.sources.scratch import staged
 from entitylake.streaming import linked
+from entitylake.streaming.archive import (
+    ARCHIVED,
+    MISSING,
+    WAITING,
+    archive_consumed,
+    archive_state,
+)
+from entitylake.streaming.intake import append_available, document_stream
 from entitylake.streaming.linked import EntityState
 
 from conftest import DATA
@@ -177,3 +186,34 @@ def test_pivot_with_withdrawals_equals_the_plain_way_after_every_batch(spark, tm
 def test_names_of_the_state_are_refused_as_keys(tmp_path):
     with pytest.raises(ValueError):
         PivotState(str(tmp_path), ["value"], ["A"])
+
+
+def test_archiver_moves_what_is_committed_and_can_be_run_again(spark, tmp_path):
+    landing, checkpoint, archive = (str(tmp_path / n) for n in ("landing", "checkpoint", "archive"))
+    docs = spark.createDataFrame([(f"entities/{i}",) for i in range(8)], "uri string")
+
+    def states():
+        found = archive_state(spark, landing, archive, checkpoint).collect()
+        return sorted((r.batch, r.state) for r in found)
+
+    def run():
+        stream = document_stream(spark, landing, docs.schema, chunk_size=2, layout="lines")
+        append_available(stream, str(tmp_path / "target"), checkpoint)
+
+    assert archive_consumed(spark, landing, archive, checkpoint) == 0  # nothing has run yet
+    docs.repartition(4, "uri").write.json(landing)
+    count = len(list((tmp_path / "landing").glob("*.json")))
+    run()
+    batches = (count + 1) // 2
+    assert [b for b, _ in states()] == sorted([i // 2 for i in range(count)])
+    forget_last_commit(spark, checkpoint)
+    assert archive_consumed(spark, landing, archive, checkpoint) == 2 * (batches - 1)
+    run()
+    assert {s for b, s in states() if b < batches - 1} == {ARCHIVED}
+    assert {s for b, s in states() if b == batches - 1} == {WAITING}
+    archive_consumed(spark, landing, archive, checkpoint)
+    assert archive_consumed(spark, landing, archive, checkpoint) == 0
+    assert {s for _, s in states()} == {ARCHIVED}
+    assert sorted(r.uri for r in spark.read.json(archive).collect()) == sorted(r.uri for r in docs.collect())
+    next((tmp_path / "archive").glob("*.json")).unlink()
+    assert [s for _, s in states()].count(MISSING) == 1
