@@ -20,6 +20,7 @@ from entitylake.operators.columns import conform_columns, stamp_columns
 from entitylake.sources.scratch import staged
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+FILTER_FROM = 8 * 1024 * 1024  # fewer bytes of needles are not worth a filter
 PIECE = 512  # positions per piece of a long haystack
 ROW_OVERHEAD = 64  # assumed bytes per row of a broadcast hash table, beside the text itself
 
@@ -168,8 +169,11 @@ def with_grams(
 
 
 def _needle_filter(known: DataFrame, stats: NeedleStats) -> Callable[[Column], Column] | None:
+    """A test of substrings before they are shuffled; none where Spark will broadcast the needles."""
+    if stats.broadcast_size < FILTER_FROM:
+        return None
     hashes = known.select(F.xxhash64("gram").alias("_gram_hash"))
-    return membership(hashes, "_gram_hash", stats.rows) if stats.lengths else None
+    return membership(hashes, "_gram_hash", stats.rows)
 
 
 def _needle_set(needles: DataFrame, needle: str) -> DataFrame:

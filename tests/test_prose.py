@@ -74,6 +74,8 @@ def test_links_are_the_same_without_the_needle_filter(spark, monkeypatch):
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
     needles = spark.createDataFrame([(i,) for i in ids], "needle string")
 
+    monkeypatch.setattr(linkage, "FILTER_FROM", 0)
+
     def links():
         found = linkage.substring_join(needles, rows, "needle", "text", strategy="shuffle")
         return sorted(tuple(r) for r in found.collect())
