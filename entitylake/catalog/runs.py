@@ -20,6 +20,8 @@ from entitylake.samples.documents import (
     entity_documents,
     table,
 )
+from entitylake.sources.compaction import compact_landing, compacted_folders
+from entitylake.sources.documents import narrow_schema, read_documents
 from entitylake.sources.manifest import Manifest, publish
 from entitylake.sources.scratch import scratch_path, staged
 from entitylake.streaming.archive import archive_consumed, archive_state
@@ -56,6 +58,35 @@ def streamed_entities(spark: SparkSession, sf: str) -> DataFrame:
     return state.current(spark)
 
 
+def compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer documents that landed as 64 small files, in two lots, read back from their compaction, with
+    the number of the compaction that took them and of the files it wrote.  Each compaction runs twice."""
+    landing, base = (scratch_path(spark, n) for n in ("landing", "compacted"))
+    lots = customer_documents(spark, sf, (F.col("c_custkey") % 2).alias("lot"))
+    written = []
+    for lot in (0, 1):
+        lots.where(F.col("lot") == lot).drop("lot").repartition(32, "uri").write.mode("append").json(landing)
+        for _ in range(2):
+            commit = compact_landing(spark, landing, base, target_bytes=1 << 30)
+        written.append(commit.notes["written"])
+    schema = narrow_schema(DOCUMENT_SCHEMA, ["uri", "attributes.Name.value"])
+    rows = None
+    for number, folder in enumerate(compacted_folders(spark, base)):
+        docs = read_documents(spark, folder, schema, layout="lines")
+        part = docs.select(
+            "uri", F.get("attributes.Name.value", F.lit(0)).alias("name"), F.lit(number).alias("run"),
+            F.lit(written[number]).alias("files"),
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+COMPACTED = """
+SELECT 'entities/' || c_custkey AS uri, CASE WHEN c_acctbal >= 0 THEN c_name END AS name,
+       CAST(c_custkey % 2 AS INTEGER) AS run, 1 AS files
+FROM customer"""
+
+
 def archived(spark: SparkSession, sf: str) -> DataFrame:
     """Documents read back from the archive with the batch that consumed their file.
 
@@ -189,6 +220,7 @@ SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_suppkey AS VARCHAR) AS
 FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL"""
 
 CASES = {
+    "landing_compaction": (compacted, COMPACTED),
     "archive_files": (
         archived,
         "SELECT 'entities/' || c_custkey AS uri, c_custkey % 3 AS batch, 'archived' AS state FROM customer",

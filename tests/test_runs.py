@@ -12,6 +12,7 @@ from entitylake.catalog.runs import forget_last_commit
 from entitylake.operators.upkeep import PivotState
 from entitylake.plans.entity import entity_wide
 from entitylake.samples.documents import crosswalk_documents, customer_documents
+from entitylake.sources.compaction import compact_landing, compacted_folders
 from entitylake.sources.manifest import Manifest, publish
 from entitylake.sources.scratch import staged
 from entitylake.streaming import linked
@@ -217,3 +218,31 @@ def test_archiver_moves_what_is_committed_and_can_be_run_again(spark, tmp_path):
     assert sorted(r.uri for r in spark.read.json(archive).collect()) == sorted(r.uri for r in docs.collect())
     next((tmp_path / "archive").glob("*.json")).unlink()
     assert [s for _, s in states()].count(MISSING) == 1
+
+
+def test_landing_files_are_taken_once_and_packed(spark, tmp_path):
+    landing, base = tmp_path / "landing", str(tmp_path / "base")
+    landing.mkdir()
+
+    def land(*numbers):
+        for n in numbers:
+            (landing / f"f{n:02}.json").write_text("".join(f'{{"n": {n}, "i": {i}}}\n' for i in range(50)))
+
+    def rows():
+        folders = compacted_folders(spark, base)
+        found = spark.read.schema("n int, i int").json(folders).collect()
+        return sorted((r.n, r.i) for r in found)
+
+    (landing / "empty.json").write_text("")
+    assert compact_landing(spark, str(landing), base) is None and compacted_folders(spark, base) == []
+    land(*range(10))
+    size = (landing / "f00.json").stat().st_size
+    first = compact_landing(spark, str(landing), base, target_bytes=3 * size, page=100)
+    assert first.notes == {"taken": 10, "bytes": 10 * size, "written": 4}
+    files = list((tmp_path / "base" / first.datasets["documents"][0]).glob("part-*"))
+    assert len(files) == 4
+    assert compact_landing(spark, str(landing), base).version == first.version
+    land(*range(10, 15))
+    last = compact_landing(spark, str(landing), base, page=2)
+    assert [Manifest(spark, base).read(v).notes["taken"] for v in (1, 2, 3)] == [2, 2, 1]
+    assert last.version == 3 and rows() == [(n, i) for n in range(15) for i in range(50)]
