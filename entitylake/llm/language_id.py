@@ -34,6 +34,7 @@ _DENSE = 1 << 22  # up to so many possible trigrams are counted by position inst
 _PIECE = 1 << 18  # characters of a long text that are read at a time
 _RUN = 4_096  # trigrams whose vectors are made at a time
 _SYMBOLS, _TEXTS = 1 << 18, 128  # in one bundling
+_ROWS = 512  # texts whose vectors are held at a time: each is 8 kB, in several versions
 _UNIT = 1 << 30  # unit vectors are summed as integers: the sum does not depend on the order
 
 
@@ -157,10 +158,13 @@ def train(
     def sums(batches):
         space, total = _spaces(dimensions, seed), {}
         for batch in batches:
-            units = _unit(space.bundle(as_text(batch["text"])).astype(np.float64))
-            units = np.rint(units * _UNIT).astype(np.int64)
-            for name, at in batch.groupby("label").indices.items():
-                total[name] = total.get(name, 0) + units[at].sum(0)
+            texts, labels = as_text(batch["text"]), batch["label"].to_numpy()
+            for low in range(0, len(texts), _ROWS):
+                units = _unit(space.bundle(texts[low : low + _ROWS]).astype(np.float64))
+                units = np.rint(units * _UNIT).astype(np.int64)
+                here = labels[low : low + _ROWS]
+                for name in set(here):
+                    total[name] = total.get(name, 0) + units[here == name].sum(0)
         if total:
             vectors = [v.tolist() for v in total.values()]
             yield pd.DataFrame({"label": list(total), "vector": vectors})
@@ -188,29 +192,30 @@ def predict(model: LanguageModel, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def languages(column: pd.Series) -> pd.DataFrame:
-        space = _spaces(model.dimensions, model.seed)
-        vectors = space.bundle(as_text(column)).astype(np.float64)
-        lettered = vectors.any(1)
-        units = _unit(vectors)
-        units = _unit(units - np.outer(units @ model.mean, model.mean))
-        if not model.languages:
-            lettered[:] = False
-            cosines = np.zeros((len(units), 1))
-        else:
-            cosines = units @ model.prototypes.T
-        best = cosines.argmax(1)
-        names = np.array([*model.languages, UNDETERMINED], dtype=object)
-        score = np.clip(cosines[np.arange(len(best)), best], 0.0, 1.0)
-        return pd.DataFrame(
-            {
-                "lang_pred": np.where(lettered, names[best], UNDETERMINED),
-                "score": np.where(lettered, score, 0.0),
-            }
-        )
+        space, texts = _spaces(model.dimensions, model.seed), as_text(column)
+        found = [_closest(model, space.bundle(texts[at : at + _ROWS])) for at in range(0, len(texts), _ROWS)]
+        names = [n for some, _ in found for n in some]
+        return pd.DataFrame({"lang_pred": names, "score": np.concatenate([*(s for _, s in found), []])})
 
     return languages(text)
 
 
+def _closest(model: LanguageModel, vectors: np.ndarray) -> tuple[list[str], np.ndarray]:
+    vectors = vectors.astype(np.float64)
+    lettered = vectors.any(1)
+    units = _unit(vectors)
+    units = _unit(units - np.outer(units @ model.mean, model.mean))
+    if not model.languages:
+        lettered[:] = False
+        cosines = np.zeros((len(units), 1))
+    else:
+        cosines = units @ model.prototypes.T
+    best = cosines.argmax(1)
+    names = np.array([*model.languages, UNDETERMINED], dtype=object)
+    score = np.clip(cosines[np.arange(len(best)), best], 0.0, 1.0)
+    return np.where(lettered, names[best], UNDETERMINED).tolist(), np.where(lettered, score, 0.0)
+
+
 def _spaces(dimensions: int, seed: int) -> Hyperspace:
     """The letter vectors of a worker."""
     return resident(("letters", dimensions, seed), lambda: Hyperspace(dimensions, seed))
