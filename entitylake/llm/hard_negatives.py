@@ -1,8 +1,10 @@
 """Hard negatives: rows of other labels that score almost as high as an anchor's positives.
 
 Scores are inner products of integer vectors ``floor(scale * entry)``, exact.  A threshold join after
-L2AP finds them.  Rows are dealt to cells; the anchors meet every cell, a batch at a time, so no cell
-ever sees all anchors at once and no pair of rows is ever written.  A cell indexes its rows by
+L2AP finds them.  Rows are dealt to cells and anchors to groups; each cell meets each group in a task of its
+own, a batch of anchors at a time, and no pair of rows is ever written.  How many of either there are follows
+from the work and from the index's size, so that copies of rows and of anchors are about as many.  A cell
+indexes its rows by
 dimension, the weightiest dimensions first, and leaves out the trailing ones: where the norms of the
 suffixes of row and anchor say that these add too little to matter, they are not accumulated.  For
 each anchor the index gives partial scores; partial score plus the product of the remaining norms
@@ -37,6 +39,7 @@ from entitylake.sources.scratch import staged
 
 CELL_BYTES = 128 << 20  # of a cell's index
 ANCHORS_AT_ONCE = 128
+PAIRS = 1 << 20  # of row and anchor, at least, that are worth a task
 FIRST_CANDIDATES = 64  # so many rows reach the first threshold; eight times as many each further one
 _STEP = 8  # dimensions that are put in or left out together
 
@@ -53,12 +56,14 @@ def mined(
     high: int = 100,
     scale: int = 256,
     cell_bytes: int = CELL_BYTES,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score``.
 
     ``anchors`` is a condition on ``rows``; ``key`` and ``label`` are integers.  Starts jobs: the vectors
     and the positives are written once.  ``low`` and ``high`` bound a negative's score in percent of the
-    positive's.
+    positive's.  ``tasks`` is the number wanted, by default twice the cores, or fewer for little work; all
+    numbers give the same rows.
     """
     labels = F.col(label) if isinstance(label, str) else label
     wanted = {
@@ -67,18 +72,21 @@ def mined(
     }
     known = rows.where(F.col(key).isNotNull() & labels.isNotNull())
     data = integer_vectors(known, vector, scale, wanted, same_length=False)
-    parallel = 2 * rows.sparkSession.sparkContext.defaultParallelism
-    cells = max(parallel, math.ceil(data.rows * max(data.dims, 1) * 4 / cell_bytes))
     asked = staged(
         data.table.where("anchor")
         .groupBy("key", "label", "numbers")
         .agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")),
         "anchors",
     )
+    sought = asked.count()
+    if tasks is None:
+        tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+        tasks = min(tasks, math.ceil(data.rows * sought / PAIRS))
+    grid = _grid(data.rows, sought, max(tasks, 1), data.rows * data.dims * 4 / cell_bytes)
     nothing = F.array().cast("array<long>")
     first = asked.withColumns({"lows": nothing, "highs": nothing})
     best = Window.partitionBy("row").orderBy(F.desc("score"), "found_key", "found_row")
-    found = _searched(data, first, cells, positives).withColumn("rank", F.row_number().over(best))
+    found = _searched(data, first, grid, positives).withColumn("rank", F.row_number().over(best))
     found = found.where(F.col("rank") <= positives)
     found = staged(found.select("row", "rank", "found_key", "score"), "positives")
     listed = found.groupBy("row").agg(
@@ -91,7 +99,7 @@ def mined(
         F.transform("own", lambda p: _down(high * p["score"])).alias("highs"),
     )
     best = Window.partitionBy("row", "window").orderBy(F.desc("score"), "found_key", "found_row")
-    other = _searched(data, windows, cells, negatives).withColumn("rank", F.row_number().over(best))
+    other = _searched(data, windows, grid, negatives).withColumn("rank", F.row_number().over(best))
     other = other.where(F.col("rank") <= negatives).select(
         "row", F.col("window").alias("at"), "rank", F.col("found_key").alias("negative_id"),
         F.col("score").alias("negative_score"),
@@ -108,6 +116,13 @@ def mined(
     )
 
 
+def _grid(rows: int, anchors: int, tasks: int, least: float) -> tuple[int, int]:
+    """Numbers of cells, ``least`` at least, and of groups of anchors: about ``tasks`` pairs of them, with as
+    few copies of rows (one per group) and of anchors (one per cell) as that allows."""
+    groups = max(1, round(math.sqrt(tasks * anchors / rows))) if rows else 1
+    return max(1, math.ceil(least), math.ceil(tasks / groups)), groups
+
+
 def _down(hundredths: Column) -> Column:
     return F.floor(hundredths.cast("decimal(30,0)") / 100).cast("long")
 
@@ -116,20 +131,30 @@ def _up(hundredths: Column) -> Column:
     return F.ceil(hundredths.cast("decimal(30,0)") / 100).cast("long")
 
 
-def _searched(data: IntegerVectors, asked: DataFrame, cells: int, most: int) -> DataFrame:
+def _searched(
+    data: IntegerVectors, asked: DataFrame, grid: tuple[int, int], most: int
+) -> DataFrame:
     """``row`` of the anchor, ``window`` from 1, ``found_key``, ``found_row``, ``score``: the best ``most``
     rows of every cell in every window.  Without windows that is one over the anchor's own label."""
     columns = ["row", "key", "label", "numbers"]
     none = F.lit(None).cast("array<long>")
-    place = F.pmod(F.xxhash64("row"), F.lit(cells)).cast("int")
-    rows = data.table.select(
-        place.alias("cell"), F.lit(0).alias("role"), *columns, none.alias("lows"), none.alias("highs")
-    )
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
-    asking = asked.select(
-        everywhere.alias("cell"), F.lit(1).alias("role"), *columns, "lows", "highs"
-    )
-    met = rows.unionByName(asking).repartition(cells, "cell").sortWithinPartitions("cell", "role")
+    cells, groups = grid
+
+    def dealt(parts: int) -> Column:
+        return F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
+
+    def every(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    def placed(rows: DataFrame, role: int, cell: Column, group: Column, *rest: Column | str) -> DataFrame:
+        at = rows.select("*", cell.alias("_cell")).select("*", group.alias("_group"))
+        number = F.col("_cell") * groups + F.col("_group")
+        return at.select(number.alias("cell"), F.lit(role).alias("role"), *columns, *rest)
+
+    rows = placed(data.table, 0, dealt(cells), every(groups), none.alias("lows"), none.alias("highs"))
+    asking = placed(asked, 1, every(cells), dealt(groups), "lows", "highs")
+    met = rows.unionByName(asking).repartition(cells * groups, "cell")
+    met = met.sortWithinPartitions("cell", "role")
     dims, kind = data.dims, data.kind
 
     def search(batches):

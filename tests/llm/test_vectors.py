@@ -196,9 +196,18 @@ def test_negatives_equal_brute_force(vectors):
         rows.append((i, _floats(near / np.linalg.norm(near)), int(rng.integers(0, 3))))
     want = _mined_plainly(rows, lambda k: k % 50 == 0)
     assert len(want) > 300
-    # many small cells, or few large ones, give the same rows
-    for size in (2_000, 1 << 27):
-        assert _mined(vectors(rows), F.col("vec_id") % 50 == 0, cell_bytes=size) == want
+    # many small cells, few large ones, and groups of anchors give the same rows
+    for options in ({"cell_bytes": 2_000}, {}, {"tasks": 200}):
+        assert _mined(vectors(rows), F.col("vec_id") % 50 == 0, **options) == want
+
+
+def test_copies_of_rows_and_anchors_are_balanced():
+    assert hard_negatives._grid(0, 0, 1, 0.0) == (1, 1)
+    assert hard_negatives._grid(51_282, 513, 12, 0.1) == (12, 1)
+    cells, groups = hard_negatives._grid(75_000_000, 750_000, 4_000, 143.05)
+    assert cells * groups >= 4_000 and cells >= 144
+    assert 75_000_000 * groups + 750_000 * cells < 14 * 75_000_000
+    assert hard_negatives._grid(900, 18, 200, 0.0)[1] == 2
 
 
 def test_negatives_of_ties_repeats_and_unusable_rows(vectors):
