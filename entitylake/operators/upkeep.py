@@ -1,7 +1,7 @@
 """A conditional-max pivot kept up to date from changes, withdrawals included.
 
-A maximum grows with every new value but cannot be taken back.  So two tables are kept, both by a hash of
-the key: the values themselves, as changes of their counts, and the largest value per key and name.  Where
+A maximum grows with every new value but cannot be taken back.  So two tables are kept, both in folders by
+a hash of the key: the values themselves, as changes of their counts, and the largest value per key and name.  Where
 a batch only adds values to a key and name, two maxima are merged, the stored and its own.  Where it
 withdraws one, the key and name are computed anew from the stored values, and so they are later on as long
 as more of some value was withdrawn than added.  Only keys and names that a batch touches are written.
@@ -32,7 +32,7 @@ from entitylake.functions.paths import require_unique
 from entitylake.operators.linkage import even_join
 from entitylake.operators.pivot import pivot_max
 from entitylake.sources.manifest import Commit, Manifest
-from entitylake.sources.scratch import staged
+from entitylake.sources.scratch import discard, staged
 
 
 @dataclass(frozen=True)
@@ -49,11 +49,11 @@ class PivotState:
     compact_every: int = 16
 
     def __post_init__(self):
-        own = ("id", "name", "value", "change", "largest", "live", "owed", "version", "bucket", "added", "taken")
+        own = ("cell", "name", "value", "change", "largest", "live", "owed", "version", "bucket", "added", "taken")
         require_unique([*self.keys, *own], "columns of the state")
 
     def _schema(self, *rest: StructField) -> StructType:
-        texts = [StructField(n, StringType()) for n in ("id", *self.keys, "name")]
+        texts = [StructField(n, StringType()) for n in (*self.keys, "name")]
         return StructType([*texts, *rest, StructField("bucket", IntegerType())])
 
     @property
@@ -65,6 +65,10 @@ class PivotState:
         flags = [StructField(n, BooleanType()) for n in ("live", "owed")]
         return self._schema(StructField("largest", StringType()), *flags, StructField("version", LongType()))
 
+    @property
+    def _cell(self) -> list[str]:
+        return [*self.keys, "name", "bucket"]
+
     def _counted(self, rows: DataFrame) -> DataFrame:
         """Changes added up: a row per key, name and value whose count changes.  Names that the pivot does
         not have are one, without a value."""
@@ -72,12 +76,13 @@ class PivotState:
         label = F.lower(F.trim("name"))
         wanted = F.coalesce(label.isin([n.strip().lower() for n in self.names]), F.lit(False))
         named = rows.select(
-            id_.alias("id"), *[F.col(k).cast("string").alias(k) for k in self.keys],
+            *[F.col(k).cast("string").alias(k) for k in self.keys],
             F.when(wanted, label).otherwise(F.lit("")).alias("name"),
             F.when(wanted, F.col("value").cast("string")).alias("value"), "change",
+            F.pmod(F.hash(id_), F.lit(self.buckets)).alias("bucket"),
         )
-        summed = named.groupBy("id", *self.keys, "name", "value").agg(F.sum("change").alias("change"))
-        return summed.where("change != 0").withColumn("bucket", F.pmod(F.hash("id"), F.lit(self.buckets)))
+        summed = named.groupBy(*self._cell, "value").agg(F.sum("change").alias("change"))
+        return summed.where("change != 0")
 
     def store(self, changes: DataFrame, number: int) -> Commit:
         """Take in batch ``number``: rows ``(*keys, name, value, change)``, where ``change`` is 1 for a new
@@ -92,7 +97,7 @@ class PivotState:
 
         def write(name: str, rows: DataFrame) -> str:
             folder = manifest.folder(name)
-            ordered = rows.select(*getattr(self, name).names).hint("rebalance", "bucket")
+            ordered = rows.select(*getattr(self, name).names)
             ordered.write.partitionBy("bucket").parquet(manifest.absolute(folder))
             return folder
 
@@ -100,30 +105,30 @@ class PivotState:
         draft = Commit(number, folders, {})
         own = Commit(number, {"changes": folders["changes"][-1:]}, {})
         fresh = manifest.dataset("changes", self.changes, own)
-        touched = staged(self._touched(fresh), "touched")
-        buckets = [r.bucket for r in touched.select("bucket").distinct().collect()]
+        buckets = [r.bucket for r in fresh.select("bucket").distinct().collect()]
         if not buckets:
             return manifest.commit(number, folders, {})
-        where, cell = F.col("bucket").isin(buckets), ["id", "name", "bucket"]
-        stored = self._latest(manifest, latest).where(where).select(*cell, "largest", "owed")
-        met = staged(even_join(touched, stored, cell, "left"), "met")
+        where = F.col("bucket").isin(buckets)
+        met = staged(self._met(fresh, manifest.dataset("maxima", self.maxima, latest).where(where)), "met")
         anew = F.col("taken") | F.coalesce("owed", F.lit(False))
         merged = met.where(~anew).withColumns(
             {"largest": F.greatest("largest", "added"), "live": F.lit(True), "owed": F.lit(False)}
         )
-        again = met.where(anew).select(*cell, *self.keys)
+        # a struct equals another whose missing fields are missing too
+        cell = F.struct(*self._cell).alias("cell")
+        again = met.where(anew).select(cell)
         history = manifest.dataset("changes", self.changes, draft).where(where)
-        values = even_join(history, again.select(*cell), cell, "left_semi")
-        counts = values.groupBy(*cell, "value").agg(F.sum("change").alias("count"))
-        recomputed = counts.groupBy(*cell).agg(
+        values = even_join(history.select(cell, "value", "change"), again, ["cell"], "left_semi")
+        counts = values.groupBy("cell", "value").agg(F.sum("change").alias("count"))
+        recomputed = counts.groupBy("cell").agg(
             F.max(F.when(F.col("count") > 0, F.col("value"))).alias("largest"),
             (F.max("count") > 0).alias("live"), (F.min("count") < 0).alias("owed"),
-        )
-        recomputed = even_join(again, recomputed, cell)
+        ).select("cell.*", "largest", "live", "owed")
         version = F.lit(number).cast("long").alias("version")
-        columns = ["id", *self.keys, "name", "largest", "live", "owed", version, "bucket"]
+        columns = [*self.keys, "name", "largest", "live", "owed", version, "bucket"]
         rows = merged.select(*columns).unionByName(recomputed.select(*columns))
         folders["maxima"].append(write("maxima", rows))
+        discard(met)
         if len(folders["changes"]) >= self.compact_every:
             folders = {
                 "changes": [write("changes", self._compacted(manifest, draft))],
@@ -131,29 +136,38 @@ class PivotState:
             }
         return manifest.commit(number, folders, {})
 
-    def _touched(self, fresh: DataFrame) -> DataFrame:
-        """Per key and name: the largest added value, and whether any was withdrawn."""
-        added = F.max(F.when(F.col("change") > 0, F.col("value")))
-        taken = F.min("change") < 0
-        cells = fresh.groupBy("id", *self.keys, "name", "bucket")
-        return cells.agg(added.alias("added"), taken.alias("taken"))
+    def _met(self, fresh: DataFrame, stored: DataFrame) -> DataFrame:
+        """Per key and name of the batch: the largest added value, whether any was withdrawn, and the last
+        state that is stored.  One aggregation of both, so each row is shuffled once."""
+        new = fresh.select(
+            *self._cell, F.when(F.col("change") > 0, F.col("value")).alias("added"),
+            (F.col("change") < 0).alias("taken"),
+        )
+        both = new.unionByName(
+            stored.select(*self._cell, "largest", "owed", "version"), allowMissingColumns=True
+        )
+        last = F.max_by(F.struct("largest", "owed"), "version").alias("last")
+        cells = both.groupBy(*self._cell).agg(
+            F.max("added").alias("added"), F.bool_or("taken").alias("taken"), last
+        )
+        # rows of the batch are the only ones that tell whether a value was withdrawn
+        touched = cells.where("taken is not null")
+        return touched.select(*self._cell, "added", "taken", "last.largest", "last.owed")
 
     def _compacted(self, manifest: Manifest, commit: Commit) -> DataFrame:
         rows = manifest.dataset("changes", self.changes, commit)
-        summed = rows.groupBy("id", *self.keys, "name", "value", "bucket")
+        summed = rows.groupBy(*self._cell, "value")
         return summed.agg(F.sum("change").alias("change")).where("change != 0")
 
     def _latest(self, manifest: Manifest, commit: Commit | None) -> DataFrame:
-        rows = manifest.dataset("maxima", self.maxima, commit)
+        """The last state per key and name.  A key has few rows, one per name and version at most, so they
+        are placed by key: a pivot of them needs no shuffle of its own."""
+        rows = manifest.dataset("maxima", self.maxima, commit).repartition(*self.keys)
         if commit is None or len(commit.datasets["maxima"]) < 2:
             return rows
         state = ["largest", "live", "owed", "version"]
-        best = rows.groupBy("id", *self.keys, "name", "bucket").agg(
-            F.max_by(F.struct(*state), "version").alias("last")
-        )
-        return best.select(
-            "id", *self.keys, "name", *[F.col("last")[c].alias(c) for c in state], "bucket"
-        )
+        best = rows.groupBy(*self._cell).agg(F.max_by(F.struct(*state), "version").alias("last"))
+        return best.select(*self.keys, "name", *[F.col("last")[c].alias(c) for c in state], "bucket")
 
     def current(self, spark: SparkSession) -> DataFrame:
         """``keys`` and ``names``, as of the latest batch."""

@@ -12,6 +12,7 @@ from entitylake.catalog.runs import forget_last_commit
 from entitylake.operators.upkeep import PivotState
 from entitylake.plans.entity import entity_wide
 from entitylake.samples.documents import crosswalk_documents, customer_documents
+from entitylake.sources import scratch
 from entitylake.sources.compaction import compact_landing, compacted_folders
 from entitylake.sources.manifest import Manifest, publish
 from entitylake.sources.scratch import staged
@@ -246,3 +247,17 @@ def test_landing_files_are_taken_once_and_packed(spark, tmp_path):
     last = compact_landing(spark, str(landing), base, page=2)
     assert [Manifest(spark, base).read(v).notes["taken"] for v in (1, 2, 3)] == [2, 2, 1]
     assert last.version == 3 and rows() == [(n, i) for n in range(15) for i in range(50)]
+
+
+def test_state_of_a_pivot_holds_keys_once_and_no_working_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "_local_folder", lambda: str(tmp_path / "shared"))
+    state = PivotState(str(tmp_path / "pivot"), ["k"], ["a"], buckets=2)
+    for number, change in enumerate((1, -1, 1)):
+        rows = [(k, "a", str(number // 2), change) for k in ("x", None)]
+        state.store(spark.createDataFrame(rows, "k string, name string, value string, change int"), number)
+    assert sorted(tuple(r) for r in state.current(spark).fillna("-").collect()) == [("-", "1"), ("x", "1")]
+    for name, columns in (("changes", state.changes), ("maxima", state.maxima)):
+        folder = tmp_path / "pivot" / "data" / name
+        assert sorted(spark.read.parquet(str(folder)).columns) == sorted([*columns.names, "_part"])
+        assert "id" not in columns.names
+    assert list((tmp_path / "shared").rglob("*.parquet")) == []
