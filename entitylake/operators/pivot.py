@@ -64,10 +64,11 @@ def pivot_discovered(
 ) -> DataFrame:
     """Names found in the data, in sorted order.
 
-    Finding them is a job of its own, so the rows are written once and read twice rather than
-    computed twice.  Spark refuses more than ``spark.sql.pivotMaxValues`` names.
+    Finding them is a job of its own, so the largest values per key and name are written once and read
+    twice rather than computed twice.  Spark refuses more than ``spark.sql.pivotMaxValues`` names.
     """
-    rows = staged(rows.select(*keys, "joined_column", "value"), "pivot")
+    largest = rows.groupBy(*keys, "joined_column").agg(F.max("value").alias("value"))
+    rows = staged(largest, "pivot")
     return rows.groupBy(*keys).pivot("joined_column").agg(F.max("value"))
 
 

@@ -153,25 +153,16 @@ def address_wide(
         for p, n in zip(paths, names)
     }
     if same_entity:
-        # one row per entity and text: the largest values there are all that counts
-        linked = _per_link(rows, entity=F.col("entity"), **values).where("entity is not null")
-        largest = [F.max(F.col(f"`{n}`")).alias(n) for n in names]
-        texts = staged(linked.groupBy("entity", "haystack").agg(*largest), "entity-texts")
-        links = substring_links(texts, records, "haystack", "crosswalks_value", strategy, limit)
-        per_needle = links.groupBy("gram", F.col("entity").alias("EntityID")).agg(*largest)
-        keyed = records.withColumn("gram", F.col("crosswalks_value"))
-        linked = even_join(per_needle, keyed, ["gram", "EntityID"]).drop("gram")
-        return conform_columns(linked, columns)
+        linked = _per_link(rows, EntityID=F.col("entity"), **values).where("EntityID is not null")
+    else:
+        linked = _per_link(rows, **values)
+    own = ["EntityID"] if same_entity else []
     per_needle = substring_maxima(
-        _per_link(rows, **values),
-        records,
-        "haystack",
-        "crosswalks_value",
-        strategy,
-        limit,
+        linked, records, "haystack", "crosswalks_value", strategy, limit, by=own, exact=False
     )
-    keyed = records.withColumn("gram", F.col("crosswalks_value"))
-    return conform_columns(even_join(per_needle, keyed, ["gram"]).drop("gram"), columns)
+    keys = ["crosswalks_value", *own]
+    linked = even_join(per_needle.withColumnRenamed("gram", "crosswalks_value"), records, keys)
+    return conform_columns(linked, columns)
 
 
 def melt_address(
@@ -212,11 +203,10 @@ def melt_address(
         if kept[p] is not None
     ]
     addressed = _per_link(rows, pairs=F.concat(*pairs))
-    found = substring_links(addressed, crosswalks, "haystack", needle, strategy, limit)
-    long = found.select("gram", F.explode("pairs").alias("e"))
-    per_needle = long.select("gram", "e.value", "e.joined_column").distinct()
-    keyed = crosswalks.withColumn("gram", F.col(needle))
-    return even_join(per_needle, keyed, ["gram"]).select(*columns)
+    found = substring_links(addressed, crosswalks, "haystack", needle, strategy, limit, exact=False)
+    long = found.select(F.col("gram").alias(needle), F.explode("pairs").alias("e"))
+    per_needle = long.select(needle, "e.value", "e.joined_column").distinct()
+    return even_join(per_needle, crosswalks, [needle]).select(*columns)
 
 
 def melt_address_uri(

@@ -9,6 +9,8 @@ it is cut depends on the number and the content of its children, not on the file
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -179,16 +181,17 @@ def customer_documents(spark: SparkSession, folder: str, *extra: Column) -> Data
 
 
 def _gathered(
-    rows: DataFrame, parent: Column, columns: list[str], child: Column, name: str
+    rows: DataFrame, parent: Column, columns: list[str], child: str, name: str
 ) -> DataFrame:
-    """``uri`` and the ``child`` elements gathered per parent, about ``BLOCK`` at most per document.
+    """``uri`` and the ``child`` elements (SQL of ``uri`` and ``columns``) gathered per parent, about ``BLOCK``
+    at most per document.
 
     Children are counted per parent, with partial counts before the shuffle.  Those of a parent with
     more than ``BLOCK`` are dealt to parts by a hash of their content; ``columns`` must tell the
     children of a parent apart.  Starts a job, which reads ``parent`` alone: usually no parent is that
     large, and nothing is joined then; up to ``LISTED`` large ones are broadcast.  Gathering has nothing
-    to combine before the shuffle, so the flat ``columns`` are placed first, and nested elements are
-    made of them where they are gathered.
+    to combine before the shuffle, so the flat ``columns`` are placed and gathered, which sorts them, and
+    nested elements, many times larger, are made of a document's rows afterwards.
     """
     keys = ["uri"]
     flat = rows.select(parent.alias("uri"), *columns)
@@ -204,13 +207,9 @@ def _gathered(
         keys.append("_part")
         part = F.pmod(F.xxhash64(*columns), F.coalesce("_parts", F.lit(1)))
         flat = known.select("uri", part.alias("_part"), *columns)
-    return (
-        flat.repartition(*keys)
-        .select(*keys, child.alias("child"))
-        .groupBy(*keys)
-        .agg(F.collect_list("child").alias(name))
-        .select("uri", name)
-    )
+    gathered = flat.repartition(*keys).groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    element = re.sub(rf"\b({'|'.join(columns)})\b", r"_row.\1", child)
+    return gathered.select("uri", F.expr(f"transform(_rows, _row -> {element})").alias(name))
 
 
 def crosswalk_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,7 +233,7 @@ def crosswalk_documents(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
     customer = F.expr("concat('entities/', o_custkey)")
     orders = table(spark, folder, "orders")
-    return _typed(_gathered(orders, customer, columns, F.expr(crosswalk), "crosswalks"))
+    return _typed(_gathered(orders, customer, columns, crosswalk, "crosswalks"))
 
 
 def address_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -265,7 +264,7 @@ def address_documents(spark: SparkSession, folder: str) -> DataFrame:
     ]
     supplier = F.expr("concat('entities/S', l_suppkey)")
     lines = table(spark, folder, "lineitem")
-    rows = _gathered(lines, supplier, columns, F.expr(address), "Address")
+    rows = _gathered(lines, supplier, columns, address, "Address")
     attributes = F.struct(
         *[
             (F.col("Address") if f.name == "Address" else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -292,7 +291,7 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     columns = ["l_linenumber", "l_partkey", "l_quantity"]
     lines = table(spark, folder, "lineitem")
-    items = _gathered(lines, F.col("l_orderkey"), columns, F.struct(*columns), "items")
+    items = _gathered(lines, F.col("l_orderkey"), columns, f"struct({', '.join(columns)})", "items")
     items = items.withColumnRenamed("uri", "o_orderkey")
     head = F.struct(
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("prio")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from oracle import actual
@@ -174,3 +175,32 @@ def test_nested_rows_get_the_unique_id(spark):
     out = nested_entity_join(single, nested, ["City"])
     assert out.columns == ["UniqueId", "cross_source", "City"]
     assert sorted(map(tuple, out.collect())) == [("U1", "S", "Rome"), ("U2", "S", "Rome")]
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("crowded", [False, True])
+def test_identifiers_are_found_by_their_shape(spark, strategy, crowded):
+    """Rows are shuffled with the few substrings of a needle's shape; crowded texts have too many of them."""
+    rng = random.Random(4)
+    needles = [f"A-{rng.randint(0, 99):02}" for _ in range(30)] + ["11", "12", "11", None, "a.b", "(0)"]
+    texts = [f"xA-{rng.randint(0, 99):02}|A-{i % 100:02}" for i in range(60)]
+    texts += ["111", "A-1é", "aXb", "a.b(0)", "\U0001F600A-11", None, ""]
+    if crowded:
+        texts += ["1" + "12" * 900] * 2
+    stats = needle_stats(_texts(spark, needles, "n"), "n")
+    assert len(stats.shapes) == 4 and "A\\-[0-9][0-9]" in stats.shapes
+    got = substring_join(_texts(spark, needles, "n"), _texts(spark, texts, "h"), "n", "h", strategy)
+    planned = got._jdf.queryExecution().executedPlan().toString()
+    # without the joins that carry hashes to texts and back
+    assert crowded or len(re.findall(r"\bSortMergeJoin\b", planned)) <= (1 if strategy == "shuffle" else 2)
+    assert sorted(map(tuple, got.collect())) == _brute_force(needles, texts)
+    links = substring_links(_texts(spark, texts, "h"), _texts(spark, needles, "n"), "h", "n", strategy)
+    brute = {(h, j, n) for n, _, h, j in _brute_force(needles, texts)}
+    assert sorted(map(tuple, links.collect())) == sorted(brute)
+
+
+def test_letters_of_identifiers_are_a_class_where_they_vary(spark):
+    varied = [f"{a}{b}-7" for a in "abcdef" for b in "ABCDEF"]
+    assert needle_stats(_texts(spark, varied, "n"), "n").shapes == ("[a-z][A-Z]\\-[0-9]",)
+    assert needle_stats(_texts(spark, ["é1"], "n"), "n").shapes is None
+    assert needle_stats(_texts(spark, ["x" * i for i in range(40)], "n"), "n").shapes is None

@@ -99,6 +99,12 @@ def test_partial_documents_are_bounded(spark, monkeypatch):
     assert count(entity_documents(spark, DATA), "FileScan") == 3  # too many to be listed
 
 
+def test_flat_rows_are_gathered_before_they_are_nested(spark):
+    """The aggregation sorts what it gathers, and nested elements are many times larger."""
+    text = plan(entity_documents(spark, DATA))
+    assert "collect_list(struct(o_orderkey" in text and "collect_list(child" not in text
+
+
 def test_groups_need_one_melt_one_crosswalk_scan_and_one_link(stored):
     groups = {"place": ["attributes.Address.value.City"], "land": ["attributes.Address.value.Country"]}
     tagged = linked_tagged(stored, ["attributes.Name", "attributes.UniqueId"], ["Name", "UniqueId"], groups)
