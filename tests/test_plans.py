@@ -7,6 +7,7 @@ from documents import CITY, RANK, ZIP5, random_documents
 
 import __spark_entry__ as entry
 from entitylake.operators.crosswalk import crosswalk_table, crosswalk_uri_table
+from entitylake.operators.linkage import largest_value_per_uri
 from entitylake.operators.melt import melt_nested, melt_single
 from entitylake.operators.pivot import pivot_single
 from entitylake.plans.address import address_wide
@@ -105,6 +106,13 @@ def test_flat_rows_are_gathered_before_they_are_nested(spark):
     assert "collect_list(struct(o_orderkey" in text and "collect_list(child" not in text
 
 
+def test_attributes_are_spread_before_their_partial_maxima(stored):
+    """A few files may hold them all; copies still meet in partial maxima before the last shuffle."""
+    largest = largest_value_per_uri(melt_single(stored, ["attributes.Name"], keep_empty=False))
+    nodes = re.findall(r"partial_max|hashpartitioning\(uri#\d+, value#\d+", plan(largest))
+    assert nodes[0] == "partial_max" and len(nodes) == 2 and count(largest, "Exchange") == 2
+
+
 def test_groups_need_one_melt_one_crosswalk_scan_and_one_link(stored):
     groups = {"place": ["attributes.Address.value.City"], "land": ["attributes.Address.value.Country"]}
     tagged = linked_tagged(stored, ["attributes.Name", "attributes.UniqueId"], ["Name", "UniqueId"], groups)
