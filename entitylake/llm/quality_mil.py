@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitylake.llm.common import as_text, sampled, slices
+from entitylake.llm.common import as_text, sample_bound, sampled, slices
 
 PASSAGE_WORDS = 100
 TRAINING_ROWS = 8_000
@@ -179,6 +179,15 @@ def score(model: MilModel, bags: list[np.ndarray]) -> np.ndarray:
     return _sigmoid(_forward(x, starts, model.weights)[-1])
 
 
+def _eligible(texts: DataFrame, total: int, wanted: int) -> DataFrame:
+    """Rows that the sample takes with one label or the other: the rest need not be shuffled to their labels."""
+    below = sample_bound(total, wanted)
+    if below is None:
+        return texts
+    taken = [F.xxhash64("id", "text", F.lit(n).cast("int")) < F.lit(below).cast("long") for n in (0, 1)]
+    return texts.where(taken[0] | taken[1])
+
+
 def train(
     documents: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     max_rows: int = TRAINING_ROWS,
@@ -191,8 +200,9 @@ def train(
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label")).where(
         F.col("label").isin(0, 1)
     )
-    joined = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).join(known, "id")
-    joined = sampled(joined, ["id", "text", "label"], joined.count(), max_rows)
+    texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    total = texts.join(known, "id").count()
+    joined = sampled(_eligible(texts, total, max_rows).join(known, "id"), ["id", "text", "label"], total, max_rows)
 
     def vectors(batches):
         for batch in batches:

@@ -163,3 +163,18 @@ def test_samples_are_bounded_whatever_the_size_and_the_ids(spark):
     assert 1_700 < sampled(missing, ["id", "text", "label"], 20_000, 2_000).count() < 2_300
     same = spark.range(20_000).selectExpr("7 as id", "'t' as text", "0 as label")
     assert sampled(same, ["id", "text", "label"], 20_000, 20_000).count() == 1
+
+
+def test_rows_outside_the_sample_are_left_out_before_labels_are_joined(docs, spark):
+    texts = docs([(i, None if i % 50 == 0 else f"text {i}", "en") for i in range(4_000)])
+    texts = texts.select(F.col("doc_id").alias("id"), "text")
+    labels = spark.range(4_000).select("id", F.expr("cast(id % 3 = 0 as int)").alias("label"))
+
+    def chosen(rows):
+        found = sampled(rows.join(labels, "id"), ["id", "text", "label"], 4_000, 100)
+        return sorted((r.id, r.label) for r in found.collect())
+
+    few = quality_mil._eligible(texts, 4_000, 100)
+    assert chosen(few) == chosen(texts) and 60 < len(chosen(few)) < 150
+    assert few.count() < 300
+    assert quality_mil._eligible(texts, 4_000, 4_000).count() == 4_000
