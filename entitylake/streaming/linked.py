@@ -88,7 +88,8 @@ class EntityState:
             return facts.where(F.col("kind") == kind)
 
         attributes = largest_value_per_uri(of(ATTRIBUTE).select(*LONG_COLUMNS))
-        links = of(LISTED).select("uri", "sourceid", "cross_value", "cross_source").distinct()
+        # a link that was said twice changes no maximum, so it is not worth a shuffle of all links
+        links = of(LISTED).select("uri", "sourceid", "cross_value", "cross_source")
         names = [n for n in self.names if n != self.reference_name]
         single = pivot_single(uri_join(links, attributes), names)
         ids = of(REFERENCE).select(*LONG_COLUMNS).distinct()

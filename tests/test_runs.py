@@ -1,6 +1,7 @@
 """Manifests, and datasets kept up to date by batches."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -261,3 +262,13 @@ def test_state_of_a_pivot_holds_keys_once_and_no_working_tables(spark, tmp_path,
         assert sorted(spark.read.parquet(str(folder)).columns) == sorted([*columns.names, "_part"])
         assert "id" not in columns.names
     assert list((tmp_path / "shared").rglob("*.parquet")) == []
+
+
+def test_links_of_entities_are_shuffled_once_and_may_be_repeated(spark, tmp_path):
+    state = EntityState(str(tmp_path), ["attributes.Name"], ["Name"], "attributes.ReferenceId")
+    docs = customer_documents(spark, DATA).unionByName(crosswalk_documents(spark, DATA))
+    facts = staged(state.facts(docs), "facts")
+    once = state.linked(facts)
+    assert actual(state.linked(facts.unionByName(facts))) == actual(once) and once.count() > 0
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[uri#\d+, sourceid#", plan) is None
