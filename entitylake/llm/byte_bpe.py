@@ -20,22 +20,24 @@ from __future__ import annotations
 import base64
 import bisect
 import functools
-import re
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from entitylake.llm.chunk_cache import ChunkCache
+from entitylake.llm.chunk_cache import ChunkCache, spans
 from entitylake.llm.common import field, portions, resident
 
-TRANSITIONS_KEPT = 700_000
-CHUNKS_KEPT = 250_000
+TRANSITIONS_KEPT = 1_000_000
+CHUNKS_KEPT = 200_000
+PIECES_KEPT = 150_000
+PORTION = 2 << 20  # bytes of text whose chunks are looked up together
 STEP = 4096  # ids that are decoded at a time
 
 
@@ -74,6 +76,7 @@ class Transducer:
         self.states: list[tuple] = [(-1, b"", (), (0,), (0,))]
         self.next: dict[int, int] = {}  # twice the state, and one more where something is emitted
         self.out: dict[int, tuple[int, ...]] = {}
+        self.alike: dict[tuple, tuple] = {}  # one of each of the tuples that many transitions share
 
     def merged(self, data: bytes) -> list[bytes]:
         """The definition: always join the adjacent pair of lowest rank, leftmost first."""
@@ -145,13 +148,15 @@ class Transducer:
         cut = places[0]
         key = state << 8 | byte
         if cut:
-            self.out[key] = self._ids(ends, cut)
+            ids = self._ids(ends, cut)
+            self.out[key] = self.alike.setdefault(ids, ids)
             last, waiting, ends = ends[cut - 1], waiting[cut:], ends[cut:]
             live = tuple([p - cut for p in live])
         name = (last, waiting)
         found = self.names.get(name)
         if found is None:
             found = self.names[name] = len(self.states)
+            live = self.alike.setdefault(live, live)
             self.states.append((last, waiting, ends, live, tuple(kept)))
         found = self.next[key] = found << 1 | (cut > 0)
         return found
@@ -171,9 +176,12 @@ class Transducer:
         return out
 
 
+_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 #: A run of white space with a blank in it that is neither before a visible character nor alone: the
 #: pattern then looks beyond the blank, and such texts are split by the pattern as a whole.
-_IRREGULAR = re.compile(r"\s (?:\s|\Z)")
+_IRREGULAR = rf"{_BLANK} (?:{_BLANK}|\z)"
+# no text in UTF-8 has these bytes
+_FIRST, _MATCH = b"\xff", b"\xfe"
 
 
 class TextEncoder:
@@ -191,33 +199,45 @@ class TextEncoder:
     def _piece(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
         if found is None:
-            if len(self.pieces) > 100_000:
+            if len(self.pieces) > PIECES_KEPT:
                 self.pieces.clear()
-            found = self.transducer.encode(piece.encode("utf-8", "surrogatepass"))
+            found = self.transducer.encode(piece.encode())
             self.pieces[piece] = found
         return found
 
-    def _encode(self, chunks: list) -> list[list[int]]:
+    def _encode(self, chunks: list[bytes]) -> list[list[int]]:
         out = []
         for chunk in chunks:
-            if isinstance(chunk, bytes):  # a match already
-                out.append(self._piece(chunk.decode("utf-8", "surrogatepass")))
-            else:
-                ids: list[int] = []
-                for piece in self.pattern.findall(chunk):
-                    ids += self._piece(piece)
-                out.append(ids)
+            mark = chunk[:1]
+            text = chunk[1:].decode() if mark == _FIRST or mark == _MATCH else " " + chunk.decode()
+            if mark == _MATCH or text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+                out.append(self._piece(text))
+                continue
+            ids: list[int] = []
+            for piece in self.pattern.findall(text):
+                ids += self._piece(piece)
+            out.append(ids)
         return out
 
-    def _chunks(self, text: str) -> list:
-        """Chunks that begin with a blank, except the first: no match reaches over such a place."""
-        if _IRREGULAR.search(text):
-            return [m.encode("utf-8", "surrogatepass") for m in self.pattern.findall(text)]
-        first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]] if first else [" " + r for r in rest]
+    def _matches(self, text: str) -> list[bytes]:
+        return [_MATCH + m.encode() for m in self.pattern.findall(text)]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.cache.ids([self._chunks(t) if t else [] for t in texts])
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts without NULL.
+
+        Texts are cut into chunks that begin with a blank, except the first, which is marked instead: no match
+        reaches over such a place.
+        """
+        texts = pa.array(texts, pa.string())
+        irregular = pc.match_substring_regex(texts, _IRREGULAR)
+        regular = texts.filter(pc.invert(irregular)) if irregular.true_count else texts
+        marked = pc.binary_join_element_wise(_FIRST, regular.cast(pa.binary()), b"")
+        found = self.cache.ids_of(pc.split_pattern(marked, b" "))
+        if not irregular.true_count:
+            return found
+        rest = [self._matches(t) for t in texts.filter(irregular).to_pylist()]
+        theirs, ours = iter(self.cache.ids_of(pa.array(rest, pa.list_(pa.binary())))), iter(found)
+        return [next(theirs if odd else ours) for odd in irregular.to_pylist()]
 
 
 def text_encoder(path: str, pattern: str) -> TextEncoder:
@@ -270,34 +290,49 @@ class Utf8Machine:
         return not self.need
 
 
+class TokenBytes:
+    """The bytes of all tokens, one after the other."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The tokens' bytes, and where each begins and the last ends."""
+        sizes = self.sizes[ids]
+        data = self.flat[spans(self.starts[ids], sizes)].tobytes()
+        return data, np.concatenate([[0], np.cumsum(sizes)])
+
+
 class StreamDecoder:
     """Bytes of valid UTF-8 from ids that come in any portions."""
 
-    def __init__(self, tokens: list[bytes], whole: np.ndarray):
+    def __init__(self, tokens: TokenBytes, whole: np.ndarray):
         self.tokens, self.whole, self.machine = tokens, whole, Utf8Machine()
 
     def feed(self, ids: np.ndarray) -> bytes:
-        parts = list(map(self.tokens.__getitem__, ids.tolist()))
+        data, ends = self.tokens.joined(ids)
         broken = np.flatnonzero(~self.whole[ids])
         if self.machine.between and not len(broken):
-            return b"".join(parts)
+            return data
         out, at = [], 0
         for first in [*([] if self.machine.between else [0]), *broken.tolist()]:
             if first < at:
                 continue
-            out += parts[at:first]
+            out.append(data[ends[at] : ends[first]])
             at = first
-            while at < len(parts) and (at == first or not self.machine.between):
-                out.append(self.machine.feed(parts[at]))
+            while at < len(ids) and (at == first or not self.machine.between):
+                out.append(self.machine.feed(data[ends[at] : ends[at + 1]]))
                 at += 1
-        return b"".join([*out, *parts[at:]])
+        return b"".join([*out, data[ends[at] :]])
 
     def close(self) -> bytes:
         return self.machine.close()
 
 
 @functools.cache
-def decoder_tables(path: str) -> tuple[list[bytes], np.ndarray]:
+def decoder_tables(path: str) -> tuple[TokenBytes, np.ndarray]:
     """Each id's bytes, and whether they are complete characters by themselves."""
     ranks = read_ranks(path)
     tokens = [b""] * (max(ranks.values()) + 1)
@@ -306,7 +341,7 @@ def decoder_tables(path: str) -> tuple[list[bytes], np.ndarray]:
         tokens[number] = token
         machine = Utf8Machine()
         whole[number] = machine.feed(token) == token and machine.between
-    return tokens, whole
+    return TokenBytes(tokens), whole
 
 
 def decode(ids: np.ndarray, path: str) -> bytes:
@@ -330,8 +365,8 @@ def encoded(
 
     def run(batches):
         encoder = text_encoder(path, pattern)
-        for part in portions(batches, 1):
-            texts = [t or "" for t in part.columns[1].to_pylist()]
+        for part in portions(batches, 1, PORTION):
+            texts = pc.fill_null(part.columns[1], "")
             ids = [i.astype("<u4").tobytes() for i in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays(
                 [part.columns[0], pa.array(ids, pa.binary())], schema=arrow
@@ -375,8 +410,8 @@ def round_trip(
 
     def run(batches):
         encoder = text_encoder(path, pattern)
-        for part in portions(batches, 1):
-            ids = encoder.encode([t or "" for t in part.columns[1].to_pylist()])
+        for part in portions(batches, 1, PORTION):
+            ids = encoder.encode(pc.fill_null(part.columns[1], ""))
             data = [decode(i, path) for i in ids]
             columns = [pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
                        pa.array(data, pa.binary())]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import gc
+import itertools
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -63,7 +64,7 @@ class ChunkCache:
         self.ordinals = _Ordinals()
         self.ordinals.update((chunks[k], i) for i, k in enumerate(keep.tolist()))
         sizes, starts = self.sizes[keep], self.starts[keep]
-        self.flat = self.flat[_spans(starts, sizes)]
+        self.flat = self.flat[spans(starts, sizes)]
         self.known, self.used = len(keep), len(self.flat)
         self.sizes, self.uses = sizes, np.ones(len(keep), np.int64)
         self.starts = np.cumsum(sizes) - sizes
@@ -74,7 +75,7 @@ class ChunkCache:
             return
         found = self.encode(fresh)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
         self.uses = _room(self.uses, self.known + len(fresh))
         self.starts = _room(self.starts, self.known + len(fresh))
         self.sizes = _room(self.sizes, self.known + len(fresh))
@@ -96,7 +97,7 @@ class ChunkCache:
         out = []
         for numbers in chunks:
             np.add.at(self.uses, numbers, 1)
-            out.append(self.flat[_spans(self.starts[numbers], self.sizes[numbers])])
+            out.append(self.flat[spans(self.starts[numbers], self.sizes[numbers])])
         return out
 
 
@@ -114,14 +115,14 @@ class ChunkCache:
         self.uses[numbers] += np.bincount(at, minlength=len(numbers))
         each = numbers[at]
         sizes = self.sizes[each]
-        flat = self.flat[_spans(self.starts[each], sizes)]
+        flat = self.flat[spans(self.starts[each], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         offsets = texts.offsets.to_numpy()
         cuts = ends[offsets - offsets[0]].tolist()
         return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
-def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of all given spans, one after the other."""
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0

@@ -82,6 +82,22 @@ def test_encoded_and_decoded_tables(docs):
     assert byte_bpe.digests(byte_bpe.round_trip(docs([]))).count() == 0
 
 
+def test_a_chunk_is_looked_up_once_however_often_it_occurs(monkeypatch):
+    encoder = byte_bpe.TextEncoder(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    asked = []
+
+    class Counting(type(encoder.cache.ordinals)):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    encoder.cache.ordinals = Counting()
+    texts = ["a bc a bc  a\n", "bc a", "", " a", "x \n y"] * 50
+    want = _reference()
+    assert [i.tolist() for i in encoder.encode(texts)] == [want.encode_ordinary(t) for t in texts]
+    assert len(asked) <= 15
+
+
 def test_chunk_cache_forgets_and_stays_right():
     cache = chunk_cache.ChunkCache(lambda chunks: [[len(c), 7][: len(c) % 3] for c in chunks], limit=20)
     rnd = random.Random(4)
