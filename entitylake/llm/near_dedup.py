@@ -1,10 +1,12 @@
 """Near-duplicate documents by MinHash bands, odd sketches and a confirmation on full sets.
 
 A document's set are its distinct shingles of some words, as 64-bit hashes.  512 MinHash samples are
-taken of it; the first 200 make 40 bands of 5 rows, and all of them are folded into an odd sketch of
-1,024 bits, each sample flipping one bit.  The number of bits in which two sketches differ estimates
-the similarity, most precisely where it is high.  Candidates share a band; those whose sketches
-are clearly apart are dropped, and the others are confirmed on their full sets, exactly.
+taken of it; the first 200 make 40 bands of 5 rows.  A sketch has 1,024 bits.  That of a set of up to
+``PARITY_KEPT`` shingles is its parity: each shingle flips one bit, so that two sets differ in at least
+as many shingles as their sketches in bits, and a pair refused by that is certainly no link.  Of larger
+sets the samples are folded into an odd sketch, each flipping one bit, which estimates the similarity.
+Candidates share a band; those whose sketches are clearly apart are dropped, and the others are
+confirmed on their full sets, exactly.
 
 Copies meet first: documents with equal sets are one class, and only classes are compared.  Within a
 band no pairs are formed at the start: each class is compared with the most connected class of its
@@ -12,8 +14,8 @@ band (the hub).  Only classes that this leaves in another component than their b
 compared with the rest of the band, block by block on their sketches, inside tasks of bounded
 size.  Every link that could join two components is looked at, so components are those of all links.
 
-A pair at a threshold of 0.85 shares no band with a probability of 7e-11, at 0.8 of 1.2e-7; its sketches
-are taken for too far apart (by more than ``DEVIATIONS`` standard deviations) with one of about 8e-8
+A pair at a threshold of 0.85 shares no band with a probability of 7e-11, at 0.8 of 1.2e-7; odd sketches
+of large sets are taken for too far apart (by more than ``DEVIATIONS`` standard deviations) with one of about 8e-8
 and 6e-8, by the binomial law of the samples and a normal one of the bits.
 
 Defined results: a text with fewer words than a shingle is one shingle; an empty or NULL text has
@@ -31,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entitylake.functions.membership import membership
 from entitylake.llm.common import portions, resident
 from entitylake.llm.components import components
 from entitylake.operators.linkage import even_join
@@ -39,6 +42,9 @@ from entitylake.sources.scratch import staged
 BANDS, ROWS = 40, 5
 SAMPLES = 512  # two from each of half as many products
 SKETCH_BITS = 1024
+PARITY_KEPT = 1024  # larger sets flip each bit so often that their parity says little
+PARITY_MADE = PARITY_KEPT * 5 // 4  # the sets that one of that size could be linked with at 0.8
+FILTER_BITS = 1 << 25  # 4 MB, for eight million documents with candidates
 DEVIATIONS = 5.5
 BLOCK = 256
 SEED = 7_919
@@ -117,6 +123,13 @@ def odd_sketch(least: np.ndarray) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
 
 
+def set_parity(hashes: np.ndarray) -> np.ndarray:
+    """The parity, per bit, of the set's hashes that fall on it; as 64-bit integers."""
+    place = (hashes % np.uint64(SKETCH_BITS)).astype(np.int64)
+    flips = np.bincount(place, minlength=SKETCH_BITS)
+    return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
+
+
 def most_apart(threshold: float) -> int:
     """The largest number of differing sketch bits that a pair worth confirming may have.
 
@@ -133,12 +146,17 @@ def most_apart(threshold: float) -> int:
 
 
 def signatures(documents: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """A row per row: ``id``, ``n`` (size of the set), ``class`` (16 bytes), ``bands``, ``sketch``."""
+    """A row per row: ``id``, ``n`` (size of the set), ``class`` (16 bytes), ``bands``, ``sketch``, ``parity``.
+
+    ``sketch`` is that of the samples, NULL up to ``PARITY_KEPT``; ``parity`` is NULL above ``PARITY_MADE``.
+    Sets that could be linked have one of the two in common.
+    """
     named = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     schema = pa.schema(
         [
             ("id", pa.int64()), ("n", pa.int64()), ("class", pa.binary()),
             ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())),
+            ("parity", pa.list_(pa.int64())),
         ]
     )
 
@@ -151,14 +169,17 @@ def signatures(documents: DataFrame, key: str, text: str, words: int) -> DataFra
                 if len(found):
                     least = minhashes(found)
                     name = xxhash.xxh3_128_digest(found.tobytes(), SEED)
-                    rows.append((len(found), name, band_hashes(least), odd_sketch(least)))
+                    sketch = odd_sketch(least) if len(found) > PARITY_KEPT else None
+                    parity = set_parity(found) if len(found) <= PARITY_MADE else None
+                    rows.append((len(found), name, band_hashes(least), sketch, parity))
                 else:
-                    rows.append((0, None, None, None))
+                    rows.append((0, None, None, None, None))
             columns = [pa.array(list(c), f.type) for c, f in zip(zip(*rows), list(schema)[1:])]
             yield pa.RecordBatch.from_arrays([part.columns[0], *columns], schema=schema)
 
     return named.mapInArrow(
-        signed, "id long, n long, class binary, bands array<long>, sketch array<long>"
+        signed,
+        "id long, n long, class binary, bands array<long>, sketch array<long>, parity array<long>",
     )
 
 
@@ -185,12 +206,31 @@ def _apart(left: Column, right: Column) -> Column:
     )
 
 
-def _near(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """Those of ``a, b`` whose sketches differ in at most ``limit`` bits."""
-    a = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
-    b = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
-    both = even_join(even_join(pairs, a, ["a"]), b, ["b"])
-    return both.where(_apart(F.col("sketch_a"), F.col("sketch_b")) <= limit).select("a", "b")
+def _near(pairs: DataFrame, classes: DataFrame, limit: int, percent: int) -> DataFrame:
+    """Those of ``a, b`` that their sizes and sketches do not tell apart; ``limit`` is for sketches of samples."""
+
+    def side(end: str) -> DataFrame:
+        return classes.select(F.col("id").alias(end), F.struct("n", "sketch", "parity").alias(f"of_{end}"))
+
+    both = even_join(even_join(pairs, side("a"), ["a"]), side("b"), ["b"])
+    a, b = F.col("of_a"), F.col("of_b")
+    sizes = 100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])
+    differing = _apart(a["parity"], b["parity"])
+    # shared / union, of sets that differ in so many elements at least
+    possible = (100 + percent) * differing <= (100 - percent) * (a["n"] + b["n"])
+    estimated = _apart(a["sketch"], b["sketch"]) <= limit
+    return both.where(sizes & F.coalesce(possible, estimated)).select("a", "b")
+
+
+def _with_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Those of ``id, text`` whose id is in ``ids`` (a written table of distinct ids).
+
+    Most rows are not, and are left out before the join would shuffle their texts; up to ``FILTER_BITS``.
+    """
+    listed = membership(ids.select(F.xxhash64("id").alias("_hash")), "_hash", ids.count(), FILTER_BITS)
+    if listed is not None:
+        texts = texts.where(listed(F.xxhash64("id")))
+    return even_join(texts, ids, ["id"], "left_semi")
 
 
 def _confirmed(
@@ -198,9 +238,9 @@ def _confirmed(
 ) -> DataFrame:
     """Those of ``a, b`` whose full sets reach the threshold; staged."""
     pairs = staged(pairs, "near-candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
     texts = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = staged(shingle_sets(even_join(texts, ids, ["id"], "left_semi"), words), "near-sets")
+    sets = staged(shingle_sets(_with_ids(texts, ids), words), "near-sets")
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
     both = even_join(even_join(pairs, a, ["a"]), b, ["b"])
@@ -213,15 +253,15 @@ def _confirmed(
 def _rest_of_bands(members: DataFrame, limit: int, percent: int) -> DataFrame:
     """Candidate pairs ``a, b`` from different components of one band.
 
-    ``members``: ``band, id, component, main`` (whether in the hub's component), ``n, bands, sketch``
-    and ``size``, the number of the band's classes.  Blocks of at most about ``BLOCK`` members meet
+    ``members``: ``band, id, component, main`` (whether in the hub's component), ``n, bands, sketch,
+    parity`` and ``size``, the number of the band's classes.  Blocks of at most about ``BLOCK`` members meet
     in pairs, never two blocks of the hub's component.  A pair is given by the first band it shares.
     """
     parts = F.ceil(F.col("size") / BLOCK)
     blocks = (
         members.withColumn("block", F.pmod(F.xxhash64("id"), parts).cast("int"))
         .groupBy("band", "main", "block")
-        .agg(F.collect_list(F.struct("id", "component", "n", "bands", "sketch")).alias("rows"))
+        .agg(F.collect_list(F.struct("id", "component", "n", "bands", "sketch", "parity")).alias("rows"))
     )
     left = blocks.where(~F.col("main")).select("band", F.col("block").alias("at"), "rows")
     right = blocks.select(
@@ -244,18 +284,28 @@ def _rest_of_bands(members: DataFrame, limit: int, percent: int) -> DataFrame:
 
 
 def _compare(band: int, rows: list[dict], others: list[dict], limit: int, percent: int) -> np.ndarray:
-    ids, components_, sizes, bands, sketches = (
+    ids, components_, sizes, bands = (
         [np.array([r[c] for r in side], np.int64) for side in (rows, others)]
-        for c in ("id", "component", "n", "bands", "sketch")
+        for c in ("id", "component", "n", "bands")
     )
-    # as unsigned numbers: of signed ones the bits of the absolute value would be counted
-    sketches = [s.view(np.uint64) for s in sketches]
-    apart = np.zeros((len(rows), len(others)), np.int64)
-    for i in range(sketches[0].shape[1]):
-        apart += np.bitwise_count(sketches[0][:, None, i] ^ sketches[1][None, :, i])
+
+    def apart(column: str) -> np.ndarray:
+        missing = [0] * (SKETCH_BITS // 64)
+        # as unsigned numbers: of signed ones the bits of the absolute value would be counted
+        left, right = (
+            np.array([r[column] or missing for r in side], np.int64).view(np.uint64) for side in (rows, others)
+        )
+        total = np.zeros((len(rows), len(others)), np.int64)
+        for i in range(left.shape[1]):
+            total += np.bitwise_count(left[:, None, i] ^ right[None, :, i])
+        return total
+
     small = np.minimum(sizes[0][:, None], sizes[1][None, :])
     large = np.maximum(sizes[0][:, None], sizes[1][None, :])
-    keep = (apart <= limit) & (100 * small >= percent * large)
+    keep = (100 + percent) * apart("parity") <= (100 - percent) * (small + large)
+    if large.max() > PARITY_MADE:
+        keep = np.where(large > PARITY_MADE, (small > PARITY_KEPT) & (apart("sketch") <= limit), keep)
+    keep &= 100 * small >= percent * large
     keep &= components_[0][:, None] != components_[1][None, :]
     i, j = np.nonzero(keep)
     first = (bands[0][i] == bands[1][j]).argmax(1)
@@ -282,6 +332,7 @@ def near_duplicates(
         signed.where(F.col("n") > 0).groupBy("class").agg(
             F.min("id").alias("id"), F.first("n").alias("n"),
             F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+            F.first("parity").alias("parity"),
         ).where(F.col("id").isNotNull()),
         "near-classes",
     )
@@ -295,7 +346,7 @@ def near_duplicates(
         F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
     )
     stars = _confirmed(
-        _near(spokes.distinct(), classes, limit), documents, key, text, words, percent
+        _near(spokes.distinct(), classes, limit, percent), documents, key, text, words, percent
     )
     labels = components(stars)
 

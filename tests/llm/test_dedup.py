@@ -178,6 +178,66 @@ def test_sketch_estimates_similarity():
         assert bits <= near_dedup.most_apart(j)
 
 
+@pytest.mark.parametrize("size", [3, 200, 1_000, 1_200])
+def test_parity_refuses_no_link(size):
+    rng = np.random.default_rng(size)
+    for differing in range(0, size, 1 + size // 40):
+        hashes = rng.integers(0, 2**63, size + differing, np.uint64)
+        left, right = np.unique(hashes[:size]), np.unique(hashes[differing:])
+        a, b = near_dedup.set_parity(left), near_dedup.set_parity(right)
+        assert int(np.bitwise_count((a ^ b).view(np.uint64)).sum()) <= len(np.setxor1d(left, right))
+
+
+def test_large_sets_meet_small_ones(docs):
+    """Sets below, at and above the sizes where one kind of sketch gives way to the other."""
+    rnd = random.Random(12)
+    long = [f"w{rnd.randrange(10**6)}" for _ in range(1_700)]
+    rows = [(i, " ".join(long[:n])) for i, n in enumerate([900, 1_020, 1_026, 1_030, 1_100, 1_282, 1_290, 1_500])]
+    rows += [(i, " ".join(long[j:][:n])) for i, (j, n) in enumerate([(300, 1_100), (30, 1_300), (9, 1_690)], 20)]
+    got = near_dedup.near_duplicates(docs([(k, t, "en") for k, t in rows]), words=3, percent=85)
+    assert {r.doc_id: r.component_id for r in got.collect()} == _components(_sets(rows, 3), 85)
+
+
+def _crowd(n):
+    """Copies of one text with as many words of their own that no two are linked, though nearly."""
+    rnd = random.Random(5)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for key in range(n):
+        text = base.copy()
+        for at in range(key % 43, 300, 43):
+            text[at] = f"x{rnd.randrange(10**6)}"
+        rows.append((key, " ".join(text)))
+    return rows
+
+
+def test_pairs_that_are_surely_apart_are_no_candidates(docs, monkeypatch):
+    rows, counts, confirmed = _crowd(120), [], near_dedup._confirmed
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_confirmed", counted)
+    got = near_dedup.near_duplicates(docs([(k, t, "en") for k, t in rows]), words=3, percent=85)
+    want = _components(_sets(rows, 3), 85)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+    assert sum(counts) < 2 * len(rows)
+
+
+def test_texts_without_candidates_stay_where_they_are(docs, spark, monkeypatch):
+    texts = docs([f"text {i}" for i in range(5_000)]).selectExpr("doc_id as id", "text")
+    ids = spark.range(0, 5_000, 100)
+    found = near_dedup._with_ids(texts, ids)
+    assert sorted(r.id for r in found.collect()) == list(range(0, 5_000, 100))
+    passed, joined = [], near_dedup.even_join
+    monkeypatch.setattr(
+        near_dedup, "even_join", lambda left, *rest: passed.append(left.count()) or joined(left, *rest)
+    )
+    near_dedup._with_ids(texts, ids)
+    assert 50 <= passed[0] < 1_000
+
+
 @pytest.mark.parametrize("threshold", [0.8, 0.85])
 def test_sketch_margin_in_deviations(threshold):
     """Ideal samples of pairs at the threshold: the filter is more than five deviations away."""
