@@ -11,6 +11,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entitylake.functions.membership import membership
 from entitylake.llm import (
     exact_dedup,
     language_id,
@@ -26,11 +27,29 @@ from entitylake.sources.scratch import staged
 ORACLE_SQL = None
 
 
-def _only(rows: DataFrame, chosen: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    """``columns`` of the rows whose ``name``, never NULL, is listed; one row of each name.
+def _only(rows: DataFrame, verdicts: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """``columns`` of the rows whose ``name``, never NULL, is to stay; one row of each name.
 
-    That is the one with the longest text, of these the one with the largest hash.  Both sides are
-    dealt by the name for the join, and rows of one name then meet without another shuffle.
+    ``verdicts``: a written table of a row per row, its ``name`` and whether rows of that name are ``kept``,
+    which at least one row of it says.  A row that is alone with its name and kept stays where it is.  Only the others,
+    and a few that a filter takes for such, are shuffled with their texts.
+    """
+    hashed = verdicts.select(F.xxhash64(name).alias("_hash"), "kept")
+    doubtful = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("stays"))
+    doubtful = staged(doubtful.where("n > 1 or not stays").select("_hash"), "doubtful")
+    may_be = membership(doubtful, "_hash", doubtful.count(), near_dedup.FILTER_BITS)
+    chosen = verdicts.where("kept")
+    if may_be is None:
+        return _chosen(rows, chosen, name, columns)
+    sure = rows.where(~may_be(F.xxhash64(name))).select(*columns)
+    listed = chosen.where(may_be(F.xxhash64(name)))
+    return sure.unionByName(_chosen(rows.where(may_be(F.xxhash64(name))), listed, name, columns))
+
+
+def _chosen(rows: DataFrame, chosen: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """The row of each listed name that has the longest text, of these the one with the largest hash.
+
+    Both sides are dealt by the name for the join, and rows of one name then meet without another shuffle.
     """
     listed = chosen.select(F.col(name).alias("_listed")).distinct()
     met = rows.join(listed, F.col(name) == F.col("_listed"), "left_semi")
@@ -73,9 +92,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     def named(rows: DataFrame, digest: Column) -> DataFrame:
         return rows.withColumn("_name", F.concat_ws("|", F.col("doc_id").cast("string"), digest))
 
-    kept = exact_dedup.exact_duplicates(docs).where("kept")
+    found = named(exact_dedup.exact_duplicates(docs), F.col("text_sha256"))
     rows = named(docs, exact_dedup.text_digest(F.col("text")))
-    return _only(rows, named(kept, F.col("text_sha256")), "_name", docs.columns)
+    return _only(rows, staged(found.select("_name", "kept"), "exact-verdicts"), "_name", docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,11 +106,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     rows = _numbered(docs)
     found = near_dedup.near_duplicates(rows, key="_row", words=5, percent=80)
-    found = found.select(F.col("doc_id").alias("_row"), "component_id").distinct()
-    ids = even_join(found, rows.select("_row", "doc_id").distinct(), ["_row"])
+    found = staged(found.select(F.col("doc_id").alias("_row"), "component_id"), "near-found")
+    ids = even_join(found.distinct(), rows.select("_row", "doc_id").distinct(), ["_row"])
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col("_row")))
     kept = ids.groupBy("component_id").agg(first["_row"].alias("_row"))
-    return _only(rows, kept, "_row", docs.columns)
+    verdicts = even_join(found.select("_row"), kept.withColumn("kept", F.lit(True)), ["_row"], "left")
+    verdicts = verdicts.select("_row", F.coalesce("kept", F.lit(False)).alias("kept"))
+    return _only(rows, staged(verdicts, "near-verdicts"), "_row", docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
