@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNKS_KEPT = 400_000
+SPREAD = 1 << 16  # chunks whose ids are gathered together
 
 
 class _Ordinals(dict):
@@ -39,14 +40,18 @@ def _uncollected() -> Iterator[None]:
 
 
 class ChunkCache:
-    """``encode`` gets chunks not seen before and gives the ids of each.
+    """``encode`` gets chunks not seen before and gives the ids of each, or as arrays the ids of all, where
+    each chunk's begin, and how many they are.
 
     A text is a list of chunks; its ids are those of its chunks, one after the other.  The memory is
     bounded: when more than ``limit`` chunks are known, those met once are forgotten, and all but the
     more frequent half of ``limit``.
     """
 
-    def __init__(self, encode: Callable[[list], list[Sequence[int]]], limit: int = CHUNKS_KEPT):
+    def __init__(
+        self, encode: Callable[[list], list[Sequence[int]] | tuple[np.ndarray, np.ndarray, np.ndarray]],
+        limit: int = CHUNKS_KEPT,
+    ):
         self.encode, self.limit = encode, limit
         self.ordinals = _Ordinals()
         self.uses = np.zeros(1 << 12, np.int64)
@@ -74,15 +79,19 @@ class ChunkCache:
         if not fresh:
             return
         found = self.encode(fresh)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        if isinstance(found, tuple):
+            ids, starts, sizes = found
+        else:
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
+            starts = np.cumsum(sizes) - sizes
         self.uses = _room(self.uses, self.known + len(fresh))
         self.starts = _room(self.starts, self.known + len(fresh))
         self.sizes = _room(self.sizes, self.known + len(fresh))
         self.flat = _room(self.flat, self.used + len(ids))
         here = slice(self.known, self.known + len(fresh))
         self.sizes[here] = sizes
-        self.starts[here] = self.used + np.cumsum(sizes) - sizes
+        self.starts[here] = self.used + starts
         self.flat[self.used : self.used + len(ids)] = ids
         self.known += len(fresh)
         self.used += len(ids)
@@ -111,15 +120,24 @@ class ChunkCache:
         with _uncollected():
             numbers = np.fromiter(map(self.ordinals.__getitem__, distinct), np.int64, len(distinct))
             self._learn()
+        del distinct
         at = coded.indices.to_numpy(zero_copy_only=False)
         self.uses[numbers] += np.bincount(at, minlength=len(numbers))
-        each = numbers[at]
-        sizes = self.sizes[each]
-        flat = self.flat[spans(self.starts[each], sizes)]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
+        starts, sizes = self.starts[numbers], self.sizes[numbers]
         offsets = texts.offsets.to_numpy()
-        cuts = ends[offsets - offsets[0]].tolist()
-        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+        offsets = offsets - offsets[0]
+        out, low = [], 0
+        while low < len(texts):  # some texts at a time: the places of all their ids are held at once
+            high = int(np.searchsorted(offsets, offsets[low] + SPREAD, side="right")) - 1
+            high = max(high, low + 1)
+            each = at[offsets[low] : offsets[high]]
+            many = sizes[each]
+            flat = self.flat[spans(starts[each], many)]
+            ends = np.concatenate([[0], np.cumsum(many)])
+            cuts = ends[offsets[low : high + 1] - offsets[low]].tolist()
+            out += [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+            low = high
+        return out
 
 
 def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

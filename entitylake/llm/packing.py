@@ -20,7 +20,7 @@ from __future__ import annotations
 import bisect
 import functools
 import math
-import re
+import os
 import zlib
 from collections.abc import Callable
 
@@ -53,22 +53,24 @@ SEED = 411
 # --- pieces --------------------------------------------------------------------------------------
 
 
-# How the tokenizer parts printable ASCII in lower case, and its mark of a word's end.
-ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Letters that the tokenizer lowers one by one, how it parts texts of these and printable ASCII,
+# and its mark of a word's end.  A dotted I would become two characters, a long s may be taken for an s.
+LETTERS = "a-zA-ZªµºÀ-ÖØ-öø-įı-ž"
+PLAIN = rf"^[!-~{LETTERS}]+$"
+WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s0-9{LETTERS}]+"
 WORD_END = "</w>"
-PRINTABLE = re.compile(rb"[!-~]+")
 JOINED = 200  # chunks that are encoded as one text
+ALONE = 5_000  # other chunks that are encoded at a time
 WORDS_KEPT = 250_000
 MOST_TASKS = 20_000  # of an epoch
 PORTION = 4 << 20  # bytes of text that are looked up together
 
 
-def _words_in(chunk: bytes) -> int:
-    """The words the tokenizer makes of a lower-case chunk, 0 where that is not plain."""
-    if PRINTABLE.fullmatch(chunk):
-        return len(ASCII_WORDS.findall(chunk))
-    text = chunk.decode("utf-8", "surrogatepass")
-    return int(text.isalpha() and max(text) < "\u0180")
+def _words_in(chunks: list[bytes]) -> np.ndarray:
+    """The words the tokenizer makes of each chunk, whose A-Z are lowered; 0 where that is not plain."""
+    texts = pa.array(chunks, pa.binary()).view(pa.string())
+    plain = pc.match_substring_regex(texts, PLAIN)
+    return pc.if_else(plain, pc.count_substring_regex(texts, WORDS), 0).to_numpy(zero_copy_only=False)
 
 
 def _word_tokens(path: str) -> ChunkCache:
@@ -79,45 +81,44 @@ def _new_word_tokens(path: str) -> ChunkCache:
     """Ids by the tokenizer file ``path``, whose tokens never reach over ASCII white space.
 
     Plain chunks are encoded many at a time, as one text, and told apart by their numbers of words;
-    the others one by one.
+    the others one by one.  A task has one core, so the tokenizer gets no threads.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     size = tokenizer.get_vocab_size()
     is_end = np.array([(tokenizer.id_to_token(i) or "").endswith(WORD_END) for i in range(size)])
 
-    def singly(chunks: list[bytes]) -> list[list[int]]:
+    def singly(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         words = [c.decode("utf-8", "surrogatepass") for c in chunks]
         found = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids: list[list[int]] = [[] for _ in words]
-        for word, token in zip(found.word_ids, found.ids):
-            ids[word].append(token)
-        return ids
-
-    def encode(chunks: list[bytes]) -> list[list[int]]:
-        words = [_words_in(c) for c in chunks]
-        plain = [i for i, n in enumerate(words) if n]
-        out: list = [None] * len(chunks)
-        parts = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
-        texts = [b" ".join([chunks[i] for i in p]).decode("utf-8") for p in parts]
-        for part, found in zip(parts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = found.ids
-            ends = np.flatnonzero(is_end[ids])
-            last = np.cumsum([words[i] for i in part]) - 1
-            if last[-1] + 1 != len(ends):
-                for i, own in zip(part, singly([chunks[i] for i in part])):
-                    out[i] = own
-                continue
-            start = 0
-            for i, stop in zip(part, (ends[last] + 1).tolist()):
-                out[i] = ids[start:stop]
-                start = stop
-        rest = [i for i, n in enumerate(words) if not n]
-        for at in range(0, len(rest), 5_000):
-            some = rest[at : at + 5_000]
-            for i, own in zip(some, singly([chunks[i] for i in some])):
-                out[i] = own
-        return out
+        sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+        return np.array(found.ids, np.uint32), sizes
+
+    def joined(chunks: list[bytes], words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        text = b" ".join(chunks).decode("utf-8")
+        [found] = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        ends = np.flatnonzero(is_end[ids])
+        last = np.cumsum(words) - 1
+        if last[-1] + 1 != len(ends):
+            return singly(chunks)
+        return ids, np.diff(ends[last], prepend=-1)
+
+    def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words = _words_in(chunks)
+        order, parts = [], []
+        for some, step in ((np.flatnonzero(words), JOINED), (np.flatnonzero(words == 0), ALONE)):
+            order.append(some)
+            for low in range(0, len(some), step):
+                here = some[low : low + step]
+                mine = [chunks[i] for i in here.tolist()]
+                parts.append(joined(mine, words[here]) if step == JOINED else singly(mine))
+        order = np.concatenate(order)
+        in_order = np.concatenate([s for _, s in parts])
+        starts, sizes = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        starts[order], sizes[order] = np.cumsum(in_order) - in_order, in_order
+        return np.concatenate([i for i, _ in parts]), starts, sizes
 
     return ChunkCache(encode, WORDS_KEPT)
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -120,6 +121,21 @@ def _pieces(rows, limit=4096):
     return out
 
 
+def test_words_with_accents_are_encoded_together(monkeypatch):
+    """Each chunk's ids are the tokenizer's, and chunks of accented words and punctuation are encoded as one text."""
+    rnd = random.Random(8)
+    signs = "aéñößçŝıžªºİſŉ'sdtl.,\n&#09×÷一\u0301\u00ad-"
+    odd = ["".join(rnd.choices(signs.replace("\n", ""), k=rnd.randint(1, 9))).lower() for _ in range(3_000)]
+    chunks = [c.encode() for c in dict.fromkeys([*odd, "ciónezciónga.", "it's", "", "İ.", "l'été"])]
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.encode_special_tokens = True
+    want = [tokenizer.encode([c.decode()], is_pretokenized=True, add_special_tokens=False).ids for c in chunks]
+    found = packing._new_word_tokens(WORDS).ids_of(pa.array([[c] for c in chunks], pa.list_(pa.binary())))
+    assert [f.tolist() for f in found] == want
+    known = ["ciónezciónga.", "l'été", "it's", "éa1.", "İ", "ſa", "一"]
+    assert packing._words_in([c.encode() for c in known]).tolist() == [2, 3, 2, 3, 0, 0, 0]
+
+
 def _check_packing(rows, limit):
     at = {}
     for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
