@@ -17,6 +17,7 @@ one for each longest start of a character, as usual.  Repeated rows get equal re
 
 from __future__ import annotations
 
+import array
 import base64
 import bisect
 import functools
@@ -36,8 +37,8 @@ from entitylake.llm.common import field, portions, resident
 
 TRANSITIONS_KEPT = 1_000_000
 CHUNKS_KEPT = 200_000
-PIECES_KEPT = 150_000
-PORTION = 2 << 20  # bytes of text whose chunks are looked up together
+PIECES_KEPT = 300_000
+PORTION = 4 << 20  # bytes of text whose chunks are looked up together
 STEP = 4096  # ids that are decoded at a time
 
 
@@ -52,6 +53,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], limit: int = TRANSITIONS_KEPT):
         self.ranks, self.limit = ranks, limit
         self.tokens = {number: token for token, number in ranks.items()}
+        self.lengths = {number: len(token) for token, number in ranks.items()}
         # the tree of all tokens: a node and a byte give a node; per node its token or -1
         self.below: dict[int, int] = {}
         self.named, self.inner = [-1], [True]
@@ -76,7 +78,7 @@ class Transducer:
         self.states: list[tuple] = [(-1, b"", (), (0,), (0,))]
         self.next: dict[int, int] = {}  # twice the state, and one more where something is emitted
         self.out: dict[int, tuple[int, ...]] = {}
-        self.alike: dict[tuple, tuple] = {}  # one of each of the tuples that many transitions share
+        self.alike: dict = {}  # one of each of the tuples and bytes that many transitions and states share
 
     def merged(self, data: bytes) -> list[bytes]:
         """The definition: always join the adjacent pair of lowest rank, leftmost first."""
@@ -115,14 +117,14 @@ class Transducer:
         while end > 0:
             number = ends[end - 1]
             ids.append(number)
-            end -= len(self.tokens[number])
+            end -= self.lengths[number]
         return tuple(reversed(ids))
 
     def _step(self, state: int, byte: int) -> int:
         """Make one transition."""
         last, waiting, ends, live, nodes = self.states[state]
         waiting += bytes((byte,))
-        below, named, inner, tokens = self.below.get, self.named, self.inner, self.tokens
+        below, named, inner, lengths = self.below.get, self.named, self.inner, self.lengths
         number, places, kept = -1, [], []
         for start, node in zip(live, nodes):
             node = below(node << 8 | byte)
@@ -142,7 +144,7 @@ class Transducer:
         # the longest part that all ways to a live place share: step back from the farthest place
         while places[0] and len(places) > 1:
             place = places.pop()
-            place -= len(tokens[ends[place - 1]])
+            place -= lengths[ends[place - 1]]
             if place not in places:
                 bisect.insort(places, place)
         cut = places[0]
@@ -152,12 +154,12 @@ class Transducer:
             self.out[key] = self.alike.setdefault(ids, ids)
             last, waiting, ends = ends[cut - 1], waiting[cut:], ends[cut:]
             live = tuple([p - cut for p in live])
-        name = (last, waiting)
-        found = self.names.get(name)
+        found = self.names.get((last, waiting))
         if found is None:
-            found = self.names[name] = len(self.states)
-            live = self.alike.setdefault(live, live)
-            self.states.append((last, waiting, ends, live, tuple(kept)))
+            # after whatever token, the bytes that wait mostly have the same ends and places
+            waiting, ends, live, kept = [self.alike.setdefault(x, x) for x in (waiting, ends, live, tuple(kept))]
+            found = self.names[last, waiting] = len(self.states)
+            self.states.append((last, waiting, ends, live, kept))
         found = self.next[key] = found << 1 | (cut > 0)
         return found
 
@@ -193,31 +195,30 @@ class TextEncoder:
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}")
                                      .replace(r"\s", r"\p{White_Space}")
                                      .replace(r"\S", r"\P{White_Space}"))
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[bytes, bytes] = {}  # a match and its ids, as they are gathered
         self.cache = ChunkCache(self._encode, CHUNKS_KEPT)
 
-    def _piece(self, piece: str) -> list[int]:
-        found = self.pieces.get(piece)
+    def _piece(self, piece: str) -> bytes:
+        data = piece.encode()
+        found = self.pieces.get(data)
         if found is None:
             if len(self.pieces) > PIECES_KEPT:
                 self.pieces.clear()
-            found = self.transducer.encode(piece.encode())
-            self.pieces[piece] = found
+            found = self.pieces[data] = array.array("I", self.transducer.encode(data)).tobytes()
         return found
 
-    def _encode(self, chunks: list[bytes]) -> list[list[int]]:
-        out = []
+    def _encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        out, sizes = [], []
         for chunk in chunks:
             mark = chunk[:1]
             text = chunk[1:].decode() if mark == _FIRST or mark == _MATCH else " " + chunk.decode()
             if mark == _MATCH or text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-                out.append(self._piece(text))
-                continue
-            ids: list[int] = []
-            for piece in self.pattern.findall(text):
-                ids += self._piece(piece)
+                ids = self._piece(text)
+            else:
+                ids = b"".join(map(self._piece, self.pattern.findall(text)))
             out.append(ids)
-        return out
+            sizes.append(len(ids) // 4)
+        return np.frombuffer(b"".join(out), np.uint32), np.cumsum(sizes) - sizes, np.array(sizes, np.int64)
 
     def _matches(self, text: str) -> list[bytes]:
         return [_MATCH + m.encode() for m in self.pattern.findall(text)]

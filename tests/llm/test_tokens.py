@@ -54,6 +54,17 @@ def test_transducer_with_little_memory():
         assert [machine.tokens[i] for i in machine.encode(word)] == machine.merged(word)
 
 
+def test_states_and_pieces_are_kept_compactly():
+    """States share what waits in them, its last ids and its places; a piece's ids are kept as bytes."""
+    encoder = byte_bpe.TextEncoder(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    texts, want = [*_random_texts(60), "aned.\nTherly, ciónezciónga. of the other"], _reference()
+    assert [i.tolist() for i in encoder.encode(texts)] == [want.encode_ordinary(t) for t in texts]
+    states = encoder.transducer.states
+    for place in range(1, 5):
+        assert len({id(s[place]) for s in states[1:]}) == len({s[place] for s in states[1:]}) < len(states) - 1
+    assert {type(p) for p in encoder.pieces.values()} == {bytes}
+
+
 def test_utf8_machine_equals_reference():
     rnd = random.Random(2)
     pool = [0x61, 0xC3, 0xA9, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0x80, 0xFF, 0xED, 0xA0, 0xC0]
