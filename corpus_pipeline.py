@@ -104,9 +104,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 4096 tokens."""
+    """Pieces of documents in sequences of at most 4096 tokens.
+
+    Executors still hold what the stages before took, so that fewer words are remembered.
+    """
     ship(spark)
-    return packing.pack(packing.token_pieces(docs, with_ids=False))
+    return packing.pack(packing.token_pieces(docs, with_ids=False, kept=100_000, portion_bytes=1 << 20))
 
 
 STAGES = [

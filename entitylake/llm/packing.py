@@ -73,11 +73,11 @@ def _words_in(chunks: list[bytes]) -> np.ndarray:
     return pc.if_else(plain, pc.count_substring_regex(texts, WORDS), 0).to_numpy(zero_copy_only=False)
 
 
-def _word_tokens(path: str) -> ChunkCache:
-    return resident(("words", path), lambda: _new_word_tokens(path))
+def _word_tokens(path: str, kept: int = WORDS_KEPT) -> ChunkCache:
+    return resident(("words", path, kept), lambda: _new_word_tokens(path, kept))
 
 
-def _new_word_tokens(path: str) -> ChunkCache:
+def _new_word_tokens(path: str, kept: int = WORDS_KEPT) -> ChunkCache:
     """Ids by the tokenizer file ``path``, whose tokens never reach over ASCII white space.
 
     Plain chunks are encoded many at a time, as one text, and told apart by their numbers of words;
@@ -120,7 +120,7 @@ def _new_word_tokens(path: str) -> ChunkCache:
         starts[order], sizes[order] = np.cumsum(in_order) - in_order, in_order
         return np.concatenate([i for i, _ in parts]), starts, sizes
 
-    return ChunkCache(encode, WORDS_KEPT)
+    return ChunkCache(encode, kept)
 
 
 def token_pieces(
@@ -130,8 +130,14 @@ def token_pieces(
     limit: int = LIMIT,
     tokenizer: str | None = None,
     with_ids: bool = True,
+    kept: int = WORDS_KEPT,
+    portion_bytes: int = PORTION,
 ) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``, a row per piece."""
+    """``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``, a row per piece.
+
+    A worker remembers about ``kept`` words and looks up those of ``portion_bytes`` of text together: smaller
+    numbers take less memory and more time, the rows are the same.
+    """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     named = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType(
@@ -147,8 +153,8 @@ def token_pieces(
     arrow = to_arrow_schema(schema)
 
     def cut(batches):
-        cache = _word_tokens(path)
-        for portion in portions(batches, 1, PORTION):
+        cache = _word_tokens(path, kept)
+        for portion in portions(batches, 1, portion_bytes):
             texts = pc.fill_null(portion.columns[1], "")
             # the tokenizer lowers letters anyway; doing so for A-Z first leaves fewer chunks to know
             chunks = pc.ascii_split_whitespace(pc.ascii_lower(texts))

@@ -172,6 +172,13 @@ def test_packing(docs, limit):
         assert s.ids == [i for r in own for i in (ids[r.doc_id, r.piece] if r.doc_id != 3 else r.ids)]
 
 
+def test_pieces_with_little_memory(docs):
+    df = docs([(i, t, "en") for i, t in enumerate([*TEXTS, *_random_texts(40)])])
+    plain, tight = packing.token_pieces(df), packing.token_pieces(df, kept=20, portion_bytes=100)
+    assert sorted(tight.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert packing._new_word_tokens(WORDS, 20).limit == 20
+
+
 def test_packing_of_nothing(docs):
     assert packing.pack(packing.token_pieces(docs([]))).count() == 0
 
