@@ -37,7 +37,7 @@ from entitylake.llm.common import field, portions, resident
 
 TRANSITIONS_KEPT = 1_000_000
 CHUNKS_KEPT = 200_000
-PIECES_KEPT = 300_000
+PIECES_KEPT = 600_000
 PORTION = 4 << 20  # bytes of text whose chunks are looked up together
 STEP = 4096  # ids that are decoded at a time
 
@@ -82,17 +82,28 @@ class Transducer:
 
     def merged(self, data: bytes) -> list[bytes]:
         """The definition: always join the adjacent pair of lowest rank, leftmost first."""
+        return self._merged(data, 0)[0]
+
+    def _merged(self, data: bytes, border: int) -> tuple[list[bytes], bool]:
+        """The parts of ``data``, and whether ``border`` lies inside one: then they are not merged further."""
+        rank, never = self.ranks.get, 1 << 62
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            ranked = [
-                (self.ranks.get(parts[i] + parts[i + 1]), i) for i in range(len(parts) - 1)
-            ]
-            possible = [x for x in ranked if x[0] is not None]
-            if not possible:
+        ranked = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+        while ranked:
+            least = min(ranked)
+            if least == never:
                 break
-            at = min(possible)[1]
+            at = ranked.index(least)
+            if at + 1 == border:
+                return parts, True
+            border -= at + 1 < border  # counts the parts before it
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            del ranked[at]
+            if at:
+                ranked[at - 1] = rank(parts[at - 1] + parts[at], never)
+            if at < len(ranked):
+                ranked[at] = rank(parts[at] + parts[at + 1], never)
+        return parts, False
 
     def _stands(self, last: int, number: int) -> bool:
         """Whether a token may stand after ``last``, or at the start if that is negative."""
@@ -108,7 +119,8 @@ class Transducer:
             if len(self.adjacent) > self.limit // 2:
                 self.adjacent.clear()
             before = self.tokens[last]
-            good = self.adjacent[key] = self.merged(before + token) == [before, token]
+            parts, crossed = self._merged(before + token, len(before))
+            good = self.adjacent[key] = not crossed and parts == [before, token]
         return good
 
     def _ids(self, ends: tuple[int, ...], end: int) -> tuple[int, ...]:
@@ -184,6 +196,9 @@ _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _IRREGULAR = rf"{_BLANK} (?:{_BLANK}|\z)"
 # no text in UTF-8 has these bytes
 _FIRST, _MATCH = b"\xff", b"\xfe"
+#: ASCII punctuation between a letter and a blank or the end is a match by itself.  In bytes of UTF-8; letters
+#: are those of ASCII and Latin-1.
+_TAIL = rb"([a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([!-/:-@\[-`{-~]+)( |$)"
 
 
 class TextEncoder:
@@ -198,8 +213,7 @@ class TextEncoder:
         self.pieces: dict[bytes, bytes] = {}  # a match and its ids, as they are gathered
         self.cache = ChunkCache(self._encode, CHUNKS_KEPT)
 
-    def _piece(self, piece: str) -> bytes:
-        data = piece.encode()
+    def _piece(self, data: bytes) -> bytes:
         found = self.pieces.get(data)
         if found is None:
             if len(self.pieces) > PIECES_KEPT:
@@ -211,11 +225,13 @@ class TextEncoder:
         out, sizes = [], []
         for chunk in chunks:
             mark = chunk[:1]
-            text = chunk[1:].decode() if mark == _FIRST or mark == _MATCH else " " + chunk.decode()
-            if mark == _MATCH or text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-                ids = self._piece(text)
+            if mark == _MATCH:
+                ids = self._piece(chunk[1:])
+            elif mark != _FIRST and (chunk if chunk.isascii() else chunk.decode()).isalpha():
+                ids = self._piece(b" " + chunk)
             else:
-                ids = b"".join(map(self._piece, self.pattern.findall(text)))
+                text = chunk[1:].decode() if mark == _FIRST else " " + chunk.decode()
+                ids = b"".join([self._piece(m.encode()) for m in self.pattern.findall(text)])
             out.append(ids)
             sizes.append(len(ids) // 4)
         return np.frombuffer(b"".join(out), np.uint32), np.cumsum(sizes) - sizes, np.array(sizes, np.int64)
@@ -227,12 +243,14 @@ class TextEncoder:
         """Ids of texts without NULL.
 
         Texts are cut into chunks that begin with a blank, except the first, which is marked instead: no match
-        reaches over such a place.
+        reaches over such a place.  Punctuation after a word is a chunk of its own, marked as a match, so that a
+        word is known whatever follows it.
         """
         texts = pa.array(texts, pa.string())
         irregular = pc.match_substring_regex(texts, _IRREGULAR)
         regular = texts.filter(pc.invert(irregular)) if irregular.true_count else texts
         marked = pc.binary_join_element_wise(_FIRST, regular.cast(pa.binary()), b"")
+        marked = pc.replace_substring_regex(marked, _TAIL, rb"\1 " + _MATCH + rb"\2\3")
         found = self.cache.ids_of(pc.split_pattern(marked, b" "))
         if not irregular.true_count:
             return found

@@ -65,6 +65,35 @@ def test_states_and_pieces_are_kept_compactly():
     assert {type(p) for p in encoder.pieces.values()} == {bytes}
 
 
+ENDINGS = ["", ".", ",", "&&&", "'", "?!", "'s.", "\"'", ")1", "$*\t", ".\x0b", "́.", "—,", "×.", "İ,", "ſ'", "漢!", "Σ."]
+
+
+def _ended(words):
+    return [w + e for w in words for e in ENDINGS]
+
+
+def test_a_word_is_known_whatever_punctuation_follows():
+    encoder = byte_bpe.TextEncoder(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    words, signs = ["foo", "Barñ", "été", "it's", "a1b"], [".", ",", "&&&", "?!", "'", "---"]
+    text, want = " ".join(["x", *[w + s for w in words for s in signs]]), _reference()
+    assert encoder.encode([text])[0].tolist() == want.encode_ordinary(text)
+    assert encoder.cache.known <= 1 + len(words) + len(signs)
+    odd = _ended(["", "we", "we'", "don't", "İ", "é", "1", "漢", "a.b"])
+    texts = [*odd, " ".join(odd), "\n".join(odd), "  ".join(odd), " ".join(odd)]
+    assert [i.tolist() for i in encoder.encode(texts)] == [want.encode_ordinary(t) for t in texts]
+
+
+def test_pairs_of_tokens_that_may_stand_together():
+    """A merge over the border ends the test early; the answers are those of the definition."""
+    machine, rnd = byte_bpe.Transducer(byte_bpe.read_ranks(RANKS)), random.Random(3)
+    short = [n for n, t in machine.tokens.items() if len(t) < 5]
+    for last, number in (rnd.choices(short, k=2) for _ in range(3_000)):
+        pair = [machine.tokens[last], machine.tokens[number]]
+        assert machine._stands(last, number) == (
+            machine.merged(pair[1]) == pair[1:] and machine.merged(b"".join(pair)) == pair
+        )
+
+
 def test_utf8_machine_equals_reference():
     rnd = random.Random(2)
     pool = [0x61, 0xC3, 0xA9, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0x80, 0xFF, 0xED, 0xA0, 0xC0]
