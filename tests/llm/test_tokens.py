@@ -176,6 +176,20 @@ def test_words_with_accents_are_encoded_together(monkeypatch):
     assert packing._words_in([c.encode() for c in known]).tolist() == [2, 3, 2, 3, 0, 0, 0]
 
 
+def test_words_are_known_whatever_punctuation_follows():
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.encode_special_tokens = True
+    cache = packing._new_word_tokens(WORDS)
+    words, signs = ["foo", "Barñ", "été", "it's", "a1b"], [".", ",", "&&&", "?!", "'", "---"]
+    text = " ".join(w + s for w in words for s in signs)
+    odd = _ended(["", "we", "we'", "don't", "İ", "é", "1", "漢", "a.b"])
+    texts = [text, *odd, " ".join(odd), "\n".join(odd), " ".join(odd)]
+    found = cache.ids_of(packing._chunks(pa.array(texts[:1])))
+    assert cache.known <= len(words) + len(signs)
+    found += cache.ids_of(packing._chunks(pa.array(texts[1:])))
+    assert [f.tolist() for f in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def _check_packing(rows, limit):
     at = {}
     for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
