@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from entitylake.catalog.runs import forget_last_commit
+from entitylake.operators import upkeep
 from entitylake.operators.upkeep import PivotState
 from entitylake.plans.entity import entity_wide
 from entitylake.samples.documents import crosswalk_documents, customer_documents
@@ -272,3 +273,57 @@ def test_links_of_entities_are_shuffled_once_and_may_be_repeated(spark, tmp_path
     assert actual(state.linked(facts.unionByName(facts))) == actual(once) and once.count() > 0
     plan = once._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Aggregate \[uri#\d+, sourceid#", plan) is None
+
+
+@pytest.mark.parametrize("crowded", [upkeep.CROWDED, 0])
+def test_small_and_large_batches_on_a_pivot_equal_the_plain_way(spark, tmp_path, monkeypatch, crowded):
+    monkeypatch.setattr(upkeep, "CROWDED", crowded)
+    monkeypatch.setattr(upkeep, "PLACES", 8)
+    rng = random.Random(7)
+    state = PivotState(str(tmp_path / "pivot"), ["k"], ["A", "b"], buckets=2, compact_every=6)
+    said, plain = [], []
+    for number, size in enumerate((90, 4, 5, 40, 3, 4, 3)):
+        batch = [
+            (rng.choice([f"k{i}" for i in range(40)] + [None]), rng.choice(["a", "A ", "b", "other", None]),
+             rng.choice(["1", "5", "10", "", None]), rng.choice([1, 1, 1, -1, -1, 2]))
+            for _ in range(size)
+        ]
+        said += batch
+        frame = spark.createDataFrame(batch, "k string, name string, value string, change int")
+        plain.append(state.store(frame, number).notes["plain"])
+        assert sorted((tuple(r) for r in state.current(spark).collect()), key=repr) == _pivoted(said)
+    assert plain == [True, False, False, True, False, True, False]
+
+
+def test_a_pivot_stores_a_row_per_key_which_a_large_batch_replaces(spark, tmp_path):
+    state = PivotState(str(tmp_path / "pivot"), ["k"], ["a", "b"], buckets=2)
+    rows = [(f"k{i}", name, str(i), 1) for i in range(30) for name in ("a", "b")]
+    gone = [(k, name, value, -1) for k, name, value, _ in rows[:20]]
+    few = [("k25", "a", "99", 1)]
+    manifest, counts = Manifest(spark, state.base), []
+    for number, batch in enumerate((rows, gone, few)):
+        commit = state.store(spark.createDataFrame(batch, "k string, name string, value string, change int"), number)
+        counts.append(manifest.dataset("maxima", state.maxima, commit).count())
+    assert counts == [30, 20, 21]  # keys without a value go, a small batch writes its keys alone
+    assert {r.k: r.a for r in state.current(spark).collect()} == {
+        f"k{i}": "99" if i == 25 else str(i) for i in range(10, 30)
+    }
+
+
+def test_a_batch_meets_the_rows_of_a_pivot_in_one_shuffle(spark, tmp_path):
+    state = PivotState(str(tmp_path / "pivot"), ["k"], ["a", "b"], buckets=2)
+    batch = spark.createDataFrame([("x", "a", "1", 1)], "k string, name string, value string, change int")
+    commit = state.store(batch, 0)
+    manifest = Manifest(spark, state.base)
+    fresh = state._placed(manifest.dataset("changes", state.changes, commit))
+    rows = state._rows(state._merged(manifest.dataset("maxima", state.maxima, commit), fresh), 1, True)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange ", plan)) == 1
+    assert "Exchange" not in state.current(spark)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_pivot_in_an_earlier_layout_is_refused(spark, tmp_path):
+    state = PivotState(str(tmp_path / "pivot"), ["k"], ["a"], buckets=2)
+    Manifest(spark, state.base).commit(0, {"changes": [], "maxima": []})
+    with pytest.raises(ValueError):
+        state.current(spark)
