@@ -40,8 +40,8 @@ def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
 def streamed_entities(spark: SparkSession, sf: str) -> DataFrame:
     """The entity dataset from documents whose attributes and crosswalks land in different chunks.
 
-    Attributes of odd customers land first, then all crosswalks, then the other attributes.  The last
-    batch is run again.
+    Attributes of odd customers land first, then all crosswalks, then the other attributes, as compressed
+    JSON Lines.  The last batch is run again.
     """
     landing, checkpoint, base = (scratch_path(spark, n) for n in ("landing", "checkpoint", "entities"))
     customers = customer_documents(spark, sf, (F.col("c_custkey") % 2 == 1).alias("odd"))
@@ -50,7 +50,7 @@ def streamed_entities(spark: SparkSession, sf: str) -> DataFrame:
         base, SINGLE_PATHS, NAMES, "attributes.ReferenceId", stamps=STAMPS, buckets=8
     )
     for docs in (odd, crosswalk_documents(spark, sf), even):
-        docs.repartition(2, "uri").write.mode("append").json(landing)
+        docs.repartition(2, "uri").write.mode("append").json(landing, compression="lz4")
     for _ in range(2):
         stream = document_stream(spark, landing, DOCUMENT_SCHEMA, chunk_size=2, layout="lines")
         keep_entities(stream, state, checkpoint)

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from entitylake.functions.membership import membership
 from entitylake.functions.paths import attribute_paths
-from entitylake.functions.uri import entity_id
+from entitylake.functions.uri import attribute_name, entity_id
 from entitylake.operators.crosswalk import crosswalk_uri_table
 from entitylake.operators.linkage import (
     even_join,
@@ -35,7 +36,11 @@ from entitylake.operators.linkage import (
 from entitylake.operators.melt import LONG_COLUMNS, melt_single, reference_ids
 from entitylake.operators.pivot import SINGLE_KEYS, pivot_single
 from entitylake.sources.manifest import Commit, Manifest
-from entitylake.sources.scratch import staged
+from entitylake.sources.scratch import discard, staged
+
+NAMED = 1000  # names of attributes that links are looked up among
+#: a batch of few files that cannot be split is written in parts that can be read beside each other
+GROUPED = {"parquet.block.size": 8 << 20}
 
 ATTRIBUTE, LISTED, REFERENCE = "attribute", "listed", "reference"
 _TEXTS = ("kind", "entity", *LONG_COLUMNS, "sourceid", "cross_value", "cross_source")
@@ -81,15 +86,20 @@ class EntityState:
         bucket = F.pmod(F.hash("entity"), F.lit(self.buckets)).alias("bucket")
         return rows.select(*[F.col(n).cast("string").alias(n) for n in _TEXTS], bucket)
 
-    def linked(self, facts: DataFrame) -> DataFrame:
-        """The entity rows that follow from facts, with their entity as ``entity``."""
+    def linked(self, facts: DataFrame, touched: DataFrame | None = None) -> DataFrame:
+        """The entity rows that follow from facts, with their entity as ``entity``.
+
+        With ``touched``, rows ``(entity, bucket)``, only those of the entities there.  A link has the entity of the
+        attribute that it meets, so attributes alone, which are few beside the links, are looked up there.
+        """
 
         def of(kind: str) -> DataFrame:
-            return facts.where(F.col("kind") == kind)
+            rows = facts.where(F.col("kind") == kind)
+            return rows if touched is None else even_join(rows, touched, ["entity", "bucket"], "left_semi")
 
         attributes = largest_value_per_uri(of(ATTRIBUTE).select(*LONG_COLUMNS))
         # a link that was said twice changes no maximum, so it is not worth a shuffle of all links
-        links = of(LISTED).select("uri", "sourceid", "cross_value", "cross_source")
+        links = self._promising(facts, touched).select("uri", "sourceid", "cross_value", "cross_source")
         names = [n for n in self.names if n != self.reference_name]
         single = pivot_single(uri_join(links, attributes), names)
         ids = of(REFERENCE).select(*LONG_COLUMNS).distinct()
@@ -97,6 +107,26 @@ class EntityState:
         rows = reference_id_join(single, ids, self.reference_name, columns, self.how, **self.stamps)
         return rows.withColumn("entity", F.coalesce("EntityID", F.lit("")))
 
+    @staticmethod
+    def _promising(facts: DataFrame, touched: DataFrame | None) -> DataFrame:
+        """The links that may meet an attribute, told before they are shuffled.
+
+        Equal URIs name one attribute and one entity.  So a link is left out when no attribute fact has its name, and,
+        where few entities are touched, when its entity is surely not among them.  Starts jobs that count both.
+        """
+        links = facts.where(F.col("kind") == LISTED)
+        said = facts.where(F.col("kind") == ATTRIBUTE).select(attribute_name("uri").alias("name")).distinct()
+        names = {r.name for r in said.limit(NAMED + 1).collect()}
+        if len(names) <= NAMED:
+            name = attribute_name("uri")
+            known = F.coalesce(name.isin(sorted(names - {None})), F.lit(False))
+            links = links.where(known | name.isNull() if None in names else known)
+        if touched is not None:
+            hashes = touched.select(F.xxhash64("entity").alias("hash"))
+            may = membership(hashes, "hash", hashes.count())
+            links = links if may is None else links.where(may(F.xxhash64("entity")))
+        return links
+
     @property
     def schema(self) -> StructType:
         names = [n for n in self.names if n != self.reference_name]
@@ -117,10 +147,12 @@ class EntityState:
 
         def write(name: str, rows: DataFrame, by: Sequence[str] = ()) -> str:
             folder = manifest.folder(name)
-            rows.write.partitionBy(*by).parquet(manifest.absolute(folder))
+            rows.write.option("compression", "zstd").partitionBy(*by).parquet(manifest.absolute(folder))
             return folder
 
-        facts = write("facts", self.facts(staged(batch, "batch")).hint("rebalance", "bucket"), ["bucket"])
+        docs = staged(batch, "batch", compression="zstd", **GROUPED)
+        facts = write("facts", self.facts(docs).hint("rebalance", "bucket"), ["bucket"])
+        discard(docs)
         known["facts"].append(facts)
         fresh = spark.read.schema(FACTS).parquet(manifest.absolute(facts))
         touched = staged(fresh.select("entity", "bucket").distinct(), "touched")
@@ -128,11 +160,11 @@ class EntityState:
         if buckets:
             draft = Commit(version, known, {})
             about = manifest.dataset("facts", FACTS, draft).where(F.col("bucket").isin(buckets))
-            about = staged(even_join(about, touched, ["entity", "bucket"], "left_semi"), "facts")
             mark = F.lit(version).cast("long").alias("version")
-            rows = self.linked(about).select(*self.schema.names[:-1], mark)
+            rows = self.linked(about, touched).select(*self.schema.names[:-1], mark)
             known["entities"].append(write("entities", rows))
             known["touched"].append(write("touched", touched.select("entity", mark)))
+        discard(touched)
         if len(known["facts"]) >= self.compact_every:
             draft = Commit(version, known, {})
             every = manifest.dataset("facts", FACTS, draft).distinct().hint("rebalance", "bucket")

@@ -9,7 +9,7 @@ from oracle import actual
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from entitylake.catalog.runs import forget_last_commit
+from entitylake.catalog.runs import forget_last_commit, streamed_entities
 from entitylake.operators import upkeep
 from entitylake.operators.upkeep import PivotState
 from entitylake.plans.entity import entity_wide
@@ -327,3 +327,59 @@ def test_a_pivot_in_an_earlier_layout_is_refused(spark, tmp_path):
     Manifest(spark, state.base).commit(0, {"changes": [], "maxima": []})
     with pytest.raises(ValueError):
         state.current(spark)
+
+
+def _odd_documents(spark):
+    """Attributes and links with URIs of too few parts, and links that no attribute has."""
+    schema = (
+        "uri string, attributes struct<Name: array<struct<uri: string, value: string>>,"
+        " ReferenceId: array<struct<uri: string, value: string>>>,"
+        " crosswalks array<struct<attributes: array<string>, type: string, uri: string, value: string>>"
+    )
+    name, other = "entities/{}/attributes/Name/n", "entities/{}/attributes/Other/o"
+    rows = [
+        (f"entities/{e}", ([(name.format(e), f"N{e}"), ("entities/7", "short"), (None, "lost")],
+                           [(f"entities/{e}/attributes/ReferenceId/r", f"R{e}")]),
+         [([name.format(e), other.format(e), "entities/7", None], "t/s/S", f"entities/{e}/crosswalks/c", f"V{e}")])
+        for e in range(5, 9)
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
+def test_links_that_meet_no_attribute_are_left_out_before_the_shuffle(spark, tmp_path):
+    docs = _odd_documents(spark)
+    state = EntityState(str(tmp_path), ["attributes.Name"], ["Name"], REFERENCE, buckets=2)
+    facts = staged(state.facts(docs), "facts")
+    links = state._promising(facts, None)
+    assert {r.uri for r in links.collect()} == {"entities/7", *[f"entities/{e}/attributes/Name/n" for e in range(5, 9)]}
+    touched = facts.where("entity = '8'").select("entity", "bucket").distinct()
+    assert [r.uri for r in state._promising(facts, touched).collect()] == ["entities/8/attributes/Name/n"]
+    assert state._promising(facts.where("kind = 'listed'"), None).count() == 0
+    # crosswalks alone, then a part of the attributes, then all
+    for number, part in enumerate((docs.drop("attributes"), docs.where("uri = 'entities/8'"), docs)):
+        state.store(part, "run", number)
+        want = entity_wide(docs.where("uri = 'entities/8'") if number == 1 else docs, ["attributes.Name"], ["Name"],
+                           REFERENCE)
+        found = state.current(spark).where("EntityID = '8'" if number == 1 else "true")
+        if number:
+            want = want.where("EntityID = '8'" if number == 1 else "true")
+            assert actual(found.dropDuplicates()) == actual(want.dropDuplicates()) and found.count() > 0
+        else:
+            assert found.count() == 0
+
+
+def test_a_batch_of_documents_leaves_no_working_tables(spark, tmp_path, parts, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda _: str(tmp_path / "shared"))
+    state = _state(tmp_path)
+    state.store(parts[1], "run", 0)
+    state.store(parts[2], "run", 1)
+    state.store(parts[2].limit(0), "run", 2)
+    assert state.current(spark).count() > 0
+    assert (tmp_path / "shared").exists() and list((tmp_path / "shared").rglob("*.parquet")) == []
+
+
+def test_documents_of_the_stream_land_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda _: str(tmp_path))
+    assert streamed_entities(spark, DATA).count() > 0
+    landed = [f.name for f in tmp_path.rglob("landing-*/part-*")]
+    assert len(landed) == 6 and all(n.endswith(".json.lz4") for n in landed)
