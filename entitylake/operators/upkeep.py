@@ -1,7 +1,8 @@
 """A conditional-max pivot kept up to date from changes, withdrawals included.
 
-A maximum grows with every new value but cannot be taken back.  So two tables are kept, both in folders by
-a hash of the key: the values themselves, as changes of their counts, and a row per key with a cell per name.
+A maximum grows with every new value but cannot be taken back.  So two tables are kept: the values themselves, as
+changes of their counts, and a row per key with a cell per name, in folders by a hash of the key.  Changes are stored
+as they come, which needs neither a shuffle nor a sort, and in the order of that hash once they are compacted.
 A cell is exact while at most one value counts there (the value and its count); otherwise it is the largest value
 alone.  A batch meets the stored rows in one shuffle by key.  Where a cell is exact, and the batch adds and withdraws one
 value each at most, counts are added up; where it only adds, two maxima are merged.  Where neither holds, the cell
@@ -146,8 +147,8 @@ class PivotState:
         def write(name: str, rows: DataFrame) -> str:
             folder = manifest.folder(name)
             ordered = rows.select(*getattr(self, name).names)
-            packed = ordered.write.option("compression", "zstd")
-            packed.partitionBy("bucket").parquet(manifest.absolute(folder))
+            by = ["bucket"] if name == "maxima" else []
+            ordered.write.option("compression", "zstd").partitionBy(*by).parquet(manifest.absolute(folder))
             return folder
 
         folders["changes"].append(write("changes", self._said(changes)))
@@ -329,7 +330,8 @@ class PivotState:
     def _compacted(self, manifest: Manifest, commit: Commit) -> DataFrame:
         rows = manifest.dataset("changes", self.changes, commit)
         summed = rows.groupBy(*self.keys, "name", "bucket", "value")
-        return summed.agg(F.sum("change").alias("change")).where("change != 0")
+        left = summed.agg(F.sum("change").alias("change")).where("change != 0")
+        return left.sortWithinPartitions("bucket")  # so that a reader passes over groups of rows
 
     def current(self, spark: SparkSession) -> DataFrame:
         """``keys`` and ``names``, as of the latest batch."""

@@ -322,6 +322,21 @@ def test_a_batch_meets_the_rows_of_a_pivot_in_one_shuffle(spark, tmp_path):
     assert "Exchange" not in state.current(spark)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_changes_of_a_pivot_are_neither_shuffled_nor_sorted_before_they_are_stored(spark, tmp_path):
+    state = PivotState(str(tmp_path / "pivot"), ["k"], ["a"], buckets=2, compact_every=2)
+    batch = spark.createDataFrame([(f"k{i}", "a", "1", 1) for i in range(20)], "k string, name string, value string, change int")
+    plan = state._said(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    folder = tmp_path / "pivot" / "data" / "changes"
+    state.store(batch, 0)
+    assert not list(folder.rglob("bucket=*")) and spark.read.parquet(str(folder)).count() == 20
+    commit = state.store(batch, 1)
+    for file in (tmp_path / "pivot" / commit.datasets["changes"][0]).glob("*.parquet"):
+        buckets = [r.bucket for r in spark.read.parquet(str(file)).collect()]
+        assert buckets == sorted(buckets)
+    assert state.current(spark).count() == 20
+
+
 def test_a_pivot_in_an_earlier_layout_is_refused(spark, tmp_path):
     state = PivotState(str(tmp_path / "pivot"), ["k"], ["a"], buckets=2)
     Manifest(spark, state.base).commit(0, {"changes": [], "maxima": []})
